@@ -19,56 +19,71 @@ DATE_NAME_PARTS = ("date", "time", "_at", "_on", "created", "updated", "modified
 
 @dataclass(frozen=True)
 class Pattern:
-    """A parse pattern with the shape text must have before it is tried.
-
-    The shape test is cheap and keeps the parser away from text it would refuse,
-    so a value meets one or two parsers instead of all of them.
-    """
+    """A parse pattern and the family text must belong to before it is tried."""
 
     name: str
     layout: str
-    shape: str
+    family: str
     date_only: bool
 
-    def parse(self, text: Column) -> Column:
-        return F.when(text.rlike(self.shape), F.try_to_timestamp(text, F.lit(self.layout)))
+    def parse(self, text: Column, family: Column) -> Column:
+        return F.when(family == self.family, F.try_to_timestamp(text, F.lit(self.layout)))
 
     def render(self, moment: Column) -> Column:
         return F.date_format(moment, DATE_TEXT if self.date_only else DATETIME_TEXT)
 
 
-_ISO, _SLASH, _DASH = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}/\d{1,2}/\d{4}", r"\d{1,2}-\d{1,2}-\d{4}"
-_CLOCK, _FRACTION = r" \d{1,2}:\d{1,2}:\d{1,2}", r"(\.\d{1,9})"
-_FRACTION_LAYOUT = "[.SSSSSSSSS]"
-
-
-def _pattern(name: str, layout: str, shape: str) -> Pattern:
-    return Pattern(name, layout, f"^{shape}$", "H" not in layout)
+def _pattern(name: str, layout: str, family: str) -> Pattern:
+    return Pattern(name, layout, family, "H" not in layout)
 
 
+_FRACTION = "[.SSSSSSSSS]"
 # A column takes the first of these that reads at least one value.
 COLUMN_PATTERNS = (
-    _pattern("iso_fraction", "yyyy-M-d H:m:s" + _FRACTION_LAYOUT, _ISO + _CLOCK + _FRACTION + "?"),
-    _pattern("iso_seconds", "yyyy-M-d H:m:s", _ISO + _CLOCK),
-    _pattern("iso_date", "yyyy-M-d", _ISO),
-    _pattern("month_first_fraction", "M/d/yyyy H:m:s" + _FRACTION_LAYOUT, _SLASH + _CLOCK + _FRACTION + "?"),
-    _pattern("month_first_seconds", "M/d/yyyy H:m:s", _SLASH + _CLOCK),
-    _pattern("month_first_date", "M/d/yyyy", _SLASH),
-    _pattern("day_first_date", "d/M/yyyy", _SLASH),
-    _pattern("compact_date", "yyyyMMdd", r"\d{8}"),
+    _pattern("iso_fraction", "yyyy-M-d H:m:s" + _FRACTION, "iso_time"),
+    _pattern("iso_seconds", "yyyy-M-d H:m:s", "iso_time"),
+    _pattern("iso_date", "yyyy-M-d", "iso_date"),
+    _pattern("month_first_fraction", "M/d/yyyy H:m:s" + _FRACTION, "slash_time"),
+    _pattern("month_first_seconds", "M/d/yyyy H:m:s", "slash_time"),
+    _pattern("month_first_date", "M/d/yyyy", "slash_date"),
+    _pattern("day_first_date", "d/M/yyyy", "slash_date"),
+    _pattern("compact_date", "yyyyMMdd", "compact"),
 )
 # A single value takes the first of these that reads it.
 VALUE_PATTERNS = (
-    _pattern("iso_date", "yyyy-M-d", _ISO),
-    _pattern("iso_seconds", "yyyy-M-d H:m:s", _ISO + _CLOCK),
-    _pattern("iso_fraction", "yyyy-M-d H:m:s" + _FRACTION_LAYOUT, _ISO + _CLOCK + _FRACTION),
-    _pattern("month_first_date", "M/d/yyyy", _SLASH),
-    _pattern("month_first_seconds", "M/d/yyyy H:m:s", _SLASH + _CLOCK),
-    _pattern("day_first_date", "d/M/yyyy", _SLASH),
-    _pattern("day_first_seconds", "d/M/yyyy H:m:s", _SLASH + _CLOCK),
-    _pattern("day_first_dash_date", "d-M-yyyy", _DASH),
-    _pattern("day_first_dash_seconds", "d-M-yyyy H:m:s", _DASH + _CLOCK),
+    _pattern("iso_date", "yyyy-M-d", "iso_date"),
+    _pattern("iso_seconds", "yyyy-M-d H:m:s", "iso_time"),
+    _pattern("iso_fraction", "yyyy-M-d H:m:s" + _FRACTION, "iso_time"),
+    _pattern("month_first_date", "M/d/yyyy", "slash_date"),
+    _pattern("month_first_seconds", "M/d/yyyy H:m:s", "slash_time"),
+    _pattern("day_first_date", "d/M/yyyy", "slash_date"),
+    _pattern("day_first_seconds", "d/M/yyyy H:m:s", "slash_time"),
+    _pattern("day_first_dash_date", "d-M-yyyy", "dash_date"),
+    _pattern("day_first_dash_seconds", "d-M-yyyy H:m:s", "dash_time"),
 )
+# Shortest and longest text any pattern reads: 1/1/2025, and nine fraction digits.
+SHORTEST, LONGEST = 8, 29
+
+
+def date_family(text: Column) -> Column:
+    """Which patterns could read this text at all; NULL for none.
+
+    A few character tests that keep the parsers, which are far slower, away from
+    text they would refuse.
+    """
+    plausible = F.char_length(text).between(SHORTEST, LONGEST) & F.substring(text, 1, 1).between("0", "9")
+    iso = F.substring(text, 5, 1) == "-"
+    clock, slash, dash = (F.contains(text, F.lit(mark)) for mark in ":/-")
+    return F.when(
+        plausible,
+        F.when(iso & clock, F.lit("iso_time"))
+        .when(iso, F.lit("iso_date"))
+        .when(slash & clock, F.lit("slash_time"))
+        .when(slash, F.lit("slash_date"))
+        .when(dash & clock, F.lit("dash_time"))
+        .when(dash, F.lit("dash_date"))
+        .when(F.char_length(text) == 8, F.lit("compact")),
+    )
 
 
 def date_like_name(name: str, parts: tuple[str, ...] = DATE_NAME_PARTS) -> bool:
@@ -79,13 +94,14 @@ def date_like_name(name: str, parts: tuple[str, ...] = DATE_NAME_PARTS) -> bool:
 def date_like_text(c: Column) -> Column:
     """Eight or more characters, with a digit and a date or time separator."""
     text = strip(c)
-    return (F.char_length(text) >= 8) & text.rlike(r"\d") & text.rlike(r"[-/ :]")
+    return (F.char_length(text) >= SHORTEST) & text.rlike(r"\d") & text.rlike(r"[-/ :]")
 
 
 def parse_any(c: Column) -> Column:
     """Timestamp by the first value pattern that reads the text, else NULL."""
     text = strip(c)
-    return F.coalesce(*[p.parse(text) for p in VALUE_PATTERNS])
+    family = date_family(text)
+    return F.coalesce(*[p.parse(text, family) for p in VALUE_PATTERNS])
 
 
 def to_moment(c: Column, data_type: T.DataType) -> Column:

@@ -33,8 +33,10 @@ def strip(c: Column) -> Column:
 
     ``btrim`` with a character set is linear in the text and stays in generated
     code; plain ``trim`` would leave tabs and a regular expression backtracks.
+    Most text starts and ends with a plain ASCII character and skips it.
     """
-    return F.btrim(c, F.lit(WHITESPACE))
+    clean = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    return F.when(clean, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def trim_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

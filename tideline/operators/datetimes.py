@@ -14,6 +14,7 @@ from tideline.functions.dates import (
     DATE_NAME_PARTS,
     DATE_TEXT,
     DATETIME_TEXT,
+    date_family,
     date_like_name,
     date_like_text,
 )
@@ -28,12 +29,18 @@ COLUMNS_PER_PASS = 40
 
 def _profile_pass(df: DataFrame, names: Sequence[str], parts: tuple[str, ...]) -> DataFrame:
     """One aggregate over ``names``; one output row per column."""
-    aggregates = []
+    prepared, aggregates = [], []
     for i, name in enumerate(names):
         text = strip(col(name))
-        looks = F.coalesce(date_like_text(col(name)), F.lit(False))
-        aggregates += [F.count(col(name)).alias(f"n{i}"), F.coalesce(F.bool_or(looks), F.lit(False)).alias(f"l{i}")]
-        aggregates += [F.count(p.parse(text)).alias(f"p{i}_{k}") for k, p in enumerate(COLUMN_PATTERNS)]
+        prepared += [
+            text.alias(f"t{i}"),
+            date_family(text).alias(f"f{i}"),
+            F.coalesce(date_like_text(text), F.lit(False)).alias(f"l{i}"),
+        ]
+        aggregates += [F.count(F.col(f"t{i}")).alias(f"n{i}"), F.coalesce(F.bool_or(f"l{i}"), F.lit(False)).alias(f"l{i}")]
+        aggregates += [
+            F.count(p.parse(F.col(f"t{i}"), F.col(f"f{i}"))).alias(f"p{i}_{k}") for k, p in enumerate(COLUMN_PATTERNS)
+        ]
     rows = []
     for i, name in enumerate(names):
         flagged = F.lit(date_like_name(name, parts)) | F.col(f"l{i}")
@@ -53,7 +60,7 @@ def _profile_pass(df: DataFrame, names: Sequence[str], parts: tuple[str, ...]) -
                 F.when(flagged, F.col(f"n{i}") - parsed).otherwise(0).cast("bigint").alias("unparsed_count"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return df.select(*prepared).agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
 def datetime_profile(
@@ -104,7 +111,8 @@ def rewrite_datetimes(
             typed, text = c, F.date_format(c, DATETIME_TEXT)
         elif f.name in choices:
             pattern = patterns[choices[f.name]]
-            typed = pattern.parse(strip(c))
+            text = strip(c)
+            typed = pattern.parse(text, date_family(text))
             text = pattern.render(typed)
             if on_unparsed == "keep":
                 text = F.coalesce(text, c)

@@ -87,9 +87,11 @@ def field_spec(df: DataFrame) -> DataFrame:
 def value_kind(c: Column) -> Column:
     """What the text of one value looks like; NULL for NULL."""
     text = strip(c)
+    # Only text that starts like a number (or inf, nan) is worth a cast.
+    numeric = text.rlike("^[-+.0-9iInN]") & text.try_cast("double").isNotNull()
     return (
         F.when(text.rlike(r"^[+-]?\d+$"), F.lit("integer"))
-        .when(text.try_cast("double").isNotNull(), F.lit("decimal"))
+        .when(numeric, F.lit("decimal"))
         .when(parse_any(text).isNotNull(), F.lit("date"))
         .when(text.isNotNull(), F.lit("text"))
     )

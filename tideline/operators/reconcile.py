@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 from tideline.functions.names import SYSTEM_COLUMNS, align, col, rename
 from tideline.functions.text import compare_text
 from tideline.operators.sample import ORDER, PREFIX_DIGITS, Cutoff, find_cutoff, hash_order
+from tideline.session import scratch_dir
 
 # Check and status words, report limits.
 ROW_COUNT, CONTENT, SYSTEM_ERROR = "ROW_COUNT", "CONTENT_ACCURACY", "SYSTEM_ERROR"
 PASSED, FAILED = "PASSED", "FAILED"
 REPORT_ROWS, REPORT_COLUMNS, REPORT_EXAMPLES, REPORT_TEXT = 5, 3, 3, 3900
+# How far the match pass reaches beyond the sample, and in how many hash digits.
+REACH_MARGIN, REACH_DIGITS = 1.1, 8
 
 CHECK_SCHEMA = T.StructType(
     [
@@ -74,6 +77,11 @@ def row_count_check(
     counts = left.unionAll(right).agg(
         F.coalesce(F.sum("s"), zero).alias("s"), F.coalesce(F.sum("t"), zero).alias("t")
     )
+    return _row_count_row(counts, table)
+
+
+def _row_count_row(counts: DataFrame, table: str) -> DataFrame:
+    """The row-count check of one row of counts ``s`` (source) and ``t`` (target)."""
     s, t = F.col("s"), F.col("t")
     gap = F.abs(s - t)
     message = F.concat(
@@ -105,33 +113,58 @@ class NothingToCompare(ValueError):
 
 @dataclass(frozen=True)
 class Comparison:
-    """Both sides as comparison text, and the sample of the source.
+    """Both sides as comparison text, and what the match of the sample found.
 
-    Equal rows have equal order hashes, so the cut-off that bounds the sample
-    also bounds the target rows that could match it: only that share of the
-    target takes part in the match.
+    ``matches`` is a small written table: per distinct row in reach of the sample
+    its hash and how often each side has it.  Counts, the sample's exact end and
+    the check itself are all read from it.
     """
 
     source: DataFrame
     target: DataFrame
+    matches: DataFrame
     columns: list[str]
     source_count: int
     target_count: int
     sample_size: int
     cutoff: Cutoff
 
-    def sample(self) -> DataFrame:
-        return self.source.filter(self.cutoff.contains(F.col(ORDER)))
-
-    def candidates(self) -> DataFrame:
-        return self.target.filter(self.cutoff.contains(F.col(ORDER)))
+    def sampled(self) -> DataFrame:
+        """Distinct sampled rows: hash, copies in the sample, copies in the target."""
+        order = F.col(ORDER)
+        copies = F.col("s")
+        if self.cutoff.ties is not None:
+            copies = F.when(self.cutoff.is_tie(order), F.lit(self.cutoff.ties)).otherwise(copies)
+        inside = (F.col("s") > 0) & order.isNotNull() & self.cutoff.contains(order)
+        return self.matches.filter(inside).select(order, copies.cast("bigint").alias("copies"), F.col("t").alias("found"))
 
 
 def _comparable(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     texts = [compare_text(col(name), types[name]).alias(alias) for name, alias in pairs]
-    frame = df.select(*texts)
-    return frame.withColumn(ORDER, hash_order([col(alias) for _, alias in pairs]))
+    return df.select(*texts).withColumn(ORDER, hash_order([col(alias) for _, alias in pairs]))
+
+
+def _reach(share: float) -> str:
+    """The hash prefix below which this share of evenly spread hashes lies."""
+    return f"{min(int(share * 16**REACH_DIGITS), 16**REACH_DIGITS - 1):0{REACH_DIGITS}x}"
+
+
+def _write_matches(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
+    """Count both sides per row hash, in one pass over each.
+
+    Equal rows have equal hashes, so rows beyond the sample's reach need not be
+    told apart: they fall into one group, which keeps the totals.  Copies of a row
+    are counted before the shuffle, and only hashes and counters are shuffled.
+    """
+    order = F.col(ORDER)
+    key = order if share >= 1 else F.when(F.substring(order, 1, REACH_DIGITS) <= _reach(share), order)
+    both = left.select(key.alias(ORDER), F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(
+        right.select(key.alias(ORDER), F.lit(0), F.lit(1))
+    )
+    path = scratch_dir(left.sparkSession, "matches")
+    both.groupBy(ORDER).agg(F.sum("s").alias("s"), F.sum("t").alias("t")).write.parquet(path)
+    return left.sparkSession.read.parquet(path)
 
 
 def prepare_comparison(
@@ -142,10 +175,12 @@ def prepare_comparison(
     exclude: Sequence[str] = SYSTEM_COLUMNS,
     source_file: str | None = None,
 ) -> Comparison:
-    """Align, normalise and sample.
+    """Align, normalise, match and sample, reading each side once.
 
-    One job counts both sides and the sample's hash prefixes together; a second
-    small one resolves the prefix the sample ends in.
+    The sample is the given percentage of the smaller side.  Its size is known
+    only after the pass that also matches it, so that pass reaches a little
+    further than the percentage; should a hot row leave it short, it is repeated
+    with a wider reach.
     """
     if mapping:
         source = rename(source, mapping)
@@ -158,44 +193,27 @@ def prepare_comparison(
         )
     left = _comparable(source, [(s, s) for s, _ in pairs])
     right = _comparable(target, [(t, s) for s, t in pairs])
-    both = left.select(
-        F.substring(ORDER, 1, PREFIX_DIGITS).alias("part"), F.lit(1).alias("s"), F.lit(0).alias("t")
-    ).unionAll(right.select(F.lit(None).cast("string"), F.lit(0), F.lit(1)))
-    rows = both.groupBy("part").agg(F.sum("s").alias("s"), F.sum("t").alias("t")).collect()
-    source_count, target_count = sum(r["s"] for r in rows), sum(r["t"] for r in rows)
-    if source_count == 0:
-        raise NothingToCompare("Source DataFrame is empty", source_count, target_count)
-    if target_count == 0:
-        suffix = f" for source file {source_file}" if source_file else ""
-        raise NothingToCompare("Target table is empty" + suffix, source_count, target_count)
-    wanted = max(1, int(sample_percentage / 100 * min(source_count, target_count)))
-    if wanted >= source_count:
-        cutoff, wanted = Cutoff(), source_count
-    else:
+    share = min(1.0, sample_percentage / 100 * REACH_MARGIN)
+    while True:
+        matches = _write_matches(left, right, share)
+        part = F.substring(ORDER, 1, PREFIX_DIGITS).alias("part")
+        rows = matches.groupBy(part).agg(F.sum("s").alias("s"), F.sum("t").alias("t")).collect()
+        source_count, target_count = sum(r["s"] for r in rows), sum(r["t"] for r in rows)
+        if source_count == 0:
+            raise NothingToCompare("Source DataFrame is empty", source_count, target_count)
+        if target_count == 0:
+            suffix = f" for source file {source_file}" if source_file else ""
+            raise NothingToCompare("Target table is empty" + suffix, source_count, target_count)
+        wanted = max(1, int(sample_percentage / 100 * min(source_count, target_count)))
+        wanted = min(wanted, source_count)
         first = sorted((r["part"], r["s"]) for r in rows if r["part"] is not None)
-        cutoff = find_cutoff(left.select(ORDER), wanted, first)
-    return Comparison(left, right, [s for s, _ in pairs], source_count, target_count, wanted, cutoff)
-
-
-def _sampled(c: Comparison, copies: Column, is_tie: Column) -> Column:
-    """How many of a row's copies the sample holds."""
-    return copies if c.cutoff.ties is None else F.when(is_tie, F.lit(c.cutoff.ties)).otherwise(copies)
-
-
-def _match_counts(c: Comparison) -> DataFrame:
-    """Per distinct sampled row: copies in the sample, copies in the target.
-
-    Only 32-byte digests and counters are shuffled, and copies of a row are
-    counted before that.
-    """
-    digest = F.unhex(ORDER).alias("digest")
-    tie = c.cutoff.is_tie(F.col(ORDER)).alias("tie")
-    left = c.sample().select(digest, tie, F.lit(1).alias("s"), F.lit(0).alias("t"))
-    right = c.candidates().select(digest, tie, F.lit(0).alias("s"), F.lit(1).alias("t"))
-    grouped = left.unionAll(right).groupBy("digest", "tie").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-    return grouped.filter(F.col("s") > 0).select(
-        _sampled(c, F.col("s"), F.col("tie")).alias("copies"), F.col("t").alias("found")
-    )
+        if share >= 1 or sum(n for _, n in first) >= wanted:
+            break
+        share = min(1.0, share * 4)
+    cutoff = Cutoff()
+    if wanted < source_count:
+        cutoff = find_cutoff(matches.filter(F.col(ORDER).isNotNull()), wanted, first, weight=F.col("s"))
+    return Comparison(left, right, matches, [s for s, _ in pairs], source_count, target_count, wanted, cutoff)
 
 
 def content_check(c: Comparison, table: str, count_copies: bool = False) -> DataFrame:
@@ -206,7 +224,7 @@ def content_check(c: Comparison, table: str, count_copies: bool = False) -> Data
     """
     copies, found = F.col("copies"), F.col("found")
     hit = F.least(copies, found) if count_copies else F.when(found > 0, copies).otherwise(0)
-    totals = _match_counts(c).agg(F.sum(hit).alias("m"), F.sum(copies).alias("n"))
+    totals = c.sampled().agg(F.sum(hit).alias("m"), F.sum(copies).alias("n"))
     m, n = F.col("m"), F.col("n")
     message = F.concat(
         F.lit("Content mismatch in "),
@@ -229,34 +247,37 @@ def content_check(c: Comparison, table: str, count_copies: bool = False) -> Data
     )
 
 
-def _split_sample(c: Comparison) -> DataFrame:
-    """Distinct sampled rows with ``copies`` and the target's ``found`` count."""
-    tie = c.cutoff.is_tie(F.col(ORDER)).alias("__tie")
-    names = [col(n) for n in c.columns]
-    left = c.sample().select(*names, F.col(ORDER), tie, F.lit(1).alias("__s"), F.lit(0).alias("__t"))
-    right = c.candidates().select(*names, F.col(ORDER), tie, F.lit(0).alias("__s"), F.lit(1).alias("__t"))
-    grouped = left.unionAll(right).groupBy(*names, ORDER, "__tie").agg(
-        F.sum("__s").alias("__s"), F.sum("__t").alias("found")
-    )
-    return grouped.filter(F.col("__s") > 0).select(
-        *names, F.col(ORDER), _sampled(c, F.col("__s"), F.col("__tie")).alias("copies"), F.col("found")
-    )
+def _sampled_rows(c: Comparison, wanted: DataFrame) -> DataFrame:
+    """The distinct source rows behind some sampled hashes, with their copies.
+
+    One row is kept per hash.  Rows of a hash are equal, so copies are dropped
+    within each task before anything is shuffled.
+    """
+    inside = c.source.filter(c.cutoff.contains(F.col(ORDER)))
+    return inside.distinct().join(wanted.select(ORDER, "copies"), ORDER).select(*[col(n) for n in c.columns], "copies")
 
 
 def matched_rows(c: Comparison) -> DataFrame:
     """Distinct sampled rows the target has, with their number of copies."""
-    return _split_sample(c).filter(F.col("found") > 0).drop(ORDER, "found")
+    return _sampled_rows(c, c.sampled().filter(F.col("found") > 0))
 
 
 def mismatched_rows(c: Comparison) -> DataFrame:
     """Distinct sampled rows the target lacks, with their number of copies."""
-    return _split_sample(c).filter(F.col("found") == 0).drop(ORDER, "found")
+    return _sampled_rows(c, c.sampled().filter(F.col("found") == 0))
 
 
 def first_mismatches(c: Comparison, rows: int = REPORT_ROWS) -> list[Row]:
-    """The report's few mismatched rows, in sample order."""
-    missing = _split_sample(c).filter(F.col("found") == 0)
-    return missing.orderBy(ORDER).limit(rows).collect()
+    """The report's few mismatched rows, in sample order.
+
+    Their hashes come from the small match table, so the source is read with a
+    filter on a handful of hashes.
+    """
+    missing = c.sampled().filter(F.col("found") == 0).orderBy(ORDER).limit(rows).collect()
+    if not missing:
+        return []
+    found = c.source.filter(F.col(ORDER).isin(*[r[ORDER] for r in missing])).distinct().collect()
+    return sorted(found, key=lambda r: r[ORDER])
 
 
 def nearest_rows(missing: Sequence[Row], target: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -286,8 +307,8 @@ def nearest_rows(missing: Sequence[Row], target: DataFrame, columns: Sequence[st
 
 def _ordinals(c: Comparison, orders: Sequence[str]) -> list[int]:
     """Places of a few rows in the sample's order, counted rather than sorted."""
-    counts = c.sample().agg(*[F.count_if(F.col(ORDER) < o).alias(f"o{i}") for i, o in enumerate(orders)]).first()
-    return [n + 1 for n in counts]
+    before = [F.sum(F.when(F.col(ORDER) < o, F.col("copies")).otherwise(0)).alias(f"o{i}") for i, o in enumerate(orders)]
+    return [n + 1 for n in c.sampled().agg(*before).first()]
 
 
 DISCREPANCY_SCHEMA = (
@@ -398,21 +419,31 @@ def run_checks(
     spark = target.sparkSession
     found: list[Row] = []
     try:
-        if row_count:
-            found += row_count_check(source, target, table, source_file).collect()
+        comparison, refusal = None, None
         if content:
             try:
-                c = prepare_comparison(source, target, sample_percentage, mapping, exclude, source_file)
+                comparison = prepare_comparison(source, target, sample_percentage, mapping, exclude, source_file)
             except NothingToCompare as e:
-                found += failed_check(
-                    spark, CONTENT, table, str(e), source_count=e.source_count, target_count=e.target_count
-                ).collect()
-            else:
-                row = content_check(c, table, count_copies).first()
-                if details and row["status"] == FAILED:
-                    text = (row["error_message"] + " " + discrepancy_text(c)).strip()
-                    row = Row(**{**row.asDict(), "error_message": text})
-                found.append(row)
+                refusal = e
+        known = comparison or refusal
+        if row_count and known is not None and known.source_count is not None:
+            # The match already counted both sides.
+            counts = spark.range(1).select(
+                F.lit(known.source_count).cast("bigint").alias("s"), F.lit(known.target_count).cast("bigint").alias("t")
+            )
+            found += _row_count_row(counts, table).collect()
+        elif row_count:
+            found += row_count_check(source, target, table, source_file).collect()
+        if refusal is not None:
+            found += failed_check(
+                spark, CONTENT, table, str(refusal), source_count=refusal.source_count, target_count=refusal.target_count
+            ).collect()
+        elif comparison is not None:
+            row = content_check(comparison, table, count_copies).first()
+            if details and row["status"] == FAILED:
+                text = (row["error_message"] + " " + discrepancy_text(comparison)).strip()
+                row = Row(**{**row.asDict(), "error_message": text})
+            found.append(row)
     except Exception as e:
         found += failed_check(spark, SYSTEM_ERROR, table, str(e)).collect()
     return spark.createDataFrame([tuple(r[f.name] for f in CHECK_SCHEMA.fields) for r in found], CHECK_SCHEMA)

@@ -8,6 +8,7 @@ of rows.  The sample is then a plain filter, so no task holds it whole.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ from tideline.functions.names import col
 from tideline.functions.text import as_text, row_text
 
 ORDER = "__order"
+ORDER_DIGITS = 64
 PREFIX_DIGITS = 4
 # Below this many rows a prefix is resolved hash by hash.
 SMALL_BUCKET = 10_000
@@ -52,23 +54,31 @@ def hash_order(texts: Sequence[Column]) -> Column:
     return F.sha2(row_text(texts), 256)
 
 
-def prefix_counts(frame: DataFrame, prefix: str = "", digits: int = PREFIX_DIGITS) -> list[tuple[str, int]]:
-    """Rows per next ``digits`` of the order, in order."""
+def prefix_counts(
+    frame: DataFrame, prefix: str = "", digits: int = PREFIX_DIGITS, weight: Column | None = None
+) -> list[tuple[str, int]]:
+    """Rows (or their weights) per next ``digits`` of the order, in order."""
     within = frame.filter(F.col(ORDER).startswith(prefix)) if prefix else frame
     part = F.substring(F.col(ORDER), len(prefix) + 1, digits)
-    rows = within.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = within.groupBy(part.alias("part")).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")).collect()
     return sorted((r["part"], r["n"]) for r in rows)
 
 
 def find_cutoff(
-    frame: DataFrame, n: int, first_counts: list[tuple[str, int]] | None = None, small: int = SMALL_BUCKET
+    frame: DataFrame,
+    n: int,
+    first_counts: list[tuple[str, int]] | None = None,
+    small: int = SMALL_BUCKET,
+    weight: Column | None = None,
 ) -> Cutoff:
-    """The cut-off that leaves exactly ``n`` rows of ``frame`` (column ``__order``)."""
+    """The cut-off that leaves exactly ``n`` rows of ``frame`` (column ``__order``).
+
+    With ``weight`` a row of the frame stands for that many rows.
+    """
     if n <= 0:
         raise ValueError("a sample has at least one row")
     prefix, left = "", n
-    counts = prefix_counts(frame) if first_counts is None else first_counts
-    width = 64
+    counts = prefix_counts(frame, weight=weight) if first_counts is None else first_counts
     while True:
         for part, rows in counts:
             if rows >= left:
@@ -79,9 +89,19 @@ def find_cutoff(
         prefix += part
         if rows == left:
             return Cutoff(prefix)
-        if len(prefix) == width:
+        if len(prefix) == ORDER_DIGITS:
             return Cutoff(prefix, left)
-        counts = prefix_counts(frame, prefix, width if rows <= small else PREFIX_DIGITS)
+        digits = ORDER_DIGITS
+        if rows > small:
+            # Copies of one row share their whole hash: skip what the prefix's
+            # rows have in common, however many they are.
+            within = frame.filter(F.col(ORDER).startswith(prefix))
+            low, high = within.agg(F.min(ORDER), F.max(ORDER)).first()
+            prefix = os.path.commonprefix([low, high])
+            if len(prefix) == ORDER_DIGITS:
+                return Cutoff(prefix, left)
+            digits = PREFIX_DIGITS
+        counts = prefix_counts(frame, prefix, digits, weight)
 
 
 def hash_sample(
