@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.dates import to_moment
-from tideline.functions.text import as_text
+from tideline.functions.text import as_text, text_to_double
 
 # Fixed values.
 TEXT_LIMIT = 4000
@@ -42,13 +42,14 @@ def to_integer(c: Column, data_type: T.DataType) -> Column:
     Text is first read exactly, so large keys do not pass through a double.
     """
     if isinstance(data_type, T.StringType):
-        return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+        return F.coalesce(c.try_cast("bigint"), text_to_double(c).try_cast("bigint"))
     return c.try_cast("bigint")
 
 
 def to_float(c: Column, data_type: T.DataType) -> Column:
     """Double; NaN has no place in the target and becomes NULL."""
-    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+    number = text_to_double(c) if isinstance(data_type, T.StringType) else c.try_cast("double")
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def to_flag(c: Column, data_type: T.DataType) -> Column:

@@ -35,7 +35,8 @@ def strip(c: Column) -> Column:
     code; plain ``trim`` would leave tabs and a regular expression backtracks.
     Most text starts and ends with a plain ASCII character and skips it.
     """
-    clean = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    clean = (F.least(first, last) >= "!") & (F.greatest(first, last) <= "~")
     return F.when(clean, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
@@ -93,18 +94,23 @@ def homogenize(df: DataFrame, decimals: dict[str, int] | None = None) -> DataFra
     return text.select(*[F.nullif(strip(col(n)), F.lit("")).alias(n) for n in text.columns])
 
 
-def whole_number_text(c: Column, keep_leading_zeros: bool = True) -> Column:
-    """Legacy spelling of numbers in text: ``12.0`` and ``1e2`` lose their dressing.
+def text_to_double(text: Column) -> Column:
+    """Double, or NULL.  Only text that starts like one is cast: a failed cast is slow."""
+    return F.when(text.rlike(r"^\s*[-+]?(\.?[0-9]|(?i:inf|nan))"), text.try_cast("double"))
 
-    Exact up to 28 integer digits; other text passes unchanged, stripped, empty
-    as NULL.  Codes such as ``007`` are kept unless asked otherwise.
+
+def whole_number_text(text: Column, keep_leading_zeros: bool = True) -> Column:
+    """Legacy spelling of numbers in stripped text: ``12.0`` and ``1e2`` lose their dressing.
+
+    Exact up to 28 integer digits; other text passes unchanged, empty as NULL.
+    Codes such as ``007`` are kept unless asked otherwise.
     """
-    text = F.nullif(strip(c), F.lit(""))
+    # Plain digits need no work, so only dressed numbers are ever cast.
+    dressed = r"^[-+]?[0-9]*(\.[0-9]*)?([eE][-+]?[0-9]+)?$"
+    plain = r"^-?(0|[1-9][0-9]*)$" if not keep_leading_zeros else r"^-?([0-9]+|0[0-9].*)$"
     number = text.try_cast(T.DecimalType(38, 10))
-    whole = number == F.floor(number)
-    if keep_leading_zeros:
-        whole = whole & ~text.rlike(r"^[+-]?0[0-9]")
-    return F.when(whole, number.cast(T.DecimalType(38, 0)).cast("string")).otherwise(text)
+    bare = F.when(number == F.floor(number), number.cast(T.DecimalType(38, 0)).cast("string"))
+    return F.nullif(F.when(~text.rlike(plain) & text.rlike(dressed), F.coalesce(bare, text)).otherwise(text), F.lit(""))
 
 
 def compare_text(c: Column, data_type: T.DataType | None = None) -> Column:

@@ -101,6 +101,14 @@ def rewrite_datetimes(
     if on_unparsed not in ("null", "keep"):
         raise ValueError("on_unparsed must be 'null' or 'keep'")
     patterns = {p.name: p for p in COLUMN_PATTERNS}
+    # Stripped text and its timestamp are columns of their own, computed once.
+    stripped = {n: strip(col(n)).alias(f"{n}__text") for n in choices}
+    df_text = df.select("*", *stripped.values())
+    parsed = {}
+    for name, choice in choices.items():
+        text = col(f"{name}__text")
+        parsed[name] = patterns[choice].parse(text, date_family(text)).alias(f"{name}__parsed")
+    df_parsed = df_text.select("*", *parsed.values())
     out: list[Column] = []
     for f in df.schema.fields:
         c = col(f.name)
@@ -110,10 +118,8 @@ def rewrite_datetimes(
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             typed, text = c, F.date_format(c, DATETIME_TEXT)
         elif f.name in choices:
-            pattern = patterns[choices[f.name]]
-            text = strip(c)
-            typed = pattern.parse(text, date_family(text))
-            text = pattern.render(typed)
+            typed = col(f"{f.name}__parsed")
+            text = patterns[choices[f.name]].render(typed)
             if on_unparsed == "keep":
                 text = F.coalesce(text, c)
         else:
@@ -121,7 +127,7 @@ def rewrite_datetimes(
         out.append(text.alias(f.name))
         if keep_typed and typed is not None:
             out.append(typed.alias(f.name + "__ts"))
-    return df.select(*out)
+    return df_parsed.select(*out)
 
 
 def normalize_datetimes(

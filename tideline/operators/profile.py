@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tideline.functions.convert import TEXT_LIMIT, convert, full_text
 from tideline.functions.dates import parse_any
 from tideline.functions.names import col
-from tideline.functions.text import string_columns, strip
+from tideline.functions.text import string_columns, strip, text_to_double
 
 # Width rules of the target.
 UNKNOWN_WIDTH = 255
@@ -87,11 +87,9 @@ def field_spec(df: DataFrame) -> DataFrame:
 def value_kind(c: Column) -> Column:
     """What the text of one value looks like; NULL for NULL."""
     text = strip(c)
-    # Only text that starts like a number (or inf, nan) is worth a cast.
-    numeric = text.rlike("^[-+.0-9iInN]") & text.try_cast("double").isNotNull()
     return (
         F.when(text.rlike(r"^[+-]?\d+$"), F.lit("integer"))
-        .when(numeric, F.lit("decimal"))
+        .when(text_to_double(text).isNotNull(), F.lit("decimal"))
         .when(parse_any(text).isNotNull(), F.lit("date"))
         .when(text.isNotNull(), F.lit("text"))
     )

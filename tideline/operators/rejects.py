@@ -14,7 +14,7 @@ REASONS = "_reject_reasons"
 SOURCE_ROW = "_source_row"
 
 
-def _reason(c: Column, data_type: T.DataType, kind: str, name: str) -> Column:
+def _reason(c: Column, data_type: T.DataType, converted: Column, kind: str, name: str) -> Column:
     """Why this value cannot load; NULL if it can."""
     if kind == "text":
         too_long = F.char_length(full_text(c, data_type)) > TEXT_LIMIT
@@ -24,7 +24,7 @@ def _reason(c: Column, data_type: T.DataType, kind: str, name: str) -> Column:
         given = given & (strip(c) != "")
     elif isinstance(data_type, (T.FloatType, T.DoubleType)):
         given = given & ~F.isnan(c)
-    return F.when(given & convert(c, data_type, kind).isNull(), F.lit(f"{name}:not_{kind}"))
+    return F.when(converted.isNull() & given, F.lit(f"{name}:not_{kind}"))
 
 
 def convert_table(df: DataFrame, targets: dict[str, str]) -> DataFrame:
@@ -34,17 +34,16 @@ def convert_table(df: DataFrame, targets: dict[str, str]) -> DataFrame:
     original values, filled for rejected rows only.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    reasons = F.filter(
-        F.array(*[_reason(col(n), types[n], k, n) for n, k in targets.items()]), lambda r: r.isNotNull()
-    )
-    original = F.to_json(F.struct(*[col(n) for n in df.columns]))
-    values = [
-        (convert(col(n), types[n], targets[n]) if n in targets else col(n)).alias(n) for n in df.columns
-    ]
-    return df.select(
-        *values,
-        F.array_join(reasons, ";").alias(REASONS),
-        F.when(F.size(reasons) > 0, original).alias(SOURCE_ROW),
+    done = {n: f"__{i}" for i, n in enumerate(targets)}
+    # Converted values and reasons are columns of their own, computed once.
+    staged = df.select("*", *[convert(col(n), types[n], k).alias(done[n]) for n, k in targets.items()])
+    reasons = [_reason(col(n), types[n], F.col(done[n]), k, n) for n, k in targets.items()]
+    staged = staged.withColumn(REASONS, F.concat_ws(";", *reasons))
+    original = F.to_json(F.struct(*[col(n) for n in df.columns]), {"ignoreNullFields": "false"})
+    return staged.select(
+        *[(F.col(done[n]) if n in done else col(n)).alias(n) for n in df.columns],
+        F.col(REASONS),
+        F.when(F.col(REASONS) != "", original).alias(SOURCE_ROW),
     )
 
 

@@ -12,7 +12,7 @@ from tideline.functions.convert import full_text
 from tideline.functions.names import col
 from tideline.operators.profile import field_spec
 from tideline.sinks.tables import MODES
-from tideline.sources.fixed_width import Field, fields_from_spec
+from tideline.sources.fixed_width import Field, fields_from_spec, single_byte
 
 
 def unpadded(c: Column, data_type: T.DataType, field: Field) -> Column:
@@ -38,10 +38,14 @@ def _types(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
+def _cells(df: DataFrame, fields: Sequence[Field]) -> list[Column]:
+    types = _types(df)
+    return [padded(unpadded(col(f.name), types[f.name], f), f) for f in fields]
+
+
 def record_text(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """One line per row."""
-    types = _types(df)
-    return df.select(F.concat(*[padded(unpadded(col(f.name), types[f.name], f), f) for f in fields]).alias("value"))
+    return df.select(F.concat(*_cells(df, fields)).alias("value"))
 
 
 def overflows(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -77,14 +81,16 @@ def write_dbf(
         raise ValueError("dBASE tables are written with mode 'replace' or 'append'")
     fields = list(fields or fields_from_spec(field_spec(df)))
     register(df.sparkSession)
-    types = _types(df)
-    parts = [F.encode(F.lit(" "), "US-ASCII")]
-    for f in fields:
-        data = F.encode(padded(unpadded(col(f.name), types[f.name], f), f), encoding)
-        parts.append(F.rpad(F.substring(data, 1, f.length), f.length, F.lit(bytearray(b" "))))
+    if single_byte(encoding):
+        record = F.encode(F.concat(F.lit(" "), *_cells(df, fields)), encoding)
+    else:
+        encoded = [F.encode(c, encoding) for c in _cells(df, fields)]
+        blank = F.lit(bytearray(b" "))
+        fitted = [F.rpad(F.substring(data, 1, f.length), f.length, blank) for data, f in zip(encoded, fields)]
+        record = F.concat(blank, *fitted)
     described = ";".join(f"{f.name}:{f.kind}:{f.length}:{f.decimals}" for f in fields)
     (
-        df.select(F.concat(*parts).alias("record")).write.format("dbf_records")
+        df.select(record.alias("record")).write.format("dbf_records")
         .mode(MODES[mode]).option("fields", described).save(path)
     )
     return fields

@@ -8,6 +8,7 @@ files, which get their final names when the whole job has succeeded.
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,9 +24,12 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from tideline.sources import fixed_width
 from tideline.sources.fixed_width import Field
 
-HEADER, DESCRIPTOR = struct.Struct("<BBBBIHH20x"), struct.Struct("<11sc4xBB14x")
+# Header and field descriptor layout.
+HEADER, DESCRIPTOR = "<BBBBIHH20x", "<11sc4xBB14x"
+HEADER_SIZE = DESCRIPTOR_SIZE = 32
 TABLE_VERSION, HEADER_END, FILE_END = 0x03, b"\r", b"\x1a"
 BATCH_BYTES = 4 << 20
 # A table's record count stands before its records, so a task holds the encoded
@@ -63,24 +67,24 @@ def list_tables(path: str) -> list[str]:
 def read_header(path: str) -> Header:
     system, local = _open_fs(path)
     with system.open_input_file(local) as f:
-        _, _, _, _, records, data_start, record_length = HEADER.unpack(f.read(HEADER.size))
-        described = f.read(data_start - HEADER.size)
+        _, _, _, _, records, data_start, record_length = struct.unpack(HEADER, f.read(HEADER_SIZE))
+        described = f.read(data_start - HEADER_SIZE)
     fields = []
-    for at in range(0, len(described) - DESCRIPTOR.size + 1, DESCRIPTOR.size):
+    for at in range(0, len(described) - DESCRIPTOR_SIZE + 1, DESCRIPTOR_SIZE):
         if described[at : at + 1] == HEADER_END:
             break
-        name, kind, length, decimals = DESCRIPTOR.unpack_from(described, at)
+        name, kind, length, decimals = struct.unpack_from(DESCRIPTOR, described, at)
         fields.append(Field(name.split(b"\0")[0].decode("ascii", "replace"), kind.decode("ascii"), length, decimals))
     return Header(records, data_start, record_length, tuple(fields))
 
 
 def header_bytes(fields: list[Field], records: int) -> bytes:
     # The date of last update is fixed so that equal data gives equal files.
-    size = HEADER.size + DESCRIPTOR.size * len(fields) + 1
+    size = HEADER_SIZE + DESCRIPTOR_SIZE * len(fields) + 1
     length = 1 + sum(f.length for f in fields)
-    head = HEADER.pack(TABLE_VERSION, 0, 1, 1, records, size, length)
+    head = struct.pack(HEADER, TABLE_VERSION, 0, 1, 1, records, size, length)
     described = b"".join(
-        DESCRIPTOR.pack(f.name.encode("ascii", "replace")[:10], f.kind.encode("ascii"), f.length, f.decimals)
+        struct.pack(DESCRIPTOR, f.name.encode("ascii", "replace")[:10], f.kind.encode("ascii"), f.length, f.decimals)
         for f in fields
     )
     return head + described + HEADER_END
@@ -208,4 +212,13 @@ class DbfRecords(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the format known to the session.
+
+    The classes travel to the workers by value, so the library need not be
+    installed there.
+    """
+    from pyspark import cloudpickle
+
+    for module in (sys.modules[__name__], fixed_width):
+        cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(DbfRecords)

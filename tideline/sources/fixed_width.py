@@ -33,24 +33,46 @@ def fields_from_spec(spec: DataFrame) -> list[Field]:
     return [Field(r["field_name"], r["field_type"], r["length"], r["decimals"]) for r in rows]
 
 
-def field_text(raw: Column, field: Field, keep_leading_zeros: bool = True) -> Column:
-    """Text value of one field: stripped, empty as NULL, numbers undressed, dates ISO."""
-    text = F.nullif(strip(raw), F.lit(""))
+def single_byte(encoding: str) -> bool:
+    """Does every byte stand for one character?"""
+    try:
+        return len(bytes(range(256)).decode(encoding, "replace")) == 256
+    except LookupError:
+        return False
+
+
+def field_value(text: Column, field: Field, keep_leading_zeros: bool = True) -> Column:
+    """Value of one stripped field as text: empty as NULL, numbers undressed, dates ISO."""
     if field.kind == "D":
-        day = F.try_to_timestamp(text, F.lit("yyyyMMdd"))
-        return F.coalesce(F.date_format(day, "yyyy-MM-dd"), text)
+        day = F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("yyyyMMdd"))
+        return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.nullif(text, F.lit("")))
     if field.kind == "L":
         return F.when(text.isin(*LOGICAL_TRUE), F.lit("True")).when(text.isin(*LOGICAL_FALSE), F.lit("False"))
     return whole_number_text(text, keep_leading_zeros and field.kind == "C")
 
 
-def cut_record(record: Column, fields: Sequence[Field], start: int = 1, keep_leading_zeros: bool = True) -> list[Column]:
-    """The fields of one record given as text."""
-    out = []
+def cut_records(
+    records: DataFrame, record: Column, fields: Sequence[Field], start: int, keep_leading_zeros: bool,
+    encoding: str | None = None, keep: Sequence[Column] = (),
+) -> DataFrame:
+    """Records (text, or bytes of an ``encoding``) cut into one column per field.
+
+    Cutting, stripping and reading are separate steps, so each is done once per
+    value however often the next one looks at it.
+    """
+    raw = []
+    if encoding is not None and single_byte(encoding):
+        records = records.select(F.decode(record, encoding).alias("__line"), *keep)
+        record, encoding, keep = F.col("__line"), None, [F.col(n) for n in records.columns[1:]]
     for f in fields:
-        out.append(field_text(F.substring(record, start, f.length), f, keep_leading_zeros).alias(f.name))
+        part = F.substring(record, start, f.length)
+        # In a multi-byte codepage fields are cut as bytes and decoded one by one.
+        raw.append((part if encoding is None else F.decode(part, encoding)).alias(f.name))
         start += f.length
-    return out
+    cut = records.select(*raw, *keep)
+    kept = [col(n) for n in cut.columns[len(fields) :]]
+    cut = cut.select(*[strip(col(f.name)).alias(f.name) for f in fields], *kept)
+    return cut.select(*[field_value(col(f.name), f, keep_leading_zeros).alias(f.name) for f in fields], *kept)
 
 
 def read_fixed_text(
@@ -58,7 +80,7 @@ def read_fixed_text(
 ) -> DataFrame:
     """Text files with one record per line; splits like any text file."""
     lines = spark.read.text(path if isinstance(path, str) else list(path))
-    return lines.select(*cut_record(F.col("value"), fields, 1, keep_leading_zeros))
+    return cut_records(lines, F.col("value"), fields, 1, keep_leading_zeros)
 
 
 def read_dbf(
@@ -86,15 +108,8 @@ def read_dbf(
     flagged = F.substring(F.col("record"), 1, 1) == F.lit(bytearray(b"*"))
     if deleted == "skip":
         records = records.filter(~flagged)
-    out, start = [], 2
-    for f in first.fields:
-        # Cut bytes first: in a multi-byte codepage characters and bytes differ.
-        raw = F.decode(F.substring(F.col("record"), start, f.length), encoding)
-        out.append(field_text(raw, f, keep_leading_zeros).alias(f.name))
-        start += f.length
-    if deleted == "keep":
-        out.append(flagged.alias("_deleted"))
-    return records.select(*out)
+    kept = [flagged.alias("_deleted")] if deleted == "keep" else []
+    return cut_records(records, F.col("record"), first.fields, 2, keep_leading_zeros, encoding, kept)
 
 
 def legacy_text(c: Column, data_type: T.DataType, keep_leading_zeros: bool = True) -> Column:
@@ -103,7 +118,7 @@ def legacy_text(c: Column, data_type: T.DataType, keep_leading_zeros: bool = Tru
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, DATETIME_TEXT)
-    return whole_number_text(c.cast("string"), keep_leading_zeros)
+    return whole_number_text(strip(c.cast("string")), keep_leading_zeros)
 
 
 def legacy_table(df: DataFrame, keep_leading_zeros: bool = True) -> DataFrame:
