@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -26,8 +27,8 @@ class Pattern:
     family: str
     date_only: bool
 
-    def parse(self, text: Column, family: Column) -> Column:
-        return F.when(family == self.family, F.try_to_timestamp(text, F.lit(self.layout)))
+    def parse(self, text: Column) -> Column:
+        return F.try_to_timestamp(text, F.lit(self.layout))
 
     def render(self, moment: Column) -> Column:
         return F.date_format(moment, DATE_TEXT if self.date_only else DATETIME_TEXT)
@@ -65,43 +66,52 @@ VALUE_PATTERNS = (
 SHORTEST, LONGEST = 8, 29
 
 
-def date_family(text: Column) -> Column:
-    """Which patterns could read this text at all; NULL for none.
+def by_family(text: Column, result: Callable[[str], Column]) -> Column:
+    """What ``result`` gives for the family of stripped text; NULL if it has none.
 
-    A few character tests that keep the parsers, which are far slower, away from
-    text they would refuse.
+    A few character tests keep the parsers, which are far slower, away from text
+    they would refuse.
     """
     plausible = F.char_length(text).between(SHORTEST, LONGEST) & F.substring(text, 1, 1).between("0", "9")
     iso = F.substring(text, 5, 1) == "-"
     clock, slash, dash = (F.contains(text, F.lit(mark)) for mark in ":/-")
     return F.when(
         plausible,
-        F.when(iso & clock, F.lit("iso_time"))
-        .when(iso, F.lit("iso_date"))
-        .when(slash & clock, F.lit("slash_time"))
-        .when(slash, F.lit("slash_date"))
-        .when(dash & clock, F.lit("dash_time"))
-        .when(dash, F.lit("dash_date"))
-        .when(F.char_length(text) == 8, F.lit("compact")),
+        F.when(iso, F.when(clock, result("iso_time")).otherwise(result("iso_date")))
+        .when(slash, F.when(clock, result("slash_time")).otherwise(result("slash_date")))
+        .when(dash, F.when(clock, result("dash_time")).otherwise(result("dash_date")))
+        .when(F.char_length(text) == SHORTEST, result("compact")),
     )
 
 
+def date_family(text: Column) -> Column:
+    """Name of the patterns' family that could read this stripped text."""
+    return by_family(text, F.lit)
+
+
 def date_like_name(name: str, parts: tuple[str, ...] = DATE_NAME_PARTS) -> bool:
     lowered = name.strip().lower()
     return any(part in lowered for part in parts)
 
 
-def date_like_text(c: Column) -> Column:
-    """Eight or more characters, with a digit and a date or time separator."""
-    text = strip(c)
+def date_like_text(text: Column) -> Column:
+    """Eight or more characters (stripped), with a digit and a date or time separator."""
     return (F.char_length(text) >= SHORTEST) & text.rlike(r"\d") & text.rlike(r"[-/ :]")
 
 
+def parse_text(text: Column) -> Column:
+    """Timestamp by the first value pattern that reads the stripped text, else NULL."""
+
+    def parsed(family: str) -> Column:
+        tried = [p.parse(text) for p in VALUE_PATTERNS if p.family == family]
+        return F.coalesce(*tried) if tried else F.lit(None).cast("timestamp")
+
+    return by_family(text, parsed)
+
+
 def parse_any(c: Column) -> Column:
-    """Timestamp by the first value pattern that reads the text, else NULL."""
-    text = strip(c)
-    family = date_family(text)
-    return F.coalesce(*[p.parse(text, family) for p in VALUE_PATTERNS])
+    """:func:`parse_text` of text that may have white space around it."""
+    return parse_text(strip(c))
 
 
 def to_moment(c: Column, data_type: T.DataType) -> Column:

@@ -31,13 +31,11 @@ def string_columns(df: DataFrame) -> list[str]:
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any kind.
 
-    ``btrim`` with a character set is linear in the text and stays in generated
-    code; plain ``trim`` would leave tabs and a regular expression backtracks.
-    Most text starts and ends with a plain ASCII character and skips it.
+    ``btrim`` with a character set is linear in the text, stays in generated code
+    and mentions its input once; plain ``trim`` would leave tabs and a regular
+    expression backtracks.
     """
-    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
-    clean = (F.least(first, last) >= "!") & (F.greatest(first, last) <= "~")
-    return F.when(clean, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def trim_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -88,6 +86,21 @@ def nested_to_text(df: DataFrame) -> DataFrame:
     return df.withColumns(nested) if nested else df
 
 
+def column_values(df: DataFrame, texts: Sequence[Column]) -> DataFrame:
+    """One row per row and column: the column's ``position`` and its ``text``.
+
+    What follows is then written once instead of once per column, so generated
+    code stays small however wide the table is.
+    """
+    cells = [F.struct(F.lit(i).alias("position"), t.alias("text")) for i, t in enumerate(texts)]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def name_at(names: Sequence[str], position: Column) -> Column:
+    """The name of the column at a position."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position + 1)
+
+
 def homogenize(df: DataFrame, decimals: dict[str, int] | None = None) -> DataFrame:
     """Every value text, stripped, empty as NULL; the declared column order is kept."""
     text = stringify(df, decimals)

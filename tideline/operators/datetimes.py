@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,49 +18,7 @@ from tideline.functions.dates import (
     date_like_text,
 )
 from tideline.functions.names import col
-from tideline.functions.text import string_columns, strip
-
-# Columns profiled per pass.  Nine aggregates a column; more columns than this
-# would leave generated code.  Columnar files are read once all the same, since
-# every pass prunes to its own columns.
-COLUMNS_PER_PASS = 40
-
-
-def _profile_pass(df: DataFrame, names: Sequence[str], parts: tuple[str, ...]) -> DataFrame:
-    """One aggregate over ``names``; one output row per column."""
-    prepared, aggregates = [], []
-    for i, name in enumerate(names):
-        text = strip(col(name))
-        prepared += [
-            text.alias(f"t{i}"),
-            date_family(text).alias(f"f{i}"),
-            F.coalesce(date_like_text(text), F.lit(False)).alias(f"l{i}"),
-        ]
-        aggregates += [F.count(F.col(f"t{i}")).alias(f"n{i}"), F.coalesce(F.bool_or(f"l{i}"), F.lit(False)).alias(f"l{i}")]
-        aggregates += [
-            F.count(p.parse(F.col(f"t{i}"), F.col(f"f{i}"))).alias(f"p{i}_{k}") for k, p in enumerate(COLUMN_PATTERNS)
-        ]
-    rows = []
-    for i, name in enumerate(names):
-        flagged = F.lit(date_like_name(name, parts)) | F.col(f"l{i}")
-        winner, parsed = F.lit(None).cast("string"), F.lit(0).cast("bigint")
-        for k in range(len(COLUMN_PATTERNS) - 1, -1, -1):
-            hit = flagged & (F.col(f"p{i}_{k}") > 0)
-            winner = F.when(hit, F.lit(COLUMN_PATTERNS[k].name)).otherwise(winner)
-            parsed = F.when(hit, F.col(f"p{i}_{k}")).otherwise(parsed)
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(date_like_name(name, parts)).alias("flagged_by_name"),
-                F.col(f"l{i}").alias("flagged_by_content"),
-                winner.alias("pattern"),
-                F.col(f"n{i}").alias("non_null_count"),
-                parsed.alias("parsed_count"),
-                F.when(flagged, F.col(f"n{i}") - parsed).otherwise(0).cast("bigint").alias("unparsed_count"),
-            )
-        )
-    return df.select(*prepared).agg(*aggregates).select(F.inline(F.array(*rows)))
-
+from tideline.functions.text import column_values, name_at, string_columns, strip
 
 def datetime_profile(
     df: DataFrame, columns: Sequence[str] | None = None, name_parts: tuple[str, ...] = DATE_NAME_PARTS
@@ -69,13 +26,34 @@ def datetime_profile(
     """Per text column: is it a date column, by what, and which pattern reads it.
 
     All rows count, so the answer does not depend on row order.  Detection and
-    all pattern counts share one pass.
+    all pattern counts share one pass; each task sends one row per column.
     """
     names = list(string_columns(df) if columns is None else columns)
     if not names:
         raise ValueError("the table has no text column to profile")
-    groups = [names[i : i + COLUMNS_PER_PASS] for i in range(0, len(names), COLUMNS_PER_PASS)]
-    return reduce(DataFrame.unionByName, [_profile_pass(df, g, name_parts) for g in groups])
+    text, family = F.col("text"), F.col("family")
+    values = column_values(df, [strip(col(n)) for n in names]).select(
+        "position", "text", date_family(text).alias("family"), F.coalesce(date_like_text(text), F.lit(False)).alias("looks")
+    )
+    counts = values.groupBy("position").agg(
+        F.count(text).alias("n"),
+        F.bool_or("looks").alias("looks"),
+        *[F.count(F.when(family == p.family, p.parse(text))).alias(p.name) for p in COLUMN_PATTERNS],
+    )
+    named = F.element_at(F.array(*[F.lit(date_like_name(n, name_parts)) for n in names]), F.col("position") + 1)
+    flagged = F.col("flagged_by_name") | F.col("looks")
+    hits = [(p, flagged & (F.col(p.name) > 0)) for p in COLUMN_PATTERNS]
+    pattern = F.coalesce(*[F.when(hit, F.lit(p.name)) for p, hit in hits])
+    parsed = F.coalesce(*[F.when(hit, F.col(p.name)) for p, hit in hits], F.lit(0).cast("bigint"))
+    return counts.withColumn("flagged_by_name", named).select(
+        name_at(names, F.col("position")).alias("column_name"),
+        "flagged_by_name",
+        F.col("looks").alias("flagged_by_content"),
+        pattern.alias("pattern"),
+        F.col("n").alias("non_null_count"),
+        parsed.alias("parsed_count"),
+        F.when(flagged, F.col("n") - parsed).otherwise(F.lit(0).cast("bigint")).alias("unparsed_count"),
+    )
 
 
 def choose_patterns(
@@ -107,7 +85,8 @@ def rewrite_datetimes(
     parsed = {}
     for name, choice in choices.items():
         text = col(f"{name}__text")
-        parsed[name] = patterns[choice].parse(text, date_family(text)).alias(f"{name}__parsed")
+        pattern = patterns[choice]
+        parsed[name] = F.when(date_family(text) == pattern.family, pattern.parse(text)).alias(f"{name}__parsed")
     df_parsed = df_text.select("*", *parsed.values())
     out: list[Column] = []
     for f in df.schema.fields:

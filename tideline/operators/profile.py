@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.convert import TEXT_LIMIT, convert, full_text
-from tideline.functions.dates import parse_any
+from tideline.functions.dates import parse_text
 from tideline.functions.names import col
-from tideline.functions.text import string_columns, strip, text_to_double
+from tideline.functions.text import column_values, name_at, string_columns, strip, text_to_double
 
 # Width rules of the target.
 UNKNOWN_WIDTH = 255
@@ -84,26 +84,21 @@ def field_spec(df: DataFrame) -> DataFrame:
     return _rows_from_one(df, aggregates, rows)
 
 
-def value_kind(c: Column) -> Column:
-    """What the text of one value looks like; NULL for NULL."""
-    text = strip(c)
+def value_kind(text: Column) -> Column:
+    """What one value's stripped text looks like; NULL for NULL."""
     return (
         F.when(text.rlike(r"^[+-]?\d+$"), F.lit("integer"))
         .when(text_to_double(text).isNotNull(), F.lit("decimal"))
-        .when(parse_any(text).isNotNull(), F.lit("date"))
+        .when(parse_text(text).isNotNull(), F.lit("date"))
         .when(text.isNotNull(), F.lit("text"))
     )
 
 
-def _kind_counts(df: DataFrame, kinds_wanted: Sequence[str] = VALUE_KINDS):
-    """The frame with one kind column per column, and its counting aggregates."""
-    kinds = [value_kind(full_text(col(f.name), f.dataType)).alias(f"k{i}") for i, f in enumerate(df.schema.fields)]
-    aggregates = [
-        F.count_if(F.col(f"k{i}") == kind).alias(f"c{i}_{kind}")
-        for i in range(len(df.columns))
-        for kind in kinds_wanted
-    ]
-    return kinds, aggregates
+def _with_kinds(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The frame with ``k0``, ``k1`` ... : what each named column's values look like."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    texts = [strip(full_text(col(n), types[n])).alias(f"t{i}") for i, n in enumerate(names)]
+    return df.select("*", *texts).select("*", *[value_kind(F.col(f"t{i}")).alias(f"k{i}") for i in range(len(names))])
 
 
 def type_profile(df: DataFrame) -> DataFrame:
@@ -111,21 +106,19 @@ def type_profile(df: DataFrame) -> DataFrame:
 
     ``is_mixed`` marks columns whose values do not all look alike.
     """
-    kinds, aggregates = _kind_counts(df)
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        counts = [F.col(f"c{i}_{k}") for k in VALUE_KINDS]
-        seen = sum(((n > 0).cast("int") for n in counts), F.lit(0))
-        total = sum(counts, F.lit(0).cast("bigint"))
-        rows.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                total.alias("non_null_count"),
-                *[n.alias(f"{k}_count") for n, k in zip(counts, VALUE_KINDS)],
-                (seen > 1).alias("is_mixed"),
-            )
-        )
-    return _rows_from_one(df.select(*kinds), aggregates, rows)
+    texts = [strip(full_text(col(f.name), f.dataType)) for f in df.schema.fields]
+    kinds = column_values(df, texts).select("position", value_kind(F.col("text")).alias("kind"))
+    counts = {k: F.count_if(F.col("kind") == k) for k in VALUE_KINDS}
+    found = kinds.groupBy("position").agg(
+        F.count("kind").alias("non_null_count"), *[n.alias(f"{k}_count") for k, n in counts.items()]
+    )
+    seen = sum(((F.col(f"{k}_count") > 0).cast("int") for k in VALUE_KINDS), F.lit(0))
+    return found.select(
+        name_at(df.columns, F.col("position")).alias("column_name"),
+        "non_null_count",
+        *[f"{k}_count" for k in VALUE_KINDS],
+        (seen > 1).alias("is_mixed"),
+    )
 
 
 def conversion_stats(df: DataFrame, targets: dict[str, str]) -> DataFrame:
@@ -137,11 +130,7 @@ def conversion_stats(df: DataFrame, targets: dict[str, str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     marks, aggregates, rows = [], [], []
     for i, (name, kind) in enumerate(targets.items()):
-        c = col(name)
-        marks += [
-            value_kind(full_text(c, types[name])).alias(f"k{i}"),
-            convert(c, types[name], kind).isNotNull().alias(f"v{i}"),
-        ]
+        marks += [F.col(f"k{i}"), convert(col(name), types[name], kind).isNotNull().alias(f"v{i}")]
         for source in VALUE_KINDS:
             for becomes, converted in ((kind, True), ("null", False)):
                 label = f"c{i}_{source}_{converted}"
@@ -156,4 +145,4 @@ def conversion_stats(df: DataFrame, targets: dict[str, str]) -> DataFrame:
                         F.col(label).alias("n_values"),
                     )
                 )
-    return _rows_from_one(df.select(*marks), aggregates, rows).filter(F.col("n_values") > 0)
+    return _rows_from_one(_with_kinds(df, list(targets)).select(*marks), aggregates, rows).filter(F.col("n_values") > 0)

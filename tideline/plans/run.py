@@ -86,6 +86,17 @@ def _read_files(spark: SparkSession, kind: str, files: Any, options: dict, data_
     return read_typed_as_text(spark, paths[0], kind, **options)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt out to all of them.
+
+    Compressed text, one-row-group files and unsplit database reads would else
+    run every later step on a few cores.  Large inputs have more splits than
+    cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def _read_query(spark: SparkSession, spec: TableSpec, data_dir: str | None) -> DataFrame:
     """SQL over named sources; over several database tables the database runs it."""
     source = spec.data_source
@@ -111,8 +122,8 @@ def read_source(spark: SparkSession, spec: TableSpec, data_dir: str | None = Non
     if spec.source_type == "custom_query":
         return _read_query(spark, spec, data_dir)
     if spec.source_type == "table":
-        return read_table(spark, table=spec.source_table, schema=spec.source_schema, **spec.source_options)
-    df = _read_files(spark, spec.source_type, spec.source_file_path, spec.source_options, data_dir)
+        return spread(read_table(spark, table=spec.source_table, schema=spec.source_schema, **spec.source_options))
+    df = spread(_read_files(spark, spec.source_type, spec.source_file_path, spec.source_options, data_dir))
     return normalize_datetimes(df) if spec.normalize_dates else df
 
 
