@@ -73,8 +73,13 @@ def read_delimited(
 
 
 def ragged_rows(df: DataFrame) -> DataFrame:
-    """Rows whose field count was wrong: the raw line and what was kept of it."""
-    return df.filter(F.col(CORRUPT).isNotNull())
+    """Rows whose field count was wrong: the raw line and what was kept of it.
+
+    The filter names a data column as well, because Spark refuses to parse a file
+    for its raw lines alone.
+    """
+    bad = F.col(CORRUPT).isNotNull()
+    return df.filter(bad & F.coalesce(col(df.columns[0]), F.col(CORRUPT)).isNotNull())
 
 
 def source_path(file_path) -> "F.Column":
