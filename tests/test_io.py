@@ -106,6 +106,27 @@ def test_large_dbf_is_read_by_many_tasks(spark, tmp_path):
     assert fixed_width.read_dbf(spark, f"{tmp_path}/big", encoding="Big5").count() == 5
 
 
+def test_dbf_layouts_union_with_lineage(spark, tmp_path):
+    one = [fixed_width.Field("A", "C", 3)]
+    two = [fixed_width.Field("A", "C", 5), fixed_width.Field("B", "C", 2)]
+    for name, fields, body in (("x.dbf", one, b" a  "), ("y.dbf", two, b" bb   q "), ("z.dbf", one, b" c  ")):
+        with open(f"{tmp_path}/{name}", "wb") as f:
+            f.write(dbf_format.header_bytes(fields, 1) + body + b"\x1a")
+    spec = {"source_type": "dbf", "source_file_path": ["x.dbf", "y.dbf", "z.dbf"], "target_table": "T"}
+    run = run_table(spark, spec, str(tmp_path), f"{tmp_path}/out")
+    assert (run.total_rows, run.quality_passed) == (3, True)
+    got = spark.read.parquet(f"{tmp_path}/out/T")
+    assert rows(got) == [("a", None, f"{tmp_path}/x.dbf"), ("bb", "q", f"{tmp_path}/y.dbf"), ("c", None, f"{tmp_path}/z.dbf")]
+
+
+def test_fixed_text_run_with_lineage(spark, tmp_path):
+    paths = [write(f"{tmp_path}/a.txt", "001 x\n"), write(f"{tmp_path}/b.txt", "002 y\n")]
+    fields = [{"name": "code", "kind": "C", "length": 3}, {"name": "v", "kind": "C", "length": 2}]
+    spec = {"source_type": "fixed_text", "source_file_path": paths, "source_options": {"fields": fields}, "target_table": "T"}
+    assert run_table(spark, spec, None, f"{tmp_path}/out").total_rows == 2
+    assert rows(spark.read.parquet(f"{tmp_path}/out/T")) == [("001", "x", paths[0]), ("002", "y", paths[1])]
+
+
 def test_fixed_text_overflow_is_reported(spark, tmp_path):
     df = spark.createDataFrame([(123, "abcdef"), (1, "x")], "n int, c string")
     fields = [fixed_width.Field("n", "N", 2), fixed_width.Field("c", "C", 4)]

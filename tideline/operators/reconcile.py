@@ -21,6 +21,8 @@ PASSED, FAILED = "PASSED", "FAILED"
 REPORT_ROWS, REPORT_COLUMNS, REPORT_EXAMPLES, REPORT_TEXT = 5, 3, 3, 3900
 # How far the match pass reaches beyond the sample, and in how many hash digits.
 REACH_MARGIN, REACH_DIGITS = 1.1, 8
+# Hashes (about 100 bytes each) that may be sent to every task.
+BROADCAST_HASHES = 200_000
 
 CHECK_SCHEMA = T.StructType(
     [
@@ -250,11 +252,16 @@ def content_check(c: Comparison, table: str, count_copies: bool = False) -> Data
 def _sampled_rows(c: Comparison, wanted: DataFrame) -> DataFrame:
     """The distinct source rows behind some sampled hashes, with their copies.
 
-    One row is kept per hash.  Rows of a hash are equal, so copies are dropped
-    within each task before anything is shuffled.
+    A few hashes (counted in the small match table) are sent to every task, so
+    only their rows are shuffled.  Many are joined by a shuffle, with copies of a
+    row dropped in each task before it.
     """
+    hashes = wanted.select(ORDER, "copies")
+    names = [*[col(n) for n in c.columns], "copies"]
+    if hashes.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES:
+        return c.source.join(F.broadcast(hashes), ORDER).select(ORDER, *names).distinct().select(*names)
     inside = c.source.filter(c.cutoff.contains(F.col(ORDER)))
-    return inside.distinct().join(wanted.select(ORDER, "copies"), ORDER).select(*[col(n) for n in c.columns], "copies")
+    return inside.distinct().join(hashes, ORDER).select(*names)
 
 
 def matched_rows(c: Comparison) -> DataFrame:

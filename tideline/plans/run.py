@@ -17,13 +17,14 @@ from tideline.operators.datetimes import normalize_datetimes
 from tideline.operators.reconcile import CHECK_SCHEMA, PASSED, run_checks
 from tideline.operators.transform import CleaningOptions, clean_table
 from tideline.plans.spec import CHECKED_TARGETS, TableSpec, table_spec
+from tideline.session import scratch_dir
 from tideline.sinks.fixed_width import write_dbf, write_fixed_text
 from tideline.sinks.history import append_history
 from tideline.sinks.tables import count_matches, write_database, write_table
 from tideline.sources.database import read_query, read_table
 from tideline.sources.delimited import read_delimited, split_options
 from tideline.sources.fixed_width import Field, read_dbf, read_fixed_text
-from tideline.sources.many import read_delimited_files, read_typed_files, resolve_files, union_by_name
+from tideline.sources.many import read_delimited_files, read_typed_files, resolve_files
 from tideline.sources.sql import EmptyInput, read_sql_file, run_sql, source_aliases
 from tideline.sources.typed import read_typed_as_text
 
@@ -71,16 +72,12 @@ def _read_files(spark: SparkSession, kind: str, files: Any, options: dict, data_
         if many:
             return read_delimited_files(spark, paths, options)
         return read_delimited(spark, paths[0], **split_options(options))
-    if kind in ("dbf", "fixed_text"):
-        if kind == "fixed_text":
-            options = dict(options)
-            fields = [f if isinstance(f, Field) else Field(**f) for f in options.pop("fields")]
-            frames = [read_fixed_text(spark, p, fields, **options) for p in paths]
-        else:
-            frames = [read_dbf(spark, p, **options) for p in paths]
-        if many:
-            frames = [df.withColumn("_source_file", F.lit(p)) for df, p in zip(frames, paths)]
-        return union_by_name(frames)
+    if kind == "fixed_text":
+        options = dict(options)
+        fields = [f if isinstance(f, Field) else Field(**f) for f in options.pop("fields")]
+        return read_fixed_text(spark, paths, fields, lineage=many, **options)
+    if kind == "dbf":
+        return read_dbf(spark, paths, lineage=many, **options)
     if many:
         return read_typed_files(spark, paths, kind, **options)
     return read_typed_as_text(spark, paths[0], kind, **options)
@@ -118,15 +115,30 @@ def _read_query(spark: SparkSession, spec: TableSpec, data_dir: str | None) -> D
 
 
 def read_source(spark: SparkSession, spec: TableSpec, data_dir: str | None = None) -> DataFrame:
-    """The source of a spec, dates in their common text form."""
+    """The source of a spec, refused if empty, dates in their common text form.
+
+    Files are read again by every later step.  A database table or a query is
+    run once and staged in the scratch folder: running it again would cost the
+    same once more and could see other data.
+    """
     if spec.source_type == "custom_query":
-        return _read_query(spark, spec, data_dir)
+        return staged(_read_query(spark, spec, data_dir))
     if spec.source_type == "table":
-        return spread(read_table(spark, table=spec.source_table, schema=spec.source_schema, **spec.source_options))
-    df = spread(_read_files(spark, spec.source_type, spec.source_file_path, spec.source_options, data_dir))
+        return staged(read_table(spark, table=spec.source_table, schema=spec.source_schema, **spec.source_options))
+    df = _read_files(spark, spec.source_type, spec.source_file_path, spec.source_options, data_dir)
+    require_data(df)
+    df = spread(df)
     return normalize_datetimes(df) if spec.normalize_dates else df
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The table written to the scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, "staged")
+    if write_table(df, path) == 0:
+        raise EmptyInput("the extracted table is empty")
+    return df.sparkSession.read.parquet(path)
+
+
 def require_data(df: DataFrame) -> None:
     """Refuse a table without columns or rows (looks for one row only)."""
     if not df.columns:
@@ -177,13 +189,14 @@ def run_table(
 ) -> TableRun:
     """Extract, validate, clean, write, check keys, reconcile.  Errors are raised.
 
-    The source is read by the write and again by the checks, never held; key
-    checks and reconciliation read the written table.
+    The source is read by date detection, by the write and by the checks, never
+    held; key checks and reconciliation read the written table.
     """
     spec = spec if isinstance(spec, TableSpec) else table_spec(spec)
     run = TableRun(spec.target_table, spec.source_type)
+    if source is not None:
+        require_data(source)
     extracted = read_source(spark, spec, data_dir) if source is None else source
-    require_data(extracted)
     constraint_columns(extracted, spec.constraints)
     run.extracted = True
 

@@ -24,7 +24,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from tideline.sources import fixed_width
+from tideline.sources import fixed_width, union
 from tideline.sources.fixed_width import Field
 
 # Header and field descriptor layout.
@@ -103,12 +103,9 @@ class RecordReader(DataSourceReader):
         self.path, self.per_task = path, per_task
 
     def partitions(self) -> list[RecordRange]:
-        ranges, first = [], None
-        for path in list_tables(self.path):
+        ranges = []
+        for path in (file for part in self.path.split("\n") for file in list_tables(part)):
             head = read_header(path)
-            first = first or head
-            if head.fields != first.fields:
-                raise ValueError(f"{path} has other fields than the first table in {self.path}")
             for start in range(0, head.records, self.per_task):
                 count = min(self.per_task, head.records - start)
                 offset = head.data_start + start * head.record_length
@@ -130,7 +127,8 @@ class RecordReader(DataSourceReader):
                 if whole == 0:
                     break
                 fixed = pa.Array.from_buffers(kind, whole, [None, data])
-                yield pa.RecordBatch.from_arrays([fixed.cast(pa.binary())], names=["record"])
+                files = pa.repeat(pa.scalar(part.path), whole)
+                yield pa.RecordBatch.from_arrays([fixed.cast(pa.binary()), files], names=["record", "file"])
                 left -= whole
 
 
@@ -201,7 +199,7 @@ class DbfRecords(DataSource):
         return "dbf_records"
 
     def schema(self) -> str:
-        return "record binary"
+        return "record binary, file string"
 
     def reader(self, schema) -> RecordReader:
         return RecordReader(self.options["path"], int(self.options.get("recordsPerTask", 500_000)))
@@ -219,6 +217,6 @@ def register(spark: SparkSession) -> None:
     """
     from pyspark import cloudpickle
 
-    for module in (sys.modules[__name__], fixed_width):
+    for module in (sys.modules[__name__], fixed_width, union):
         cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(DbfRecords)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,19 +79,3 @@ def ragged_rows(df: DataFrame) -> DataFrame:
     """
     bad = F.col(CORRUPT).isNotNull()
     return df.filter(bad & F.coalesce(col(df.columns[0]), F.col(CORRUPT)).isNotNull())
-
-
-def source_path(file_path) -> "F.Column":
-    """A file's plain path from Spark's file URI (local files lose the scheme)."""
-    plain = F.regexp_replace(file_path, r"^file:(//(?=/))?", "")
-    return F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
-
-
-def plain_path(uri: str) -> str:
-    """Driver-side twin of :func:`source_path`."""
-    return unquote(uri.removeprefix("file://").removeprefix("file:"))
-
-
-def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
-    """Add the path each row was read from."""
-    return df.select(*[col(c) for c in df.columns], source_path(F.col("_metadata.file_path")).alias(name))

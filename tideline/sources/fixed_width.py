@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tideline.functions.dates import DATETIME_TEXT
 from tideline.functions.names import col
 from tideline.functions.text import strip, whole_number_text
+from tideline.sources.union import LINEAGE, source_path, union_by_name
 
 # Characters a logical field may hold.
 LOGICAL_TRUE, LOGICAL_FALSE = ("T", "t", "Y", "y"), ("F", "f", "N", "n")
@@ -76,40 +77,56 @@ def cut_records(
 
 
 def read_fixed_text(
-    spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field], keep_leading_zeros: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    fields: Sequence[Field],
+    keep_leading_zeros: bool = True,
+    lineage: bool = False,
 ) -> DataFrame:
     """Text files with one record per line; splits like any text file."""
     lines = spark.read.text(path if isinstance(path, str) else list(path))
-    return cut_records(lines, F.col("value"), fields, 1, keep_leading_zeros)
+    kept = [source_path(F.col("_metadata.file_path")).alias(LINEAGE)] if lineage else []
+    return cut_records(lines, F.col("value"), fields, 1, keep_leading_zeros, keep=kept)
 
 
 def read_dbf(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     encoding: str = "windows-1252",
     deleted: str = "skip",
     keep_leading_zeros: bool = True,
     records_per_task: int = 500_000,
+    lineage: bool = False,
 ) -> DataFrame:
-    """dBASE tables (one file or a folder of files with the same fields), all text.
+    """dBASE tables (files, or folders of files), all text.
 
     Files are cut into record ranges, so one large file is read by many tasks.
     Tasks only slice bytes; decoding and cleaning are Spark expressions.  One
     explicit ``encoding`` per call; ``deleted`` is ``skip`` or ``keep`` (the latter
-    adds ``_deleted``).
+    adds ``_deleted``).  Files whose fields differ are joined by field name, one
+    scan per distinct layout.
     """
     from tideline.sources.dbf_format import list_tables, read_header, register
 
     if deleted not in ("skip", "keep"):
         raise ValueError("deleted must be 'skip' or 'keep'")
     register(spark)
-    first = read_header(list_tables(path)[0])
-    records = spark.read.format("dbf_records").option("recordsPerTask", records_per_task).load(path)
-    flagged = F.substring(F.col("record"), 1, 1) == F.lit(bytearray(b"*"))
-    if deleted == "skip":
-        records = records.filter(~flagged)
-    kept = [flagged.alias("_deleted")] if deleted == "keep" else []
-    return cut_records(records, F.col("record"), first.fields, 2, keep_leading_zeros, encoding, kept)
+    layouts: dict[tuple[Field, ...], list[str]] = {}
+    for name in [path] if isinstance(path, str) else path:
+        for file in list_tables(name):
+            layouts.setdefault(read_header(file).fields, []).append(file)
+    if not layouts:
+        raise FileNotFoundError(f"no dBASE table in {path}")
+    frames = []
+    for fields, files in layouts.items():
+        records = spark.read.format("dbf_records").option("recordsPerTask", records_per_task).load("\n".join(files))
+        flagged = F.substring(F.col("record"), 1, 1) == F.lit(bytearray(b"*"))
+        if deleted == "skip":
+            records = records.filter(~flagged)
+        kept = [flagged.alias("_deleted")] if deleted == "keep" else []
+        kept += [F.col("file").alias(LINEAGE)] if lineage else []
+        frames.append(cut_records(records, F.col("record"), fields, 2, keep_leading_zeros, encoding, kept))
+    return union_by_name(frames)
 
 
 def legacy_text(c: Column, data_type: T.DataType, keep_leading_zeros: bool = True) -> Column:

@@ -5,15 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.functions.text import blank_to_null, stringify
-from tideline.sources.delimited import header_of, read_delimited, split_options, with_source_file
+from tideline.sources.delimited import header_of, read_delimited, split_options
 from tideline.sources.typed import read_typed
+from tideline.sources.union import LINEAGE, union_by_name, with_source_file
 
-LINEAGE = "_source_file"
 HEADER_THREADS = 16
 
 
@@ -54,17 +53,6 @@ def _grouped(paths: Sequence[str], shape: Callable[[str], tuple]) -> list[tuple[
     return list(groups.items())
 
 
-def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
-    """All rows of all frames; columns a frame lacks are NULL, lineage comes last.
-
-    Frames should be text already: mixed types of one name would be widened.
-    """
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    if LINEAGE in df.columns:
-        df = df.select(*[c for c in df.columns if c != LINEAGE], LINEAGE)
-    return df
-
-
 def read_delimited_files(spark: SparkSession, paths: Sequence[str], options: dict | None = None) -> DataFrame:
     """Delimited files whose headers may differ, all text, with their path."""
     o = split_options(options)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tideline.functions.text import NULL_TOKENS, blank_to_null
-from tideline.sources.delimited import with_source_file
+from tideline.sources.union import with_source_file
 
 BATCH = "ingest_batch"
 
