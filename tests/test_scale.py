@@ -73,3 +73,21 @@ def test_results_do_not_depend_on_partitioning(spark):
         rows = sorted(tuple(r) for r in reconcile.mismatched_rows(c).collect())
         seen.add((tuple(rows), reconcile.content_check(c, "T").first()["matching_rows"]))
     assert len(seen) == 1
+
+
+def test_large_parents_meet_counted_keys(spark, lines):
+    """Without a broadcast the child's rows must be counted before they are shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(constraints.foreign_key_violations(lines, ["l_orderkey"], table(spark, FOLDER, "orders"), ["o_orderkey"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in text and text.count("Exchange") == 2
+    assert text.index("LeftAnti") < text.index("HashAggregate")
+
+
+def test_discrepancies_compute_distinct_values_once(spark, lines):
+    df = reconcile.column_discrepancies(lines, lines.filter("l_tax > 0.01"), ["l_quantity", "l_tax"])
+    rows = df._jdf.queryExecution()
+    df._jdf.collectToPython()
+    assert "ReusedExchange" in rows.executedPlan().toString()
