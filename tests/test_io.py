@@ -231,6 +231,22 @@ def test_run_with_dirty_headers_and_lineage(spark, tmp_path):
         run_table(spark, spec, str(tmp_path), f"{tmp_path}/out")
 
 
+def test_parents_come_from_the_target_folder(spark, tmp_path):
+    write(f"{tmp_path}/p.csv", "ID,name\n1,a\n2,b\n")
+    write(f"{tmp_path}/c.csv", "cid,parent\n10,1\n11,7\n12,7\n")
+    child = {
+        "source_file_path": "c.csv", "target_table": "CHILD", "row_id": "hash",
+        "foreign_keys": [
+            {"columns": ["PARENT"], "references_table": "PARENT", "references_columns": ["id"]},
+            {"columns": ["cid"], "references_table": "NOWHERE", "references_columns": ["id"]},
+        ],
+    }
+    runs = run_tables(spark, {"p": {"source_file_path": "p.csv", "target_table": "PARENT"}, "c": child}, str(tmp_path), f"{tmp_path}/out")
+    assert [(r.error, r.violations) for r in runs] == [(None, 0), (None, 1)]
+    assert runs[1].unchecked_keys == ["NOWHERE"] and runs[1].quality_passed
+    assert spark.read.parquet(f"{tmp_path}/out/CHILD").columns == ["U_ID", "cid", "parent"]
+
+
 @pytest.mark.parametrize("target", ["csv", "dbf", "fixed_text", "orc"])
 def test_file_targets(spark, tmp_path, target):
     write(f"{tmp_path}/a.csv", "id,name\n1,a\n2,b\n")

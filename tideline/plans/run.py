@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,11 @@ from tideline.plans.spec import CHECKED_TARGETS, TableSpec, table_spec
 from tideline.session import scratch_dir
 from tideline.sinks.fixed_width import write_dbf, write_fixed_text
 from tideline.sinks.history import append_history
-from tideline.sinks.tables import count_matches, write_database, write_table
+from tideline.sinks.tables import with_row_id, write_database, write_table
 from tideline.sources.database import read_query, read_table
 from tideline.sources.delimited import read_delimited, split_options
 from tideline.sources.fixed_width import Field, read_dbf, read_fixed_text
-from tideline.sources.many import read_delimited_files, read_typed_files, resolve_files
+from tideline.sources.many import path_exists, read_delimited_files, read_typed_files, resolve_files
 from tideline.sources.sql import EmptyInput, read_sql_file, run_sql, source_aliases
 from tideline.sources.typed import read_typed_as_text
 
@@ -60,6 +60,8 @@ class TableRun:
     error: str | None = None
     column_mapping: dict[str, str] = field(default_factory=dict)
     checks: list[Row] = field(default_factory=list)
+    # Parents of foreign keys that were neither given nor found, so not checked.
+    unchecked_keys: list[str] = field(default_factory=list)
 
     def report_row(self) -> tuple:
         return tuple(getattr(self, f.name) for f in REPORT_SCHEMA.fields)
@@ -155,20 +157,21 @@ def _target_path(spec: TableSpec, target_dir: str | None) -> str:
     return f"{target_dir.rstrip('/')}/{spec.target_table}"
 
 
-def _write(df: DataFrame, spec: TableSpec, path: str) -> int | None:
-    """Write to the target; the row count where the write pass can take it."""
+def _write(df: DataFrame, spec: TableSpec, path: str) -> int:
+    """Write to the target; the number of rows, counted by the same pass."""
     mode = "replace" if spec.drop_if_exists else "fail"
+    if spec.target_type in ("parquet", "orc", "csv"):
+        options = {"header": True, **spec.target_options} if spec.target_type == "csv" else spec.target_options
+        return write_table(df, path, mode, spec.target_type, **options)
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if spec.target_type == "jdbc":
         write_database(df, table=spec.target_table, mode=mode, batch_size=spec.batch_size, **spec.target_options)
-        return None
-    if spec.target_type == "dbf":
+    elif spec.target_type == "dbf":
         write_dbf(df, path, mode=mode, **spec.target_options)
-        return None
-    if spec.target_type == "fixed_text":
+    else:
         write_fixed_text(df, path, mode=mode, **spec.target_options)
-        return None
-    options = {"header": True, **spec.target_options} if spec.target_type == "csv" else spec.target_options
-    return write_table(df, path, mode, spec.target_type, **options)
+    return seen.get["rows"]
 
 
 def _read_back(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
@@ -204,20 +207,16 @@ def run_table(
     run.transformed = True
 
     path = "" if spec.target_type == "jdbc" else _target_path(spec, target_dir)
-    written = _write(cleaned, spec, path)
+    if spec.row_id:
+        cleaned = with_row_id(cleaned, deterministic=spec.row_id == "hash")
+    run.total_rows = _write(cleaned, spec, path)
     run.loaded = True
 
     if spec.target_type not in CHECKED_TARGETS:
-        run.total_rows = cleaned.count() if written is None else written
         run.count_confirmed = run.quality_passed = True
         return run
     target = _read_back(spark, spec, path)
-    if written is None:
-        run.total_rows = cleaned.count()
-        run.count_confirmed = target.count() == run.total_rows
-    else:
-        run.total_rows = written
-        run.count_confirmed = count_matches(spark, path, written, spec.target_type)
+    run.count_confirmed = target.count() == run.total_rows
 
     final = {
         "primary_key": [_final_name(c, run.column_mapping) for c in spec.primary_key],
@@ -226,7 +225,9 @@ def run_table(
             {**k, "columns": [_final_name(c, run.column_mapping) for c in k.get("columns") or []]} for k in spec.foreign_keys
         ],
     }
-    found = check_constraints(target, final, dict(parents or {}))
+    known = _parents(spark, spec, target_dir, parents)
+    run.unchecked_keys = [t for fk in spec.foreign_keys if (t := _parent_name(fk)) and t.upper() not in known]
+    found = check_constraints(target, final, known)
     run.violations = 0 if found is None else found.count()
 
     q = spec.quality
@@ -244,6 +245,21 @@ def run_table(
     return run
 
 
+def _parent_name(foreign_key: Mapping[str, Any]) -> str | None:
+    return foreign_key.get("references_table") or foreign_key.get("reference_table")
+
+
+def _parents(
+    spark: SparkSession, spec: TableSpec, target_dir: str | None, given: Mapping[str, DataFrame] | None
+) -> dict[str, DataFrame]:
+    """Parent tables by upper-case name: those given, else those already in the target folder."""
+    known = {name.upper(): df for name, df in (given or {}).items()}
+    for name in filter(None, map(_parent_name, spec.foreign_keys)):
+        if name.upper() not in known and target_dir and path_exists(spark, f"{target_dir.rstrip('/')}/{name}"):
+            known[name.upper()] = spark.read.parquet(f"{target_dir.rstrip('/')}/{name}")
+    return known
+
+
 def _final_name(name: str, mapping: Mapping[str, str]) -> str:
     """A spec's column name as the target spells it, ignoring case."""
     key = name.strip().lower()

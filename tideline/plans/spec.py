@@ -45,6 +45,7 @@ class TableSpec:
     source_options: dict[str, Any] = field(default_factory=dict)
     target_options: dict[str, Any] = field(default_factory=dict)
     normalize_dates: bool = True
+    row_id: str | None = None
     quality: QualityOptions = field(default_factory=QualityOptions)
 
     def __post_init__(self) -> None:
@@ -70,6 +71,8 @@ class TableSpec:
                     raise ValueError("data_source.file_path is required")
             else:
                 raise ValueError(f"data_source.type must be 'table' or one of {FILE_SOURCES}")
+        if self.row_id not in (None, "random", "hash"):
+            raise ValueError("row_id must be 'random', 'hash' or left out")
         check_batch_size(self.batch_size)
 
     @property

@@ -20,7 +20,8 @@ class MissingFiles(FileNotFoundError):
     """Source files a spec names that are not there."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder, on whatever file system the path names?"""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
@@ -33,7 +34,7 @@ def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str
     if not names:
         raise MissingFiles("no source file is named")
     paths = [n if os.path.isabs(n) or "://" in n or not data_dir else f"{data_dir.rstrip('/')}/{n}" for n in names]
-    missing = [p for p in paths if not _exists(spark, p)]
+    missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
         raise MissingFiles(f"files not found: {missing}")
     return paths
