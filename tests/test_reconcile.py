@@ -48,7 +48,7 @@ def brute_force(source, target, percentage, count_copies=False):
     return wanted, sum(r in set(target) for r in sampled)
 
 
-@pytest.mark.parametrize("percentage", [1.0, 10.0, 50.0, 100.0])
+@pytest.mark.parametrize("percentage", [0.0, 1.0, 10.0, 50.0, 100.0])
 @pytest.mark.parametrize("count_copies", [False, True])
 def test_content_check_matches_brute_force(spark, percentage, count_copies):
     rng = random.Random(3)

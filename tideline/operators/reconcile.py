@@ -20,7 +20,7 @@ ROW_COUNT, CONTENT, SYSTEM_ERROR = "ROW_COUNT", "CONTENT_ACCURACY", "SYSTEM_ERRO
 PASSED, FAILED = "PASSED", "FAILED"
 REPORT_ROWS, REPORT_COLUMNS, REPORT_EXAMPLES, REPORT_TEXT = 5, 3, 3, 3900
 # How far the match pass reaches beyond the sample, and in how many hash digits.
-REACH_MARGIN, REACH_DIGITS = 1.1, 8
+REACH_MARGIN, REACH_DIGITS, SMALLEST_REACH = 1.1, 8, 0.001
 # Hashes (about 100 bytes each) that may be sent to every task.
 BROADCAST_HASHES = 200_000
 
@@ -195,7 +195,7 @@ def prepare_comparison(
         )
     left = _comparable(source, [(s, s) for s, _ in pairs])
     right = _comparable(target, [(t, s) for s, t in pairs])
-    share = min(1.0, sample_percentage / 100 * REACH_MARGIN)
+    share = min(1.0, max(SMALLEST_REACH, sample_percentage / 100 * REACH_MARGIN))
     while True:
         matches = _write_matches(left, right, share)
         part = F.substring(ORDER, 1, PREFIX_DIGITS).alias("part")
