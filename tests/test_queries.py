@@ -6,6 +6,7 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry_points
+from tideline.suite import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,13 +17,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    assert differences(df, con, entry_points.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, FOLDER)
+    assert differences(df, con, ORACLES[name]) is None
 
 
 def test_entry(spark):
