@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tideline.llm.exact_dedup import exact_dedup
+from tideline.llm.packing import pack
+from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
-from tideline.suite.registry import Query, table
 from tideline.session import configure
+from tideline.suite.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +56,13 @@ URL_RULES = [
 """)
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_verdicts(table(spark, folder, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
