@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.packing import pack
+from tideline.llm.quality import held_out, score_quality
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
 from tideline.session import configure
@@ -66,3 +69,22 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Scores of ``docs`` learnt from the labels outside the held-out fold."""
+    known = labels.where(~held_out("doc_id", 3, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
+    return score_quality(docs, known)
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scores = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.select(
+        F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query()
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
