@@ -52,8 +52,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def summed_blocks(parts: DataFrame, size: int, dtype: str) -> np.ndarray:
-    """Sum dense arrays that tasks send in blocks (``block``, ``data``); the length is fixed beforehand."""
+def summed_blocks(parts: DataFrame, size: int, dtype: str, combine: np.ufunc = np.add) -> np.ndarray:
+    """Combine dense arrays that tasks send in blocks (``block``, ``data``); the length is fixed beforehand."""
 
     def add_some(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -61,7 +61,7 @@ def summed_blocks(parts: DataFrame, size: int, dtype: str) -> np.ndarray:
             for b, x in zip(pdf["block"], pdf["data"]):
                 got = np.frombuffer(x, dtype)
                 if b in sums:
-                    sums[b] += got
+                    combine(sums[b], got, out=sums[b])
                 else:
                     sums[b] = got.copy()
         if sums:
@@ -71,7 +71,7 @@ def summed_blocks(parts: DataFrame, size: int, dtype: str) -> np.ndarray:
     out = np.zeros(size, dtype)
     for r in rows:
         got = np.frombuffer(r["data"], dtype)
-        out[r["block"] * len(got) : (r["block"] + 1) * len(got)] += got
+        out[r["block"] * len(got) : (r["block"] + 1) * len(got)] = got
     return out
 
 

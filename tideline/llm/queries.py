@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
+from tideline.llm.jaccard import jaccard_classes
+from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
 from tideline.llm.quality import held_out, score_quality
 from tideline.llm.token_counts import token_counts
@@ -88,3 +90,15 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_classes(table(spark, folder, "documents"), 3, 90).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scores = score_texts(docs, ~held_out("doc_id", 10, 0), public_tokenizers.path("piece_bpe_32k.model"))
+    return scores.select(F.col("id").alias("doc_id"), held_out("id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
