@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
+from tideline.llm.html_text import main_text
 from tideline.llm.jaccard import jaccard_classes
 from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
@@ -102,3 +103,8 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scores = score_texts(docs, ~held_out("doc_id", 10, 0), public_tokenizers.path("piece_bpe_32k.model"))
     return scores.select(F.col("id").alias("doc_id"), held_out("id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
