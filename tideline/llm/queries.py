@@ -13,6 +13,7 @@ from tideline.llm.jaccard import jaccard_classes
 from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
 from tideline.llm.quality import held_out, score_quality
+from tideline.llm.suffix_dedup import suffix_dedup
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
 from tideline.session import configure
@@ -108,3 +109,8 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query()
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(table(spark, folder, "documents")).drop("kept").withColumnRenamed("id", "doc_id")
