@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import DISTINCT_WORDS, frame, mix, summed_blocks, texts
@@ -189,21 +189,18 @@ def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, seed:
     return net
 
 
-def held_out(doc_id: str, folds: int, fold: int):
+def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether the checksum of an id's text falls in a fold; never for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
-    """``id, score`` of every row: how likely its text has label 1.
+def training_labels(labels: DataFrame) -> DataFrame:
+    """``id, label`` of the quality labels outside the held-out fold."""
+    return labels.where(~held_out("doc_id", 3, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
 
-    ``labels (id, label)`` are the rows to learn from, at most ``labelled`` of them;
-    null labels are left out, and a document with several counts once for each.
-    Word vectors come from all texts.  A null text counts as empty; empty texts get
-    the network's answer to no words.  Without labels every score is one half.
-    Repeated rows are scored alike, a null id stays null, an empty table gives an
-    empty result, other columns are ignored.
-    """
+
+def quality_of(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> Callable[[Column], Column]:
+    """A function that scores a text column, learnt from all texts and from ``labels (id, label)``."""
     rows = texts(docs, id_col, text_col)
     vectors = rows.sparkSession.sparkContext.broadcast(word_vectors(rows))
     some = labels.where("label IS NOT NULL AND id IS NOT NULL").orderBy(F.xxhash64("id"), "id", "label").limit(labelled)
@@ -212,14 +209,29 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for pdf in batches:
             yield frame({"label": pdf["label"], "x": [pooled(t, vectors.value).tobytes() for t in pdf["text"]]})
 
+    # At most ``labelled`` ids are sent to the tasks.
     got = rows.join(F.broadcast(some), "id").select("label", "text").mapInPandas(features, "label int, x binary").toPandas()
     order = got.sort_values(["label", "x"])
     x = np.frombuffer(b"".join(order["x"]), np.float32).reshape(-1, FEATURES)
     net = rows.sparkSession.sparkContext.broadcast(fit(x, order["label"].to_numpy(np.float64)))
 
-    def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.array([pooled(t, vectors.value) for t in pdf["text"]], np.float64).reshape(-1, FEATURES)
-            yield frame({"id": pdf["id"].astype("Int64"), "score": net.value.score(x)})
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        x = np.array([pooled(t, vectors.value) for t in text], np.float64).reshape(-1, FEATURES)
+        return pd.Series(net.value.score(x), dtype=float)
+
+    return score
 
-    return rows.mapInPandas(score, "id long, score double")
+
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
+    """``id, score`` of every row: how likely its text has label 1.
+
+    ``labels (id, label)`` are the rows to learn from, at most ``labelled`` of them;
+    null labels are left out, and a document with several counts once for each.
+    Word vectors come from all texts.  A null text counts as empty; empty texts get
+    the network's answer to no words.  Without labels every score is one half.
+    Repeated rows are scored alike, a null id stays null, an empty table gives an
+    empty result, other columns are ignored.
+    """
+    score = quality_of(docs, labels, id_col, text_col, labelled)
+    return texts(docs, id_col, text_col).select("id", score("text").alias("score"))

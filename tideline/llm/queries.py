@@ -12,7 +12,7 @@ from tideline.llm.html_text import main_text
 from tideline.llm.jaccard import jaccard_classes
 from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
-from tideline.llm.quality import held_out, score_quality
+from tideline.llm.quality import held_out, score_quality, training_labels
 from tideline.llm.suffix_dedup import suffix_dedup
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
@@ -75,15 +75,9 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores of ``docs`` learnt from the labels outside the held-out fold."""
-    known = labels.where(~held_out("doc_id", 3, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
-    return score_quality(docs, known)
-
-
 @query()
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    scores = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    scores = score_quality(table(spark, folder, "documents"), training_labels(table(spark, folder, "labels")))
     return scores.select(
         F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
