@@ -7,6 +7,7 @@ its plan says which rank of which length goes where.  Ranks are dealt on the exe
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -20,7 +21,7 @@ from tideline.llm.common import frame, stage, texts
 from tideline.llm.tokens import Ids, encoder
 
 RANK_GROUP = 200_000  # pieces that one task ranks, on average
-NODES = 20_000  # fillings that the search may try before the best plan so far is taken
+NODES = 3_000  # fillings that the search may try before the best plan so far is taken
 
 Plan = list[tuple[int, tuple[int, ...]]]  # (how many sequences, the lengths in each)
 
@@ -117,53 +118,52 @@ def plan_sequences(counts: dict[int, int], size: int, nodes: int = NODES) -> Pla
     incumbent = best_fit(counts, size)
     best, bound = sum(n for n, _ in incumbent), lower_bound(counts, size) if counts else 0
     mass = sum(k * n for k, n in counts.items())
-    left, path, tried = Counter(counts), [], 0
-    branches: list[Iterator[tuple[int, ...]]] = []
-    waste = 0
-
-    def open_branch() -> None:
-        top = max(left)
-        left[top] -= 1
-        branches.append(fillings(left, size - top, (best - 1) * size - mass - waste))
-        left[top] += 1
-        path.append((0, (top,)))
-
-    def undo() -> None:
-        nonlocal waste
-        n, what = path[-1]
-        for x in what:
-            left[x] += n
-        waste -= n * (size - sum(what))
+    left, path, tried, waste = Counter(counts), [], 0, 0
+    taken: list[int] = []  # how many fillings of each open branch were tried; they are enumerated anew on the way back
+    now: Iterator[tuple[int, ...]] | None = None
 
-    if best > bound and counts:
-        open_branch()
-    while branches and best > bound and tried < nodes:
-        undo() if path[-1][0] else None
+    def branch() -> Iterator[tuple[int, ...]]:
         top = path[-1][1][0]
-        filling = next(branches[-1], None)
+        return itertools.islice(fillings(left - Counter((top,)), size - top, (best - 1) * size - mass - waste), taken[-1], None)
+
+    if best > bound and counts:
+        path.append((0, (max(left),)))
+        taken.append(0)
+    while path and best > bound and tried < nodes:
+        times, what = path[-1]
+        if times:  # back from a deeper branch
+            for x in what:
+                left[x] += times
+            waste -= times * (size - sum(what))
+            path[-1] = (0, what[:1])
+        top = what[0]
+        filling = next(now or branch(), None)
+        now = None
         tried += 1
         if filling is None:
-            branches.pop()
             path.pop()
+            taken.pop()
             continue
-        what = Counter((top, *filling))
-        spare = size - sum(x * n for x, n in what.items())
-        times = min(left[x] // n for x, n in what.items())
+        taken[-1] += 1
+        what = (top, *filling)
+        each = Counter(what)
+        spare = size - sum(what)
+        times = min(left[x] // n for x, n in each.items())
         if spare:
             times = max(1, min(times, ((best - 1) * size - mass - waste) // spare))
-        path[-1] = (times, (top, *filling))
-        for x, n in what.items():
+        path[-1] = (times, what)
+        for x, n in each.items():
             left[x] -= n * times
         waste += times * spare
-        if not +left:
+        left = +left
+        if not left:
             total = sum(n for n, _ in path)
             if total < best:
                 best, incumbent = total, list(path)
-            continue
-        for x in [x for x, n in left.items() if not n]:
-            del left[x]
-        if waste <= (best - 1) * size - mass:
-            open_branch()
+        elif waste <= (best - 1) * size - mass:
+            path.append((0, (max(left),)))
+            taken.append(0)
+            now = branch()
     return incumbent
 
 
