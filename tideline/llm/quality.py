@@ -113,8 +113,9 @@ def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
     for k in (0, 1):
         own = rows[k::2]
         v = vectors[own]
-        out[2 * k * WIDTH : (2 * k + 1) * WIDTH] = v.mean(0)
-        out[(2 * k + 1) * WIDTH : (2 * k + 2) * WIDTH] = v.std(0)
+        mean, square = v.mean(0), np.einsum("ij,ij->j", v, v) / len(own)
+        out[2 * k * WIDTH : (2 * k + 1) * WIDTH] = mean
+        out[(2 * k + 1) * WIDTH : (2 * k + 2) * WIDTH] = np.sqrt(np.maximum(square - mean * mean, 0))
         out[4 * WIDTH + k] = len(np.unique(own)) / len(own) ** 0.8
         out[4 * WIDTH + 2 + k] = (own[1:] == own[:-1]).sum() / len(own)
     out[4 * WIDTH + 4] = np.log(len(rows))
