@@ -20,13 +20,25 @@ from tideline.functions.dates import (
 from tideline.functions.names import col
 from tideline.functions.text import column_values, name_at, string_columns, strip
 
+# A pattern with an optional fraction reads all that its plain twin reads and stands before it.
+SHADOWED = ("iso_seconds", "month_first_seconds")
+
+
 def datetime_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, name_parts: tuple[str, ...] = DATE_NAME_PARTS
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    name_parts: tuple[str, ...] = DATE_NAME_PARTS,
+    min_share: float | None = None,
 ) -> DataFrame:
     """Per text column: is it a date column, by what, and which pattern reads it.
 
     All rows count, so the answer does not depend on row order.  Detection and
     all pattern counts share one pass; each task sends one row per column.
+
+    Without ``min_share`` the first pattern that reads one value is the column's.
+    With it, the pattern that reads most values is, ties by order, provided it
+    reads that share of them: a few dates among other text change nothing, and day
+    or month first is settled by the values that only one of them reads.
     """
     names = list(string_columns(df) if columns is None else columns)
     if not names:
@@ -38,11 +50,18 @@ def datetime_profile(
     counts = values.groupBy("position").agg(
         F.count(text).alias("n"),
         F.bool_or("looks").alias("looks"),
-        *[F.count(F.when(family == p.family, p.parse(text))).alias(p.name) for p in COLUMN_PATTERNS],
+        *[
+            (F.lit(0).cast("bigint") if p.name in SHADOWED else F.count(F.when(family == p.family, p.parse(text)))).alias(p.name)
+            for p in COLUMN_PATTERNS
+        ],
     )
     named = F.element_at(F.array(*[F.lit(date_like_name(n, name_parts)) for n in names]), F.col("position") + 1)
     flagged = F.col("flagged_by_name") | F.col("looks")
     hits = [(p, flagged & (F.col(p.name) > 0)) for p in COLUMN_PATTERNS]
+    if min_share is not None:
+        most = F.greatest(*[F.col(p.name) for p in COLUMN_PATTERNS])
+        enough = flagged & (most > 0) & (most >= F.lit(min_share) * F.col("n"))
+        hits = [(p, enough & (F.col(p.name) == most)) for p in COLUMN_PATTERNS]
     pattern = F.coalesce(*[F.when(hit, F.lit(p.name)) for p, hit in hits])
     parsed = F.coalesce(*[F.when(hit, F.col(p.name)) for p, hit in hits], F.lit(0).cast("bigint"))
     return counts.withColumn("flagged_by_name", named).select(
@@ -56,15 +75,29 @@ def datetime_profile(
     )
 
 
-def choose_patterns(
-    df: DataFrame, columns: Sequence[str] | None = None, name_parts: tuple[str, ...] = DATE_NAME_PARTS
-) -> dict[str, str]:
-    """Column -> pattern name, for the date columns.  One row per column is fetched."""
+def found_patterns(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    name_parts: tuple[str, ...] = DATE_NAME_PARTS,
+    min_share: float | None = None,
+) -> dict[str, tuple[str, int]]:
+    """Column -> (pattern name, values it does not read), for the date columns.  One row per column is fetched."""
     names = list(string_columns(df) if columns is None else columns)
     if not names:
         return {}
-    found = datetime_profile(df, names, name_parts).filter(F.col("pattern").isNotNull())
-    return {r["column_name"]: r["pattern"] for r in found.select("column_name", "pattern").collect()}
+    found = datetime_profile(df, names, name_parts, min_share).filter(F.col("pattern").isNotNull())
+    rows = found.select("column_name", "pattern", "unparsed_count").collect()
+    return {r["column_name"]: (r["pattern"], r["unparsed_count"]) for r in rows}
+
+
+def choose_patterns(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    name_parts: tuple[str, ...] = DATE_NAME_PARTS,
+    min_share: float | None = None,
+) -> dict[str, str]:
+    """Column -> pattern name, for the date columns."""
+    return {name: pattern for name, (pattern, _) in found_patterns(df, columns, name_parts, min_share).items()}
 
 
 def rewrite_datetimes(
@@ -114,6 +147,7 @@ def normalize_datetimes(
     name_parts: tuple[str, ...] = DATE_NAME_PARTS,
     on_unparsed: str = "null",
     keep_typed: bool = False,
+    min_share: float | None = None,
 ) -> DataFrame:
     """Detect, choose and rewrite in one call."""
-    return rewrite_datetimes(df, choose_patterns(df, name_parts=name_parts), on_unparsed, keep_typed)
+    return rewrite_datetimes(df, choose_patterns(df, name_parts=name_parts, min_share=min_share), on_unparsed, keep_typed)

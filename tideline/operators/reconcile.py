@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tideline.functions.names import SYSTEM_COLUMNS, align, col, rename
 from tideline.functions.text import compare_text
 from tideline.operators.sample import ORDER, PREFIX_DIGITS, Cutoff, find_cutoff, hash_order
-from tideline.session import scratch_dir
+from tideline.session import remove_path, scratch_dir
 
 # Check and status words, report limits.
 ROW_COUNT, CONTENT, SYSTEM_ERROR = "ROW_COUNT", "CONTENT_ACCURACY", "SYSTEM_ERROR"
@@ -40,11 +40,13 @@ CHECK_SCHEMA = T.StructType(
 
 
 def only_source_file(df: DataFrame, source_file: str | None) -> DataFrame:
-    """Rows that came from one file; reaches the scan as a pushed filter."""
+    """Rows that came from one file, named by its whole path or by its base name."""
     lineage = [name for name in df.columns if name.strip("_").upper() == "SOURCE_FILE"]
     if source_file is None or not lineage:
         return df
-    return df.filter(col(lineage[0]) == F.lit(source_file))
+    path = col(lineage[0])
+    named = path == F.lit(source_file)
+    return df.filter(named if "/" in source_file else named | F.endswith(path, F.lit("/" + source_file)))
 
 
 def percentage(part: Column, whole: Column) -> Column:
@@ -79,12 +81,16 @@ def row_count_check(
     counts = left.unionAll(right).agg(
         F.coalesce(F.sum("s"), zero).alias("s"), F.coalesce(F.sum("t"), zero).alias("t")
     )
-    return _row_count_row(counts, table)
+    return _row_count_row(counts, table, source_file)
 
 
-def _row_count_row(counts: DataFrame, table: str) -> DataFrame:
-    """The row-count check of one row of counts ``s`` (source) and ``t`` (target)."""
+def _row_count_row(counts: DataFrame, table: str, source_file: str | None = None) -> DataFrame:
+    """The row-count check of one row of counts ``s`` (source) and ``t`` (target).
+
+    A file that no source row came from confirms nothing, so it fails.
+    """
     s, t = F.col("s"), F.col("t")
+    nothing = F.lit(source_file is not None) & (s == 0)
     gap = F.abs(s - t)
     message = F.concat(
         F.when(s > t, F.lit("Missing ")).otherwise(F.lit("Surplus ")),
@@ -99,9 +105,9 @@ def _row_count_row(counts: DataFrame, table: str) -> DataFrame:
         table_name=F.lit(table),
         source_count=s,
         target_count=t,
-        accuracy_percentage=F.when(s == t, F.lit(100.0)).otherwise(percentage(t, s)),
-        status=F.when(s == t, F.lit(PASSED)).otherwise(F.lit(FAILED)),
-        error_message=F.when(s != t, message),
+        accuracy_percentage=F.when(nothing, F.lit(0.0)).when(s == t, F.lit(100.0)).otherwise(percentage(t, s)),
+        status=F.when((s == t) & ~nothing, F.lit(PASSED)).otherwise(F.lit(FAILED)),
+        error_message=F.when(nothing, F.lit(f"no source row came from file {source_file}")).when(s != t, message),
     )
 
 
@@ -130,6 +136,11 @@ class Comparison:
     target_count: int
     sample_size: int
     cutoff: Cutoff
+    path: str = ""
+
+    def forget(self) -> None:
+        """Delete the match table, once everything is read from it."""
+        remove_path(self.source.sparkSession, self.path)
 
     def sampled(self) -> DataFrame:
         """Distinct sampled rows: hash, copies in the sample, copies in the target."""
@@ -152,7 +163,7 @@ def _reach(share: float) -> str:
     return f"{min(int(share * 16**REACH_DIGITS), 16**REACH_DIGITS - 1):0{REACH_DIGITS}x}"
 
 
-def _write_matches(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
+def _write_matches(left: DataFrame, right: DataFrame, share: float) -> tuple[DataFrame, str]:
     """Count both sides per row hash, in one pass over each.
 
     Equal rows have equal hashes, so rows beyond the sample's reach need not be
@@ -166,7 +177,7 @@ def _write_matches(left: DataFrame, right: DataFrame, share: float) -> DataFrame
     )
     path = scratch_dir(left.sparkSession, "matches")
     both.groupBy(ORDER).agg(F.sum("s").alias("s"), F.sum("t").alias("t")).write.parquet(path)
-    return left.sparkSession.read.parquet(path)
+    return left.sparkSession.read.parquet(path), path
 
 
 def prepare_comparison(
@@ -190,22 +201,21 @@ def prepare_comparison(
     pairs = align(source.columns, target.columns, exclude)
     if not pairs:
         raise NothingToCompare(
-            "No common columns found between source and target after exclusions. "
-            f"Excluded columns: {list(exclude)}"
+            f"the two sides share no column to compare (left out: {', '.join(exclude) or 'none'})"
         )
     left = _comparable(source, [(s, s) for s, _ in pairs])
     right = _comparable(target, [(t, s) for s, t in pairs])
     share = min(1.0, max(SMALLEST_REACH, sample_percentage / 100 * REACH_MARGIN))
     while True:
-        matches = _write_matches(left, right, share)
+        matches, path = _write_matches(left, right, share)
         part = F.substring(ORDER, 1, PREFIX_DIGITS).alias("part")
         rows = matches.groupBy(part).agg(F.sum("s").alias("s"), F.sum("t").alias("t")).collect()
         source_count, target_count = sum(r["s"] for r in rows), sum(r["t"] for r in rows)
         if source_count == 0:
-            raise NothingToCompare("Source DataFrame is empty", source_count, target_count)
+            raise NothingToCompare("the source side has no rows" + (f" from file {source_file}" if source_file else ""), source_count, target_count)
         if target_count == 0:
-            suffix = f" for source file {source_file}" if source_file else ""
-            raise NothingToCompare("Target table is empty" + suffix, source_count, target_count)
+            suffix = f" from file {source_file}" if source_file else ""
+            raise NothingToCompare("the target side has no rows" + suffix, source_count, target_count)
         wanted = max(1, int(sample_percentage / 100 * min(source_count, target_count)))
         wanted = min(wanted, source_count)
         first = sorted((r["part"], r["s"]) for r in rows if r["part"] is not None)
@@ -215,7 +225,7 @@ def prepare_comparison(
     cutoff = Cutoff()
     if wanted < source_count:
         cutoff = find_cutoff(matches.filter(F.col(ORDER).isNotNull()), wanted, first, weight=F.col("s"))
-    return Comparison(left, right, matches, [s for s, _ in pairs], source_count, target_count, wanted, cutoff)
+    return Comparison(left, right, matches, [s for s, _ in pairs], source_count, target_count, wanted, cutoff, path)
 
 
 def content_check(c: Comparison, table: str, count_copies: bool = False) -> DataFrame:
@@ -229,11 +239,10 @@ def content_check(c: Comparison, table: str, count_copies: bool = False) -> Data
     totals = c.sampled().agg(F.sum(hit).alias("m"), F.sum(copies).alias("n"))
     m, n = F.col("m"), F.col("n")
     message = F.concat(
-        F.lit("Content mismatch in "),
         (n - m).cast("string"),
-        F.lit("/"),
+        F.lit(" of "),
         n.cast("string"),
-        F.lit(f" sampled rows. Source data: {c.source_count} rows, Target data: {c.target_count} rows."),
+        F.lit(f" sampled rows are not in the target; the source has {c.source_count} rows, the target {c.target_count}."),
     )
     return _check_row(
         totals,
@@ -325,9 +334,12 @@ DISCREPANCY_SCHEMA = (
 
 
 def discrepancy_report(
-    c: Comparison, rows: int = REPORT_ROWS, columns: int | None = REPORT_COLUMNS
+    c: Comparison, rows: int = REPORT_ROWS, columns: int | None = REPORT_COLUMNS, differing_first: bool = False
 ) -> DataFrame:
-    """First mismatched rows against their nearest target rows, column by column."""
+    """First mismatched rows against their nearest target rows, column by column.
+
+    A limited number of ``columns`` are the first ones, or those that differ first.
+    """
     spark = c.source.sparkSession
     missing = first_mismatches(c, rows)
     if not missing:
@@ -335,13 +347,17 @@ def discrepancy_report(
     places = _ordinals(c, [r[ORDER] for r in missing])
     nearest = nearest_rows(missing, c.target, c.columns)
     place = F.element_at(F.array(*[F.lit(p).cast("bigint") for p in places]), F.col("mismatch"))
-    shown = c.columns if columns is None else c.columns[:columns]
     cells = F.array(
         *[
             F.struct(F.lit(n).alias("column_name"), F.col(f"s{k}").alias("source_value"), F.col(f"t{k}").alias("target_value"))
-            for k, n in enumerate(shown)
+            for k, n in enumerate(c.columns)
         ]
     )
+    if columns is not None:
+        differs = lambda cell: ~cell["source_value"].eqNullSafe(cell["target_value"])
+        if differing_first:
+            cells = F.concat(F.filter(cells, differs), F.filter(cells, lambda cell: ~differs(cell)))
+        cells = F.slice(cells, 1, columns)
     return nearest.select(
         place.alias("row_index"), F.inline(cells), "matched_columns", F.lit(len(c.columns)).alias("compared_columns")
     )
@@ -350,7 +366,7 @@ def discrepancy_report(
 def discrepancy_text(c: Comparison, limit: int = REPORT_TEXT) -> str:
     """The report as one text for a history row, cut at the column's limit."""
     by_row: dict[int, list[str]] = {}
-    for r in discrepancy_report(c).collect():
+    for r in discrepancy_report(c, differing_first=True).collect():
         head = f"Row {r['row_index']} (best target match {r['matched_columns']}/{r['compared_columns']} columns): "
         cells = by_row.setdefault(r["row_index"], [head])
         cells.append(f"{r['column_name']}(src:'{r['source_value'][:100]}' vs tgt:'{r['target_value'][:100]}')")
@@ -438,7 +454,7 @@ def run_checks(
             counts = spark.range(1).select(
                 F.lit(known.source_count).cast("bigint").alias("s"), F.lit(known.target_count).cast("bigint").alias("t")
             )
-            found += _row_count_row(counts, table).collect()
+            found += _row_count_row(counts, table, source_file).collect()
         elif row_count:
             found += row_count_check(source, target, table, source_file).collect()
         if refusal is not None:
@@ -451,6 +467,7 @@ def run_checks(
                 text = (row["error_message"] + " " + discrepancy_text(comparison)).strip()
                 row = Row(**{**row.asDict(), "error_message": text})
             found.append(row)
+            comparison.forget()
     except Exception as e:
         found += failed_check(spark, SYSTEM_ERROR, table, str(e)).collect()
     return spark.createDataFrame([tuple(r[f.name] for f in CHECK_SCHEMA.fields) for r in found], CHECK_SCHEMA)

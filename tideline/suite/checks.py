@@ -148,7 +148,7 @@ _SAMPLE = f"""WITH src AS ({_SOURCE}), tgt AS ({_TARGET}),
 ) + ") AS found FROM sample)"
 _CONTENT = """SELECT 'CONTENT_ACCURACY' AS check_type, '{name}' AS table_name, s AS source_count, t AS target_count, n AS sample_size,
     m AS matching_rows, round(100.0::DOUBLE * m / n, 2) AS accuracy_percentage, CASE WHEN m = n THEN 'PASSED' ELSE 'FAILED' END AS status,
-    CASE WHEN m <> n THEN 'Content mismatch in ' || (n - m) || '/' || n || ' sampled rows. Source data: ' || s || ' rows, Target data: ' || t || ' rows.' END
+    CASE WHEN m <> n THEN (n - m) || ' of ' || n || ' sampled rows are not in the target; the source has ' || s || ' rows, the target ' || t || '.' END
       AS error_message
   FROM (SELECT (SELECT count(*) FROM src) AS s, (SELECT count(*) FROM tgt) AS t, count(*) AS n, count(*) FILTER (found) AS m FROM flagged)"""
 
@@ -185,7 +185,7 @@ FEWER = COPIES + " WHERE NOT (l_linenumber = 3 AND l_returnflag = 'A' AND l_orde
       totals AS (SELECT CAST(sum(n) AS BIGINT) AS s, (SELECT count(*) FROM tgt) AS t, CAST(sum(least(n, k)) AS BIGINT) AS m FROM counts)
     SELECT 'CONTENT_ACCURACY' AS check_type, 'LINES' AS table_name, s AS source_count, t AS target_count, s AS sample_size, m AS matching_rows,
       round(100.0::DOUBLE * m / s, 2) AS accuracy_percentage, CASE WHEN m = s THEN 'PASSED' ELSE 'FAILED' END AS status,
-      CASE WHEN m <> s THEN 'Content mismatch in ' || (s - m) || '/' || s || ' sampled rows. Source data: ' || s || ' rows, Target data: ' || t || ' rows.' END
+      CASE WHEN m <> s THEN (s - m) || ' of ' || s || ' sampled rows are not in the target; the source has ' || s || ' rows, the target ' || t || '.' END
         AS error_message FROM totals"""
 )
 def content_with_copies(spark: SparkSession, folder: str) -> DataFrame:
@@ -264,10 +264,10 @@ def quality_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT 'CONTENT_ACCURACY' AS check_type, name AS table_name, s AS source_count, t AS target_count, 'FAILED' AS status, message AS error_message FROM (
-      SELECT 'EMPTY_SOURCE' AS name, CAST(0 AS BIGINT) AS s, (SELECT count(*) FROM orders) AS t, 'Source DataFrame is empty' AS message
-      UNION ALL SELECT 'EMPTY_TARGET', (SELECT count(*) FROM orders), 0, 'Target table is empty'
+      SELECT 'EMPTY_SOURCE' AS name, CAST(0 AS BIGINT) AS s, (SELECT count(*) FROM orders) AS t, 'the source side has no rows' AS message
+      UNION ALL SELECT 'EMPTY_TARGET', (SELECT count(*) FROM orders), 0, 'the target side has no rows'
       UNION ALL SELECT 'NOTHING_COMMON', NULL, NULL,
-        'No common columns found between source and target after exclusions. Excluded columns: [''U_ID'', ''SOURCE_FILE'']')"""
+        'the two sides share no column to compare (left out: U_ID, SOURCE_FILE)')"""
 )
 def content_refusals(spark: SparkSession, folder: str) -> DataFrame:
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
