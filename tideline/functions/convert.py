@@ -61,10 +61,10 @@ def to_flag(c: Column, data_type: T.DataType) -> Column:
     return (c != 0).cast("int")
 
 
-def convert(c: Column, data_type: T.DataType, kind: str) -> Column:
-    """Convert one column to a target kind."""
+def convert(c: Column, data_type: T.DataType, kind: str, text_limit: int | None = TEXT_LIMIT) -> Column:
+    """Convert one column to a target kind; text is cut at the limit (None: whole)."""
     if kind == "text":
-        return to_text(c, data_type)
+        return to_text(c, data_type, text_limit)
     if kind == "integer":
         return to_integer(c, data_type)
     if kind == "float":

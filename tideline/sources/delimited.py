@@ -31,7 +31,7 @@ def split_options(options: dict | None) -> dict:
 def _reader(spark: SparkSession, sep: str, header: bool, encoding: str, extra: dict):
     return (
         spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
-        .option("inferSchema", False).option("mode", "PERMISSIVE").options(**extra)
+        .option("escape", '"').option("inferSchema", False).option("mode", "PERMISSIVE").options(**extra)
     )
 
 
@@ -54,7 +54,9 @@ def read_delimited(
 ) -> DataFrame:
     """Files with one common header, all columns text.
 
-    Long rows are cut, short rows padded with NULL, null tokens become NULL.
+    Quotes inside quoted values are doubled.  Values with line breaks need
+    ``reader={"multiLine": True}``, which reads a file in one task; without it such
+    rows are ragged ones.  Long rows are cut, short rows padded with NULL, null tokens become NULL.
     ``keep_corrupt`` adds ``_corrupt_record`` with the raw line of such rows; the
     parser then has to look at all columns of every row, so it is off by default.
     """

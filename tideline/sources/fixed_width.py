@@ -42,19 +42,25 @@ def single_byte(encoding: str) -> bool:
         return False
 
 
-def field_value(text: Column, field: Field, keep_leading_zeros: bool = True) -> Column:
-    """Value of one stripped field as text: empty as NULL, numbers undressed, dates ISO."""
+def field_value(text: Column, field: Field, keep_leading_zeros: bool = True, renumber: Sequence[str] = ()) -> Column:
+    """Value of one stripped field as text: empty as NULL, numbers undressed, dates ISO.
+
+    Character fields stay as they are (``1.0`` and ``12E3`` may be codes) unless they
+    are named in ``renumber``, or zeros in front are to go.
+    """
     if field.kind == "D":
         day = F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("yyyyMMdd"))
         return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.nullif(text, F.lit("")))
     if field.kind == "L":
         return F.when(text.isin(*LOGICAL_TRUE), F.lit("True")).when(text.isin(*LOGICAL_FALSE), F.lit("False"))
+    if field.kind == "C" and keep_leading_zeros and field.name not in renumber:
+        return F.nullif(text, F.lit(""))
     return whole_number_text(text, keep_leading_zeros and field.kind == "C")
 
 
 def cut_records(
     records: DataFrame, record: Column, fields: Sequence[Field], start: int, keep_leading_zeros: bool,
-    encoding: str | None = None, keep: Sequence[Column] = (),
+    encoding: str | None = None, keep: Sequence[Column] = (), renumber: Sequence[str] = (),
 ) -> DataFrame:
     """Records (text, or bytes of an ``encoding``) cut into one column per field.
 
@@ -73,7 +79,7 @@ def cut_records(
     cut = records.select(*raw, *keep)
     kept = [col(n) for n in cut.columns[len(fields) :]]
     cut = cut.select(*[strip(col(f.name)).alias(f.name) for f in fields], *kept)
-    return cut.select(*[field_value(col(f.name), f, keep_leading_zeros).alias(f.name) for f in fields], *kept)
+    return cut.select(*[field_value(col(f.name), f, keep_leading_zeros, renumber).alias(f.name) for f in fields], *kept)
 
 
 def read_fixed_text(
@@ -82,11 +88,17 @@ def read_fixed_text(
     fields: Sequence[Field],
     keep_leading_zeros: bool = True,
     lineage: bool = False,
+    encoding: str | None = None,
+    renumber: Sequence[str] = (),
 ) -> DataFrame:
-    """Text files with one record per line; splits like any text file."""
+    """Text files with one record per line; splits like any text file.
+
+    Widths are characters of UTF-8, or bytes of the ``encoding``.
+    """
     lines = spark.read.text(path if isinstance(path, str) else list(path))
     kept = [source_path(F.col("_metadata.file_path")).alias(LINEAGE)] if lineage else []
-    return cut_records(lines, F.col("value"), fields, 1, keep_leading_zeros, keep=kept)
+    record = F.col("value") if encoding is None else F.col("value").cast("binary")
+    return cut_records(lines, record, fields, 1, keep_leading_zeros, encoding, kept, renumber)
 
 
 def read_dbf(
@@ -97,6 +109,7 @@ def read_dbf(
     keep_leading_zeros: bool = True,
     records_per_task: int = 500_000,
     lineage: bool = False,
+    renumber: Sequence[str] = (),
 ) -> DataFrame:
     """dBASE tables (files, or folders of files), all text.
 
@@ -125,20 +138,28 @@ def read_dbf(
             records = records.filter(~flagged)
         kept = [flagged.alias("_deleted")] if deleted == "keep" else []
         kept += [F.col("file").alias(LINEAGE)] if lineage else []
-        frames.append(cut_records(records, F.col("record"), fields, 2, keep_leading_zeros, encoding, kept))
+        frames.append(cut_records(records, F.col("record"), fields, 2, keep_leading_zeros, encoding, kept, renumber))
     return union_by_name(frames)
 
 
-def legacy_text(c: Column, data_type: T.DataType, keep_leading_zeros: bool = True) -> Column:
-    """Text of an already typed legacy value: ISO dates, 12-hour datetimes, bare numbers."""
+def legacy_text(c: Column, data_type: T.DataType, keep_leading_zeros: bool = True, renumber: bool = False) -> Column:
+    """Text of an already typed legacy value: ISO dates, 12-hour datetimes, bare numbers.
+
+    Text keeps its spelling, codes like ``1.0`` and ``12E3`` included, unless it is to
+    be renumbered or to lose its leading zeros.
+    """
     if isinstance(data_type, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, DATETIME_TEXT)
+    if isinstance(data_type, T.StringType) and keep_leading_zeros and not renumber:
+        return F.nullif(strip(c), F.lit(""))
     return whole_number_text(strip(c.cast("string")), keep_leading_zeros)
 
 
-def legacy_table(df: DataFrame, keep_leading_zeros: bool = True) -> DataFrame:
-    """Every column in its legacy text form."""
-    return df.select(*[legacy_text(col(f.name), f.dataType, keep_leading_zeros).alias(f.name) for f in df.schema.fields])
+def legacy_table(df: DataFrame, keep_leading_zeros: bool = True, renumber: Sequence[str] = ()) -> DataFrame:
+    """Every column in its legacy text form; text columns are renumbered where they are named."""
+    return df.select(
+        *[legacy_text(col(f.name), f.dataType, keep_leading_zeros, f.name in renumber).alias(f.name) for f in df.schema.fields]
+    )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,6 +29,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a folder or pattern stands for; a plain file is itself."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(target) or []
+    if len(found) == 1 and found[0].isFile():
+        return [path]
+    files: list[str] = []
+    for status in found:
+        inside = [status] if status.isFile() else system.listStatus(status.getPath())
+        files += [str(f.getPath()) for f in inside if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted(re.sub(r"^file:/+", "/", f) for f in files)
+
+
 def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str | None = None) -> list[str]:
     """Absolute paths; relative ones lie under ``data_dir``.  Any missing file is an error."""
     names = [files] if isinstance(files, str) else list(files)
@@ -55,8 +71,12 @@ def _grouped(paths: Sequence[str], shape: Callable[[str], tuple]) -> list[tuple[
 
 
 def read_delimited_files(spark: SparkSession, paths: Sequence[str], options: dict | None = None) -> DataFrame:
-    """Delimited files whose headers may differ, all text, with their path."""
+    """Delimited files whose headers may differ, all text, with their path.
+
+    Folders and patterns stand for their files, whose headers may differ as well.
+    """
     o = split_options(options)
+    paths = [f for p in paths for f in data_files(spark, p)] or list(paths)
 
     def shape(path: str) -> tuple:
         return tuple(header_of(spark, path, o["sep"], o["header"], o["encoding"], **o["reader"]))

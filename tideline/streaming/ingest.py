@@ -11,6 +11,7 @@ from tideline.functions.text import NULL_TOKENS, blank_to_null
 from tideline.sources.union import with_source_file
 
 BATCH = "ingest_batch"
+QUERY = "ingest_query"
 
 
 def stream_files(
@@ -25,7 +26,9 @@ def stream_files(
     """A stream over the files of a folder, all columns text, with their path."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     stream = (
-        spark.readStream.schema(schema).option("header", header).option("sep", sep)
+        spark.readStream.schema(schema).option("header", header).option("sep", sep).option("escape", '"')
+        # A file whose header names other columns stops the stream instead of filling the wrong ones.
+        .option("enforceSchema", not header)
         .option("maxFilesPerTrigger", files_per_batch).csv(folder)
     )
     return blank_to_null(with_source_file(stream), null_tokens, list(names))
@@ -45,12 +48,13 @@ def for_each_batch(
 ) -> None:
     """Run a whole batch job (``step``) on every micro-batch and append its result.
 
-    A batch writes its own partition folder and replaces it when repeated after a
-    failure, so no file is loaded twice.
+    A batch writes its own partition folder, named after its checkpoint's query and
+    its number, and replaces it when repeated after a failure: no file is loaded
+    twice, and another checkpoint's batches stay.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        step(batch).write.mode("overwrite").parquet(f"{path}/{QUERY}={query_id(batch)}/{BATCH}={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -59,6 +63,11 @@ def for_each_batch(
     _finish(query, timeout)
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id that a checkpoint gives its query, however often it restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _finish(query, timeout: int | None) -> None:
     try:
         if timeout is None:

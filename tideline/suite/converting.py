@@ -61,6 +61,7 @@ def convert_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Every value pattern, an unreadable value, and a day no month has.
+# A single value's date forms in the two engines' notations.
 _FORMS = [
     ("yyyy-MM-dd", "%Y-%m-%d"),
     ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
@@ -198,7 +199,9 @@ LEGACY = """SELECT o_orderkey, o_orderdate, CAST(o_orderdate AS DATE) AS day,
 @query(
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%m/%d/%Y %I:%M %p') AS o_orderdate,
       strftime(day, '%Y-%m-%d') AS day,
-      nullif(CASE WHEN code LIKE '%.00' THEN replace(code, '.00', '') ELSE trim(code) END, '') AS code FROM ({LEGACY})"""
+      nullif(CASE WHEN code LIKE '%.00' THEN replace(code, '.00', '') ELSE trim(code) END, '') AS code, nullif(trim(code), '') AS kept FROM ({LEGACY})"""
 )
 def legacy_values(spark: SparkSession, folder: str) -> DataFrame:
-    return legacy_table(from_sql(spark, folder, LEGACY, "orders"))
+    """One column renumbered on request; the same codes beside it keep their spelling."""
+    df = from_sql(spark, folder, LEGACY, "orders").withColumn("kept", F.col("code"))
+    return legacy_table(df, renumber=["code"])
