@@ -14,10 +14,12 @@ REASONS = "_reject_reasons"
 SOURCE_ROW = "_source_row"
 
 
-def _reason(c: Column, data_type: T.DataType, converted: Column, kind: str, name: str) -> Column:
+def _reason(c: Column, data_type: T.DataType, converted: Column, kind: str, name: str, text_limit: int | None) -> Column:
     """Why this value cannot load; NULL if it can."""
     if kind == "text":
-        too_long = F.char_length(full_text(c, data_type)) > TEXT_LIMIT
+        if text_limit is None:
+            return F.lit(None).cast("string")
+        too_long = F.char_length(full_text(c, data_type)) > text_limit
         return F.when(too_long, F.lit(f"{name}:too_long"))
     given = c.isNotNull()
     if isinstance(data_type, T.StringType):
@@ -27,7 +29,7 @@ def _reason(c: Column, data_type: T.DataType, converted: Column, kind: str, name
     return F.when(converted.isNull() & given, F.lit(f"{name}:not_{kind}"))
 
 
-def convert_table(df: DataFrame, targets: dict[str, str]) -> DataFrame:
+def convert_table(df: DataFrame, targets: dict[str, str], text_limit: int | None = TEXT_LIMIT) -> DataFrame:
     """Convert the named columns; add the reasons and the row as it came.
 
     Columns without a target kind pass unchanged.  ``_source_row`` is JSON of the
@@ -36,8 +38,8 @@ def convert_table(df: DataFrame, targets: dict[str, str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     done = {n: f"__{i}" for i, n in enumerate(targets)}
     # Converted values and reasons are columns of their own, computed once.
-    staged = df.select("*", *[convert(col(n), types[n], k).alias(done[n]) for n, k in targets.items()])
-    reasons = [_reason(col(n), types[n], F.col(done[n]), k, n) for n, k in targets.items()]
+    staged = df.select("*", *[convert(col(n), types[n], k, text_limit).alias(done[n]) for n, k in targets.items()])
+    reasons = [_reason(col(n), types[n], F.col(done[n]), k, n, text_limit) for n, k in targets.items()]
     staged = staged.withColumn(REASONS, F.concat_ws(";", *reasons))
     original = F.to_json(F.struct(*[col(n) for n in df.columns]), {"ignoreNullFields": "false"})
     return staged.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
+from tideline.functions.convert import KINDS
 from tideline.functions.names import SYSTEM_COLUMNS
 from tideline.sinks.tables import check_batch_size
 
@@ -12,7 +13,7 @@ from tideline.sinks.tables import check_batch_size
 SOURCE_TYPES = ("csv", "dbf", "fixed_text", "parquet", "orc", "json", "table", "custom_query")
 TARGET_TYPES = ("parquet", "orc", "csv", "dbf", "fixed_text", "jdbc")
 FILE_SOURCES = ("csv", "dbf", "fixed_text", "parquet", "orc", "json")
-CHECKED_TARGETS = ("parquet", "orc", "jdbc")
+PARENT_TARGETS = ("parquet", "orc", "csv", "jdbc")
 
 
 @dataclass
@@ -44,7 +45,14 @@ class TableSpec:
     drop_if_exists: bool = True
     source_options: dict[str, Any] = field(default_factory=dict)
     target_options: dict[str, Any] = field(default_factory=dict)
+    # Dates of file and table sources; a query's own text is left as it is.
     normalize_dates: bool = True
+    date_columns: list[str] | None = None
+    on_unparsed: str = "keep"
+    min_share: float = 0.9
+    # Column -> target kind: rows that do not convert go to a table of rejects.
+    column_types: dict[str, str] = field(default_factory=dict)
+    text_limit: int | None = None
     row_id: str | None = None
     quality: QualityOptions = field(default_factory=QualityOptions)
 
@@ -73,6 +81,17 @@ class TableSpec:
                 raise ValueError(f"data_source.type must be 'table' or one of {FILE_SOURCES}")
         if self.row_id not in (None, "random", "hash"):
             raise ValueError("row_id must be 'random', 'hash' or left out")
+        if self.on_unparsed not in ("keep", "null"):
+            raise ValueError("on_unparsed must be 'keep' or 'null'")
+        if not 0 < self.min_share <= 1:
+            raise ValueError("min_share must be above 0 and at most 1")
+        wrong = sorted(set(self.column_types.values()) - set(KINDS))
+        if wrong:
+            raise ValueError(f"unknown target kinds {wrong}, expected some of {KINDS}")
+        for fk in self.foreign_keys:
+            columns, parents = fk.get("columns") or [], fk.get("references_columns") or fk.get("reference_columns") or []
+            if columns and len(columns) != len(parents):
+                raise ValueError(f"foreign key {columns}: as many references_columns are needed, got {parents}")
         check_batch_size(self.batch_size)
 
     @property
