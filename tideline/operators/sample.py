@@ -109,20 +109,25 @@ def hash_sample(
 ) -> DataFrame:
     """``n`` rows without replacement, the same rows every time (all rows if fewer).
 
-    With ``key_columns`` only these are hashed, and read to find the cut-off; they
-    should identify a row.  Without, the whole row is hashed, so rows that tie are
+    With ``key_columns`` these are hashed first, and read to find the cut-off; rows
+    that share a key are told apart by the whole row, hashed as well where the key
+    does not identify one.  Without, the whole row is hashed, so rows that tie are
     copies of each other and it does not matter which of them are taken.
     """
+    whole = F.sha2(F.to_json(F.struct(*[col(c) for c in df.columns])), 256)
     if key_columns:
         types = {f.name: f.dataType for f in df.schema.fields}
         order = hash_order([F.coalesce(as_text(col(k), types[k]), F.lit("")) for k in key_columns])
     else:
-        order = F.sha2(F.to_json(F.struct(*[col(c) for c in df.columns])), 256)
+        order = whole
     ordered = df.withColumn(ORDER, order)
     cutoff = find_cutoff(ordered.select(ORDER), n, small=small)
     if cutoff.ties is None:
         return ordered.filter(cutoff.contains(F.col(ORDER))).drop(ORDER)
     below = ordered.filter(F.col(ORDER) < cutoff.prefix).drop(ORDER)
+    if key_columns:
+        # The rest comes from the rows of the last key, in the order of their whole text.
+        return below.unionByName(hash_sample(ordered.filter(F.col(ORDER) == cutoff.prefix).drop(ORDER), cutoff.ties, small=small))
     # One of the tied rows, repeated as often as the sample needs it.
     tied = ordered.filter(F.col(ORDER) == cutoff.prefix).limit(1)
     places = df.sparkSession.range(cutoff.ties).select(F.lit(cutoff.prefix).alias(ORDER))
