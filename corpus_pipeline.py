@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stage
+from tideline.llm.common import stage, tuned
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.jaccard import jaccard_classes
@@ -22,12 +22,13 @@ REJECT_BELOW = 0.5  # score of a document that goes
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labelled documents."""
-    labels = training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = training_labels(tuned(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(quality_of(docs, labels)(F.coalesce("text", F.lit(""))) >= REJECT_BELOW)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one stays."""
+    tuned(spark)
     kept = stage(exact_dedup(docs).where("kept").select("id"), "kept")
     out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]), "left_semi")
     # rows repeated with their id are copies, too
@@ -36,18 +37,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked texts the one with the smallest id stays."""
+    tuned(spark)
     stays = jaccard_classes(docs).where("component_id IS NULL OR component_id = id").select("id").distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(stays["id"]), "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a test item go."""
-    bad = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("id").distinct()
+    bad = contaminated(docs, tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet")).select("id").distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]), "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
+    tuned(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 

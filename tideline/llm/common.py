@@ -6,17 +6,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.session import scratch_dir
+from tideline.session import configure, scratch_dir
 
 # The ASCII white space that all operators split and trim by.
 SPACE = " \t\n\x0b\x0c\r"
 # The same on bytes, where str.split() would also split at other Unicode spaces:
 # bytes.split() and bytes.lower() know exactly these and A-Z.
 
-DISTINCT_WORDS = 300_000  # words a task keeps in one dictionary before it starts a new one
+BATCH_ROWS = 1_000
+DISTINCT_WORDS = 200_000  # words a task keeps in one dictionary before it starts a new one
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and fewer rows in each batch that goes to Python: texts are long."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

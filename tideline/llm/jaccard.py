@@ -161,16 +161,13 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
 
     marks = rows.sparkSession.sparkContext.broadcast(summed_blocks(nodes.mapInPandas(mark, "block int, data binary"), size // 8, "uint8", np.bitwise_or))
 
-    @F.pandas_udf("boolean")
-    def marked(ids: pd.Series) -> pd.Series:
-        at = places(ids)
-        return pd.Series(marks.value[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1 == 1)
-
     def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield frame({"id": pdf["id"], "set": [shingles(t, width).tobytes() for t in pdf["text"]]})
+            at = places(pdf["id"])
+            own = pdf[marks.value[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1 == 1]
+            yield frame({"id": own["id"], "set": [shingles(t, width).tobytes() for t in own["text"]]})
 
-    sets = rows.where("id IS NOT NULL").where(marked("id")).mapInPandas(read, "id long, set binary")
+    sets = rows.where("id IS NOT NULL").mapInPandas(read, "id long, set binary")
 
     @F.pandas_udf("boolean")
     def close(one: pd.Series, two: pd.Series) -> pd.Series:

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.llm.common import tuned
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.html_text import main_text
@@ -16,7 +17,6 @@ from tideline.llm.quality import held_out, score_quality, training_labels
 from tideline.llm.suffix_dedup import suffix_dedup
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
-from tideline.session import configure
 from tideline.suite.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,7 +25,7 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = lambda spark, folder: fn(configure(spark), folder)
+        QUERIES[fn.__name__] = lambda spark, folder: fn(tuned(spark), folder)
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn
