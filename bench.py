@@ -22,7 +22,7 @@ HEADLINE = (
     "trim_strings_all replace_regex cast_lenient null_fill null_drop nested_to_string homogenize_records dedupe_all dedupe_subset "
     "transform_chain convert_values parse_dates_any good_rows_loaded width_profiles type_profiles conversion_counts pk_check fk_check "
     "declared_constraints row_count_by_file sample_by_hash sample_of_copies content_accuracy content_mismatches best_match "
-    "column_discrepancy quality_history export_csv row_ids table_run tables_summary"
+    "column_discrepancy quality_history export_csv row_ids table_run tables_summary tables_report file_batches_ingest rejected_rows_kept"
 ).split()
 
 

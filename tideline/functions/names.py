@@ -9,19 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words that may not stand alone as a target column name.
-RESERVED_WORDS = frozenset(
-    """
-    ACCESS ADD ALL ALTER AND ANY AS ASC AUDIT BETWEEN BY CHAR CHECK CLUSTER COLUMN COMMENT
-    COMPRESS CONNECT CREATE CURRENT DATE DECIMAL DEFAULT DELETE DESC DISTINCT DROP ELSE
-    EXCLUSIVE EXISTS FILE FLOAT FOR FROM GRANT GROUP HAVING IDENTIFIED IMMEDIATE IN INCREMENT
-    INDEX INITIAL INSERT INTEGER INTERSECT INTERVAL INTO IS LEVEL LIKE LOCK LONG MAXEXTENTS
-    MINUS MODE MODIFY NOAUDIT NOCOMPRESS NOT NOWAIT NULL NUMBER OF OFFLINE ON ONLINE OPTION OR
-    ORDER PARTITION PCTFREE PRIOR PUBLIC RAW RENAME RESOURCE REVOKE ROW ROWID ROWNUM ROWS
-    SELECT SESSION SET SHARE SIZE SMALLINT START SUBPARTITION SUCCESSFUL SYNONYM SYSDATE TABLE
-    THEN TIMESTAMP TO TRIGGER UID UNION UNIQUE UPDATE USER VALIDATE VALUES VARCHAR VARCHAR2
-    VIEW WHENEVER WHERE WITH
-    """.split()
-)
+RESERVED_WORDS = {
+    "ACCESS", "ADD", "ALL", "ALTER", "AND", "ANY", "AS", "ASC", "AUDIT", "BETWEEN", "BY", "CHAR", "CHECK", "CLUSTER",
+    "COLUMN", "COMMENT", "COMPRESS", "CONNECT", "CREATE", "CURRENT", "DATE", "DECIMAL", "DEFAULT", "DELETE", "DESC",
+    "DISTINCT", "DROP", "ELSE", "EXCLUSIVE", "EXISTS", "FILE", "FLOAT", "FOR", "FROM", "GRANT", "GROUP", "HAVING",
+    "IDENTIFIED", "IMMEDIATE", "IN", "INCREMENT", "INDEX", "INITIAL", "INSERT", "INTEGER", "INTERSECT", "INTERVAL",
+    "INTO", "IS", "LEVEL", "LIKE", "LOCK", "LONG", "MAXEXTENTS", "MINUS", "MODE", "MODIFY", "NOAUDIT", "NOCOMPRESS",
+    "NOT", "NOWAIT", "NULL", "NUMBER", "OF", "OFFLINE", "ON", "ONLINE", "OPTION", "OR", "ORDER", "PARTITION",
+    "PCTFREE", "PRIOR", "PUBLIC", "RAW", "RENAME", "RESOURCE", "REVOKE", "ROW", "ROWID", "ROWNUM", "ROWS", "SELECT",
+    "SESSION", "SET", "SHARE", "SIZE", "SMALLINT", "START", "SUBPARTITION", "SUCCESSFUL", "SYNONYM", "SYSDATE",
+    "TABLE", "THEN", "TIMESTAMP", "TO", "TRIGGER", "UID", "UNION", "UNIQUE", "UPDATE", "USER", "VALIDATE", "VALUES",
+    "VARCHAR", "VARCHAR2", "VIEW", "WHENEVER", "WHERE", "WITH",
+}
 MAX_NAME_LENGTH = 30
 # Columns the load itself adds, left out of comparisons.
 SYSTEM_COLUMNS = ("U_ID", "SOURCE_FILE")

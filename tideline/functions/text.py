@@ -138,8 +138,3 @@ def row_text(texts: Sequence[Column]) -> Column:
     A plain separator would let ``("a|", "b")`` equal ``("a", "|b")``.
     """
     return F.concat_ws("", *[F.concat(F.char_length(t).cast("string"), F.lit(":"), t) for t in texts])
-
-
-def row_digest(texts: Sequence[Column]) -> Column:
-    """SHA-256 of the row text: a 32-byte stand-in for the row in shuffles."""
-    return F.unhex(F.sha2(row_text(texts), 256))

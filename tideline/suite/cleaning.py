@@ -12,8 +12,10 @@ from tideline.operators.datetimes import datetime_profile, normalize_datetimes
 from tideline.operators.transform import CleaningOptions, apply_operations, clean_table, dedupe, handle_nulls
 from tideline.suite.registry import from_sql, query, table
 
+# The tokens and words that mean nothing is there.
 TOKEN_CASE = """CASE o_orderkey % 9 WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' WHEN 2 THEN 'NA' WHEN 3 THEN 'N/A'
   WHEN 4 THEN 'n/a' WHEN 5 THEN '' WHEN 6 THEN 'Na' ELSE o_orderpriority END"""
+# The tokens and words that mean nothing is there.
 WORD_CASE = """CASE o_orderkey % 9 WHEN 0 THEN 'nan' WHEN 1 THEN 'NaN' WHEN 2 THEN '<NA>' WHEN 3 THEN 'None'
   WHEN 4 THEN 'null' WHEN 5 THEN 'NULL' WHEN 6 THEN 'none' ELSE o_orderstatus END"""
 
