@@ -28,8 +28,9 @@ GRAM = 32  # bytes of an anchor
 SIDE = LENGTH - GRAM  # bytes around an anchor that its strings can reach, on either side
 AROUND = SIDE + GRAM + SIDE
 CHUNK = 1 << 20  # bytes hashed at once
-HELD = 1 << 20  # anchors, or contexts, that a task holds before it tells them
-BUCKET = 100_000  # contexts of a bucket, on average
+HELD = 1 << 20  # anchors that a task holds before it tells them
+HELD_CONTEXTS = 1 << 17
+BUCKET = 50_000  # contexts of a bucket, on average
 WIDE = 4  # buckets that one anchor must fill to be dealt by its strings
 SAMPLES = 40  # sampled contexts for each bucket
 
@@ -207,13 +208,13 @@ def earlier_strings(around: np.ndarray, left: np.ndarray, right: np.ndarray) ->
     for order, common in shared:
         by = []
         for reach in range(SIDE + 1):
-            ids = np.empty(n, np.int64)
+            ids = np.empty(n, np.int32)
             ids[order] = np.cumsum(common < GRAM + reach)
             by.append(ids)
         classes.append(by)
     for reach in range(SIDE + 1):
         ok = np.flatnonzero((left >= reach) & (right >= SIDE - reach))
-        key = classes[1][reach][ok] * (n + 1) + classes[0][SIDE - reach][ok]
+        key = classes[1][reach][ok].astype(np.int64) * (n + 1) + classes[0][SIDE - reach][ok]
         order = np.argsort(key, kind="stable")
         again = ok[order[1:][key[order[1:]] == key[order[:-1]]]]
         low[again[low[again] < 0]] = reach
@@ -221,6 +222,17 @@ def earlier_strings(around: np.ndarray, left: np.ndarray, right: np.ndarray) ->
     return low, high
 
 
+def merged(ids: np.ndarray, th: np.ndarray, first: np.ndarray, stop: np.ndarray) -> dict[str, np.ndarray]:
+    """The same bytes in as few intervals of each text as there are gaps."""
+    order = np.lexsort((first, th, ids))
+    ids, th, first, stop = (x[order].astype(np.int64) for x in (ids, th, first, stop))
+    other = np.concatenate([[True], (ids[1:] != ids[:-1]) | (th[1:] != th[:-1])])[: len(ids)]
+    text = np.cumsum(other) << 33
+    reach = np.maximum.accumulate(stop + text) - text
+    new = np.flatnonzero(other | np.concatenate([[True], first[1:] > reach[:-1]])[: len(ids)])
+    return {"id": ids[new], "th": th[new], "first": first[new].astype(np.int32), "stop": reach[np.append(new[1:], len(ids))[: len(new)] - 1].astype(np.int32)}
+
+
 _INTERVAL = "id long, th long, first int, stop int"
 _CONTEXT = "around binary, pos int, lft int, rgt int"
 
@@ -243,7 +255,7 @@ def _contexts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         new = f == np.arange(len(f))
         rep = ~same & (np.minimum(lft, SIDE) >= SIDE - np.minimum(rgt, SIDE))
         return pd.concat([
-            frame({"id": ids[rep], "th": th[rep], "first": pos[rep] - lft[rep], "stop": pos[rep] + GRAM + rgt[rep], "around": None, "pos": 0, "lft": 0, "rgt": 0}),
+            frame({**merged(ids[rep], th[rep], pos[rep] - lft[rep], pos[rep] + GRAM + rgt[rep]), "around": None, "pos": 0, "lft": 0, "rgt": 0}),
             frame({"id": ids[new], "th": th[new], "first": 0, "stop": 0, "around": [x.tobytes() for x in around[new]], "pos": pos[new], "lft": lft[new], "rgt": rgt[new]}),
         ])
 
@@ -259,7 +271,7 @@ def _contexts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n = len(at)
             held.append((around, np.full(n, i), np.full(n, th), at, np.minimum(at, SIDE), np.minimum(len(data) - at - GRAM, SIDE)))
             count += n
-        if count > HELD // 4:
+        if count > HELD_CONTEXTS:
             yield told()
             count = 0
     if count:
@@ -271,12 +283,13 @@ def _bucket_intervals(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]
     parts = [b for b in batches if len(b)]
     if not parts:
         return
-    pdf = pd.concat(parts).sort_values(["id", "th", "pos"], ignore_index=True)
+    # A row that is repeated with its id is one text.
+    pdf = pd.concat(parts).drop_duplicates(["id", "th", "pos"]).sort_values(["id", "th", "pos"], ignore_index=True)
     around = np.frombuffer(b"".join(pdf["around"]), np.uint8).reshape(-1, AROUND)
     low, high = earlier_strings(around, pdf["lft"].to_numpy(), pdf["rgt"].to_numpy())
     at = np.flatnonzero(low >= 0)
     pos = pdf["pos"].to_numpy()[at]
-    yield frame({"id": pdf["id"].to_numpy()[at], "th": pdf["th"].to_numpy()[at], "first": pos - high[at], "stop": pos - low[at] + LENGTH})
+    yield frame(merged(pdf["id"].to_numpy()[at], pdf["th"].to_numpy()[at], pos - high[at], pos - low[at] + LENGTH))
 
 
 def _strings(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
