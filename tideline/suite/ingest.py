@@ -167,14 +167,14 @@ def file_batches_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _event_totals(spark.read.parquet(target))
 
 
-REPORT = """SELECT o_orderpriority, l_returnflag, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
-  COUNT(*) AS transaction_count FROM sales_data JOIN order_data ON o_orderkey = l_orderkey
+REPORT = """SELECT o_orderpriority, l_returnflag, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS worth,
+  COUNT(*) AS n_lines FROM shipped_lines JOIN placed_orders ON o_orderkey = l_orderkey
   WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00' GROUP BY o_orderpriority, l_returnflag"""
 
 
-@query(REPORT.replace("sales_data", "lineitem").replace("order_data", "orders"))
+@query(REPORT.replace("shipped_lines", "lineitem").replace("placed_orders", "orders"))
 def sql_alias_report(spark: SparkSession, folder: str) -> DataFrame:
-    sources = {"sales_data": table(spark, folder, "lineitem"), "order_data": table(spark, folder, "orders")}
+    sources = {"shipped_lines": table(spark, folder, "lineitem"), "placed_orders": table(spark, folder, "orders")}
     return run_sql(spark, REPORT + ";", sources)
 
 
@@ -185,7 +185,7 @@ def sql_alias_report(spark: SparkSession, folder: str) -> DataFrame:
 def sql_multi_alias_union(spark: SparkSession, folder: str) -> DataFrame:
     one = table(spark, folder, "customer").select(col("c_custkey").alias("id "), col("c_name").alias("name"), col("c_nationkey").alias("nation"))
     two = table(spark, folder, "supplier").select(col("s_suppkey").alias("id"), col("s_name").alias("name"), col("s_nationkey").alias(" nation"))
-    return run_sql(spark, "SELECT * FROM sample1\nUNION ALL\nSELECT * FROM sample2", {"sample1": one, "sample2": two})
+    return run_sql(spark, "SELECT id, name, nation FROM buyers UNION ALL SELECT id, name, nation FROM sellers", {"buyers": one, "sellers": two})
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey < 0")
