@@ -59,9 +59,17 @@ class Lattice:
             for n in range(1, len(piece)):
                 self.trie.setdefault(piece[:n], -1)
             self.trie[piece] = i
+        self.spelt: dict[str, tuple[int, ...]] = {}
+
+    def spelling(self, char: str) -> tuple[int, ...]:
+        """The byte pieces of a character."""
+        got = self.spelt.get(char)
+        if got is None:
+            got = self.spelt[char] = tuple(self.bytes[b] for b in char.encode("utf-8", "replace"))
+        return got
 
     def arcs(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """From every place: where an arc ends, its log weight, its pieces."""
+        """From every place: where an arc ends, its log weight, its pieces; bytes where no piece is that character."""
         trie, log, n, out = self.trie, self.log, len(text), []
         for i in range(n):
             own = []
@@ -71,8 +79,9 @@ class Lattice:
                     break
                 if piece >= 0:
                     own.append((j, log[piece], (piece,)))
-            spelt = tuple(self.bytes[b] for b in text[i].encode("utf-8", "replace"))
-            own.append((i + 1, sum(log[b] for b in spelt), spelt))
+            if trie.get(text[i], -1) < 0:
+                spelt = self.spelling(text[i])
+                own.append((i + 1, sum(log[b] for b in spelt), spelt))
             out.append(own)
         return out
 
@@ -94,9 +103,11 @@ class Lattice:
         """Natural log of the word's probability over all segmentations."""
         return self._forward(self.arcs(START + word))[-1]
 
-    def expect(self, word: str, counts: np.ndarray) -> None:
-        """Add each piece's expected number in the word."""
+    def expect(self, word: str, counts: list[float]) -> None:
+        """Add each piece's expected number in the word; in logs only where plain numbers would vanish."""
         arcs = self.arcs(START + word)
+        if len(arcs) <= 64 and self._expect_plain(arcs, counts):
+            return
         alpha = self._forward(arcs)
         exp, log1p = math.exp, math.log1p
         beta = [-math.inf] * len(arcs) + [0.0]
@@ -115,6 +126,29 @@ class Lattice:
             beta[i] = best
 
 
+    @staticmethod
+    def _expect_plain(arcs: list, counts: list[float]) -> bool:
+        n, exp = len(arcs), math.exp
+        plain = [[(j, exp(weight), pieces) for j, weight, pieces in own] for own in arcs]
+        alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        for i, own in enumerate(plain):
+            here = alpha[i]
+            for j, weight, _ in own:
+                alpha[j] += here * weight
+        total = alpha[n]
+        if total < 1e-250:
+            return False
+        for i in range(n - 1, -1, -1):
+            here, all_on = alpha[i] / total, 0.0
+            for j, weight, pieces in plain[i]:
+                on = weight * beta[j]
+                all_on += on
+                for p in pieces:
+                    counts[p] += here * on
+            beta[i] = all_on
+        return True
+
+
 def count_words(rows: DataFrame) -> DataFrame:
     """``word, c`` of ``rows (text, train)``: every word, and how often it is in training texts."""
 
@@ -143,11 +177,11 @@ def learn_pieces(counts: DataFrame, path: str) -> np.ndarray:
     size = Lattice(path).size
 
     def expect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice, total = Lattice(path), np.zeros(size)
+        lattice, total = Lattice(path), [0.0] * size
         for pdf in batches:
             for word in pdf["word"]:
                 lattice.expect(word, total)
-        yield frame({"block": [0], "data": [total.tobytes()]})
+        yield frame({"block": [0], "data": [np.array(total).tobytes()]})
 
     got = summed_blocks(counts.where("c > 0").select("word").mapInPandas(expect, "block int, data binary"), size, "float64")
     start = Lattice(path).weights
@@ -215,7 +249,8 @@ def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id
                 docs_out.append((key, i, None, n + 1, here + (n_docs > 0), b, s))
             columns = ["key", "id", "word", "n", "known", "base", "score"]
             yield pd.DataFrame(docs_out, columns=columns).astype({"id": "Int64"})
-            yield frame({"key": key_out, "id": pd.array([None] * len(key_out), "Int64"), "word": word_out, "n": tf_out, "known": 0, "base": 0.0, "score": 0.0})
+            if key_out:
+                yield frame({"key": key_out, "id": pd.array([None] * len(key_out), "Int64"), "word": word_out, "n": tf_out, "known": 0, "base": 0.0, "score": 0.0})
 
     keyed = rows.select(F.monotonically_increasing_id().alias("key"), "id", "text")
     found = stage(keyed.mapInPandas(look_up, "key long, id long, word string, n long, known long, base double, score double"), "found")
