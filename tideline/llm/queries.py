@@ -88,7 +88,16 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
 
 
-@query()
+@query(r"""
+  WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  g AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM w),
+  n AS (SELECT doc_id, count(g) AS n FROM w LEFT JOIN g USING (doc_id) GROUP BY doc_id),
+  pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+  e AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 90 * (a.n + b.n - i)),
+  r(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id)
+  SELECT n.doc_id, n.n AS n_shingles, c.component_id FROM n JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+""")
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents"), 3, 90).withColumnRenamed("id", "doc_id")
 
