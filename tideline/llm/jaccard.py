@@ -1,7 +1,7 @@
 """Jaccard join of word-shingle sets with adaptive multi-match prefixes, as connected classes.
 
-Shingles have one order for all documents: those that a sketch of the whole corpus
-finds no more often than its noise first, then ever more frequent ones.  Two sets of
+Shingles have one order for all documents: ascending by how often a sketch of the
+whole corpus has seen them, then by hash.  Two sets of
 the wanted similarity share at least ``l`` of the first ``size - needed + l``.  Each
 document takes the ``l`` that its estimated candidates make cheapest, and a pair
 must share as many tokens as the smaller ``l`` of the two says.
@@ -71,8 +71,7 @@ def prefix(s: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tup
     n = len(s)
     must = needed(n, percent)
     count = sketch[s % np.uint64(COUNTERS)].astype(np.float64)
-    level = np.ceil(np.log2(np.maximum(count / (2 * noise + 1), 1))).astype(np.uint64)
-    order = np.argsort(level << np.uint64(58) | s >> np.uint64(6), kind="stable")[: n - must + min(MOST_SHARED, must)]
+    order = np.argsort(count.astype(np.uint64) << np.uint64(32) | s >> np.uint64(32), kind="stable")[: n - must + min(MOST_SHARED, must)]
     others = np.cumsum(np.maximum(count[order] - noise, 0))
     first = n - must
     costs = [(others[first + k - 1] * (1 + VERIFY_COST / k), k) for k in range(1, min(MOST_SHARED, must) + 1)]
@@ -209,11 +208,12 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     info = nodes.drop("sign").groupBy("node").agg(F.min("n").alias("n"), *[F.min(b).alias(b) for b in bits])
     shared = stage(index.join(often, "token").join(info, "node"), "shared")
 
-    # Each set against the smallest set under its token: groups of near copies come together with one link each.
-    low = shared.groupBy("token").agg(F.min(F.struct("n", "node", *bits)).alias("p")).select("token", "p.*")
-    stars = shared.alias("a").join(low.alias("b"), F.col("a.token") == F.col("b.token"))
+    # Each set against two sets under its token that hashing picks: groups of near copies come together with few links each.
+    one = F.struct(F.xxhash64("node").alias("order"), "n", "node", *bits)
+    some = shared.groupBy("token").agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("p")).select("token", F.inline("p"))
+    stars = shared.alias("a").join(some.alias("b"), F.col("a.token") == F.col("b.token"))
     stars = stars.where((F.col("a.node") != F.col("b.node")) & _similar(percent, "a", "b"))
-    stars = stage(stars.select(F.col("b.node").alias("a"), F.col("a.node").alias("b")).distinct(), "stars")
+    stars = stage(stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "stars")
     links = stage(_verified(stars, rows, width, percent), "links")
     roots = stage(components(links), "roots") if not links.isEmpty() else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
