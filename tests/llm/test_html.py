@@ -41,6 +41,13 @@ def blocks(source):
         ("<p>un<b>closed", ["unclosed"]),
         ("<head><title>t</title></head><body>x</body>", ["x"]),
         ("<article><h1>A&#233;&lt;b&gt;</h1>t</article>", ["Aé<b>", "t"]),
+        ("<head><title>t</title><body><article>x</article>", ["x"]),
+        ("<html><head><meta charset=utf-8><style>p{}</style><p>x</p><p>y", ["x", "y"]),
+        ("<p>a<svg class='i' viewBox=\"0 0 1 1\"/>b</p><p>c<math/></p><svg><path d='M0'/></svg><p>d</p>", ["ab", "c", "d"]),
+        ("<p>a<svg width=1/>no</svg>b</p>", ["ab"]),
+        ("<p title=don't>a</p><p>b</p><p title=won't>c</p>", ["a", "b", "c"]),
+        ("<p it's = 'a>b' x=y='z>c</p>", ["c"]),
+        ("<script data-x=don't>no</script><p>a</p><p>it's</p>", ["a", "it's"]),
     ],
 )
 def test_blocks(source, want):
@@ -104,6 +111,14 @@ def test_other_markups(spark):
     assert missed + extra < 0.08 * good
 
 
+def test_optional_tags_of_the_corpus(spark):
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(PAGES).collect()]
+    cut = [(i, u, h.replace("</head>", "").replace("<article>", "<svg class=icon /><article title=don't>", 1)) for i, u, h in rows]
+    assert all("</head>" in h for _, _, h in rows)
+    got = main_text(documents(spark, cut, ("page_id", "url", "html"), ("long", "string", "string"))).collect()
+    assert {r["id"]: r["text"] for r in got} == {i: truth(h) for i, _, h in rows}
+
+
 def test_awkward(spark):
     rows = [(1, None, None), (2, "u", ""), (3, None, "<p>"), (3, None, "<p>"), (None, "u", "<article><p>" + "one two three, four. " * 30 + "</p></article>"), (4, "u", "&#0;&bogus;<"), (5, "u", "\x00<a"), (6, "u", "<article><p>x</p>" * 2000)]
     pages = documents(spark, rows, ("page_id", "url", "html"), ("long", "string", "string"))

@@ -13,20 +13,25 @@ BLOCK = frozenset(
 )
 #: Elements without an end tag, and elements whose content is no page text (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "script|style|template|noscript|iframe|object|svg|math|canvas|audio|video|textarea|title|head"
+HIDDEN = "script|style|template|noscript|iframe|object|canvas|audio|video|textarea|title"
+#: Hidden elements of other vocabularies, the only ones that a slash before the end of the start tag closes.
+FOREIGN = "svg|math"
 #: What a start tag ends when it is open: the start tags, and the elements they end.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("table td th button ul ol dl body html".split())
 
+# What is inside a tag: a quote delimits only right after "=", and a value without quotes ends at white space.
+# The slash just before ">" is left over, unless it belongs to such a value.
+_ATTRS = r"(?:[^>=/]++|/(?!>)|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    rf"|<(?P<raw>{HIDDEN})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    rf"|<(?P<raw>{HIDDEN})(?=[\s/>]){_ATTRS}/?>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<foreign>{FOREIGN})(?=[\s/>]){_ATTRS}(?:/>|>.*?(?:</(?P=foreign)\s*>|\Z))"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS}/?)>",
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
-_HEAD = re.compile(r"<head(?=[\s>])", re.I)
 
 
 class Page:
@@ -87,6 +92,8 @@ class Page:
         del self.stack[depth:]
 
     def open(self, tag: str, attrs: str) -> None:
+        if tag == "head":  # what may stand in it is hidden or void; anything else ends it, with or without its end tag
+            return
         if tag not in BLOCK:
             if tag == "br":
                 self.run.append(" ")
