@@ -54,6 +54,26 @@ def test_uneven_files_union(spark, tmp_path):
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
 
 
+def test_folders_with_subfolders(spark, tmp_path):
+    flat = write(f"{tmp_path}/flat.csv", "id,x\n1,p\n")
+    write(f"{tmp_path}/parts/country=de/part-0.csv", "id,x\n2,q\n")
+    write(f"{tmp_path}/parts/country=a%2Fb+c/part-1.csv", "x,id,country\nr,3,own\n")
+    write(f"{tmp_path}/parts/country=__HIVE_DEFAULT_PARTITION__/day=1/part-0.csv", "id,x\n4,s\n")
+    write(f"{tmp_path}/parts/top.csv", "id,x\n5,t\n")
+    write(f"{tmp_path}/parts/_temporary/0/part-9.csv", "id,x\n9,no\n")
+    write(f"{tmp_path}/deep/2024/01/a.csv", "id,x\n6,u\n")
+    df = many.read_delimited_files(spark, [flat, f"{tmp_path}/parts", f"{tmp_path}/deep"])
+    want = [("1", "p", None, None), ("2", "q", "de", None), ("3", "r", "a/b+c", None), ("4", "s", None, "1"), ("5", "t", None, None), ("6", "u", None, None)]
+    assert rows(df.select("id", "x", "country", "day")) == want
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        os.makedirs(f"{tmp_path}/none")
+        many.read_delimited_files(spark, [flat, f"{tmp_path}/none"])
+    for name, source, n in (("A", ["flat.csv", "parts"], 5), ("B", "parts", 4), ("C", "deep", 1)):
+        run = run_table(spark, {"source_file_path": source, "target_table": name}, str(tmp_path), f"{tmp_path}/out")
+        assert (run.error, run.total_rows) == (None, n)
+    assert rows(spark.read.parquet(f"{tmp_path}/out/B").select("id", "country"))[0] == ("2", "de")
+
+
 def test_missing_files(spark, tmp_path):
     write(f"{tmp_path}/a.csv", "id\n1\n")
     assert many.resolve_files(spark, ["a.csv"], str(tmp_path)) == [f"{tmp_path}/a.csv"]

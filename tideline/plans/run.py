@@ -95,10 +95,9 @@ def _read_files(spark: SparkSession, kind: str, files: Any, options: dict, data_
     if kind == "csv":
         if many:
             return read_delimited_files(spark, paths, options)
-        files = data_files(spark, paths[0])
-        if len(files) > 1:
+        if data_files(spark, paths[0]) != paths:
             # A folder or pattern is several files, whose headers may differ; the lineage is not asked for.
-            return read_delimited_files(spark, files, options).drop(LINEAGE)
+            return read_delimited_files(spark, paths, options).drop(LINEAGE)
         return read_delimited(spark, paths[0], **split_options(options))
     if kind == "fixed_text":
         options = dict(options)

@@ -6,15 +6,19 @@ import os
 import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tideline.functions.names import col
 from tideline.functions.text import blank_to_null, stringify
 from tideline.sources.delimited import header_of, read_delimited, split_options
 from tideline.sources.typed import read_typed
 from tideline.sources.union import LINEAGE, union_by_name, with_source_file
 
 HEADER_THREADS = 16
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # how Spark writes a null into a folder's name
 
 
 class MissingFiles(FileNotFoundError):
@@ -29,19 +33,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """The files that a folder or pattern stands for; a plain file is itself."""
+def _hidden(name: str) -> bool:
+    """What Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def _listed(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The files that a folder or pattern stands for, at any depth, with the names of their partition columns."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = system.globStatus(target) or []
     if len(found) == 1 and found[0].isFile():
-        return [path]
-    files: list[str] = []
+        return {path: ()}
+    files: dict[str, tuple[str, ...]] = {}
+
+    def walk(status, keys: tuple[str, ...]) -> None:
+        for f in system.listStatus(status.getPath()):
+            name = f.getPath().getName()
+            if _hidden(name):
+                continue
+            if f.isFile():
+                files[re.sub(r"^file:/+", "/", str(f.getPath()))] = keys
+            else:
+                key = name.partition("=")[0] if "=" in name else ""
+                walk(f, (*keys, key) if key and key not in keys else keys)
+
     for status in found:
-        inside = [status] if status.isFile() else system.listStatus(status.getPath())
-        files += [str(f.getPath()) for f in inside if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
-    return sorted(re.sub(r"^file:/+", "/", f) for f in files)
+        if not status.isFile():
+            walk(status, ())
+        elif not _hidden(status.getPath().getName()):
+            files[re.sub(r"^file:/+", "/", str(status.getPath()))] = ()
+    return dict(sorted(files.items()))
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a folder or pattern stands for, at any depth; a plain file is itself."""
+    return list(_listed(spark, path))
 
 
 def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str | None = None) -> list[str]:
@@ -56,7 +84,7 @@ def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str
     return paths
 
 
-def _grouped(paths: Sequence[str], shape: Callable[[str], tuple]) -> list[tuple[tuple, list[str]]]:
+def _grouped(paths: Sequence, shape: Callable[..., tuple]) -> list[tuple[tuple, list]]:
     """Paths by their shape, in order of first appearance.
 
     The union then has one branch per distinct header, not one per file, so
@@ -70,21 +98,34 @@ def _grouped(paths: Sequence[str], shape: Callable[[str], tuple]) -> list[tuple[
     return list(groups.items())
 
 
+def _with_partitions(df: DataFrame, keys: Sequence[str], null_tokens: Sequence[str]) -> DataFrame:
+    """Values that the folders' names hold (``country=de``); they stand for a file's own column of that name, as in Spark."""
+    for key in keys:
+        value = F.regexp_extract(LINEAGE, f"^.*/{re.escape(key)}=([^/]*)/", 1)
+        value = F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+        name = next((c for c in df.columns if c.lower() == unquote(key).lower()), unquote(key))
+        df = df.withColumn(name, F.nullif(value, F.lit(NO_VALUE)))
+    df = df.select(*[col(c) for c in df.columns if c != LINEAGE], LINEAGE)
+    return blank_to_null(df, null_tokens, [c for c in df.columns if c != LINEAGE])
+
+
 def read_delimited_files(spark: SparkSession, paths: Sequence[str], options: dict | None = None) -> DataFrame:
     """Delimited files whose headers may differ, all text, with their path.
 
-    Folders and patterns stand for their files, whose headers may differ as well.
+    Folders and patterns stand for their files, at any depth, whose headers may differ
+    as well; partition folders (``country=de``) give columns.  A path without files is
+    left to Spark, which refuses it.  A file that several paths name is read for each.
     """
     o = split_options(options)
-    paths = [f for p in paths for f in data_files(spark, p)] or list(paths)
+    files = [f for p in paths for f in (_listed(spark, p) or {p: ()}).items()]
 
-    def shape(path: str) -> tuple:
-        return tuple(header_of(spark, path, o["sep"], o["header"], o["encoding"], **o["reader"]))
+    def shape(file: tuple[str, tuple[str, ...]]) -> tuple:
+        return tuple(header_of(spark, file[0], o["sep"], o["header"], o["encoding"], **o["reader"])), file[1]
 
     frames = []
-    for names, group in _grouped(paths, shape):
-        df = read_delimited(spark, group, o["sep"], o["header"], (), o["encoding"], names, reader=o["reader"])
-        frames.append(blank_to_null(with_source_file(df, LINEAGE), o["null_tokens"], list(names)))
+    for (names, keys), group in _grouped(files, shape):
+        df = read_delimited(spark, [f for f, _ in group], o["sep"], o["header"], (), o["encoding"], names, reader=o["reader"])
+        frames.append(_with_partitions(with_source_file(df, LINEAGE), keys, o["null_tokens"]))
     return union_by_name(frames)
 
 
