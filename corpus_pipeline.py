@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage works on the documents its predecessor kept.
 
-Rows are told apart by ``doc_id``; rows without one pass the quality stage on their
-text and are then kept or dropped together.
+Every row is decided on by itself: where ``doc_id`` is null or repeated, a stage numbers
+the rows in the order of ids, null ids last, and works with the numbers.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stage, tuned
+from tideline.llm.common import numbered, stage, tuned
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.jaccard import jaccard_classes
@@ -18,6 +18,14 @@ from tideline.llm.packing import pack
 from tideline.llm.quality import quality_of, training_labels
 
 REJECT_BELOW = 0.5  # score of a document that goes
+ROW = "_row"  # what tells rows apart within a stage
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs`` and a key of each row: ``doc_id`` if it is one, a number in its order otherwise."""
+    row = F.col("doc_id").cast("long")
+    shared = docs.groupBy(row.alias("id")).count().where("id IS NULL OR count > 1")
+    return docs.withColumn(ROW, row) if shared.isEmpty() else numbered(docs, ROW)
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,23 +37,25 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one stays."""
     tuned(spark)
-    kept = stage(exact_dedup(docs).where("kept").select("id"), "kept")
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]), "left_semi")
-    # rows repeated with their id are copies, too
-    return out if kept.groupBy("id").count().where("count > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    rows = with_row(docs)
+    kept = exact_dedup(rows, ROW).where("kept").select(F.col("id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked texts the one with the smallest id stays."""
     tuned(spark)
-    stays = jaccard_classes(docs).where("component_id IS NULL OR component_id = id").select("id").distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["id"]), "left_semi")
+    rows = with_row(docs)
+    stays = jaccard_classes(rows, id_col=ROW).where("component_id = id").select(F.col("id").alias(ROW))
+    return rows.join(stays, ROW, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a test item go."""
-    bad = contaminated(docs, tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet")).select("id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]), "left_anti")
+    items = tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = with_row(docs)
+    bad = contaminated(rows, items, ROW).select(F.col("id").alias(ROW)).distinct()
+    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

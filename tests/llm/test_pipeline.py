@@ -59,6 +59,30 @@ def test_stages(spark, folder):
     assert near - leaks == near & {124, 125}
 
 
+def test_rows_of_null_and_repeated_ids_are_decided_one_by_one(spark, folder):
+    rng = random.Random(3)
+    a, b, c, d, e = (" ".join(words(rng, 60)) for _ in range(5))
+    near = " ".join(["other", *e.split()[1:]])
+    leak = " ".join(words(rng, 20)) + " " + spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
+    rows = [(None, a), (None, leak), (None, b), (None, " " + b), (None, b), (7, c), (7, leak + " x"), (7, c), (8, d), (None, d), (None, e), (None, near), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "src", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def after(step):
+        return sorted(((r["doc_id"], r["text"]) for r in step(spark, docs, folder).collect()), key=str)
+
+    def want(*gone):
+        left = list(rows)
+        for i in gone:
+            left.remove(rows[i])
+        return sorted(left, key=str)
+
+    assert after(corpus_pipeline.drop_contaminated) == want(1, 6)
+    assert after(corpus_pipeline.drop_copies) == want(2, 4, 7, 9, 13)
+    near_left = after(corpus_pipeline.drop_near_copies)
+    assert len(near_left) == 8 and {(7, c), (8, d), (9, None), (None, ""), (None, a)} <= set(near_left)
+    assert [sum(t is not None and t.strip() in x for _, t in near_left) for x in ([b], [e, near], [leak, leak + " x"])] == [1, 1, 1]
+
+
 def test_run_and_empty_tables(spark, folder, tmp_path):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 50

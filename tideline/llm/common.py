@@ -39,6 +39,13 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def numbered(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row with a number of its own as ``key``, in the order of ids (null ids last), written to the shared folder."""
+    place = F.monotonically_increasing_id()
+    ordered = df.withColumn(key, place).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col), key)
+    return stage(ordered.withColumn(key, place), "numbered")
+
+
 def words(text: str) -> list[bytes]:
     """Lower-case (A-Z) words between ASCII white space, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split()
