@@ -73,6 +73,18 @@ def test_awkward(spark):
     assert jaccard_classes(documents(spark, [])).collect() == []
 
 
+def test_different_texts_under_one_id(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(12):  # one id holds a short and a long text, each with a near copy under another id
+        for n, other in ((30, 100 + k), (90, 200 + k)):
+            base = words(rng, n)
+            rows += [(k, " ".join(base)), (other, " ".join([*base[:-1], "new"]))]
+    rows += [rows[0], (None, rows[0][1]), (3, ""), (500, rows[2][1])]
+    got = jaccard_classes(documents(spark, rows), 3, 80)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows, 3, 80)
+
+
 def test_frequent_shingles_and_a_large_group(spark):
     rng = random.Random(9)
     passage = " ".join(words(rng, 40))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import DISTINCT_WORDS, components, frame, mix, stage, summed_blocks, texts, words
+from tideline.llm.common import DISTINCT_WORDS, components, frame, mix, numbered, stage, summed_blocks, texts, words
 
 COUNTERS = 1 << 20  # cells of the frequency sketch
 BLOCKS = 64
@@ -189,12 +189,30 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     ``width``-word shingles (A-Z lower-cased, words between ASCII white space; fewer
     words are one shingle).  ``component_id`` is the smallest id that links reach.
     Null and empty texts have no shingles and link with nothing, as do rows without
-    an id, whose component is null.  Repeated rows share a component; an empty table
-    gives an empty result; other columns are ignored.
+    an id, whose component is null.  Repeated rows share a component; different texts
+    under one id link each for itself; an empty table gives an empty result; other
+    columns are ignored.
     """
     rows = texts(docs, id_col, text_col)
     read = _read(rows, width)
     sets = read.where("block < 0")
+    if sets.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("sign").alias("x"), F.max("sign").alias("y")).where("x < y").isEmpty():
+        return _classes(rows, read, width, percent)
+    # Several sets under one id: rows are numbered in the order of ids, and the numbers stand for the ids.
+    rows = numbered(rows, "row", "id")
+    names = rows.select("row", F.col("id").alias("name"))
+    own = rows.select(F.when(F.col("id").isNotNull(), F.col("row")).alias("id"), "text")
+    out = _classes(own, _read(own, width), width, percent)
+    named = (
+        out.where("id IS NOT NULL").join(names, F.col("id") == F.col("row")).select(F.col("name").alias("doc"), "n_shingles", "component_id")
+        .join(names, F.col("component_id") == F.col("row")).select(F.col("doc").alias("id"), "n_shingles", F.col("name").alias("component_id"))
+    )
+    return named.union(out.where("id IS NULL"))
+
+
+def _classes(rows: DataFrame, read: DataFrame, width: int, percent: int) -> DataFrame:
+    """The classes of rows no two of which have one id and different sets."""
+    sets = read.where("block < 0")
     sketch = summed_blocks(read.where("block >= 0").select("block", "data"), COUNTERS, "int32")
     bits = [f"b{k}" for k in range(BITS)]
     nodes = stage(
