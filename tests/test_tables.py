@@ -143,3 +143,12 @@ def test_keys(spark):
     assert {r["constraint_type"] for r in found.collect()} == {"primary_key", "foreign_key"}
     with pytest.raises(ValueError, match="missing"):
         constraints.constraint_columns(df, {"indexes": [{"columns": ["missing"]}]})
+
+
+def test_unread_dates_are_counted_over_every_order(spark, monkeypatch):
+    from tideline.suite import guards
+
+    runs, whole = [], guards.run_table
+    monkeypatch.setattr(guards, "run_table", lambda *a, **b: runs.append(whole(*a, **b)) or runs[-1])
+    guards.dates_unread_counted(spark, "/root/testdata/sf0.001")
+    assert [r.total_rows for r in runs] == [spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()]
