@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import tuned
 from tideline.llm.decontaminate import contaminated
 from tideline.llm.exact_dedup import exact_dedup
+from tideline.llm.filter_audit import filter_audit
 from tideline.llm.html_text import main_text
 from tideline.llm.jaccard import jaccard_classes
 from tideline.llm.lm_score import score_texts
@@ -117,3 +118,29 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup(table(spark, folder, "documents")).drop("kept").withColumnRenamed("id", "doc_id")
+
+
+@query(r"""
+  WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+  w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+  l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+  m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+      CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+    FROM w LEFT JOIN l USING (doc_id)),
+  f AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM m GROUP BY part, fails),
+  c(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+  o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM c a, c b, c c, c d, c e WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+  s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before FROM o, generate_series(1, 5) r(step)),
+  h AS (SELECT filter_order, step::INTEGER AS step, own, f.*, contains(fails, own) AS hit, length(translate(before, fails, '')) < length(before) AS gone FROM s, f),
+  r AS (SELECT part, filter_order, step, any_value(own) AS own, sum(n) FILTER (NOT hit AND NOT gone) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed,
+      sum(n) FILTER (hit AND gone) AS redundant, sum(n) FILTER (fails = own) AS unique_fails, sum(g) FILTER (hit AND NOT gone) AS good_lost,
+      sum(x) FILTER (hit AND NOT gone) AS toxic_lost FROM h GROUP BY part, filter_order, step),
+  t AS (SELECT part, own, sum(removed) AS shapley FROM r GROUP BY part, own)
+  SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+    coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    coalesce(shapley, 0)::BIGINT AS shapley FROM r JOIN t USING (part, own)
+""")
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
