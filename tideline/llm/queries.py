@@ -15,6 +15,7 @@ from tideline.llm.jaccard import jaccard_classes
 from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
 from tideline.llm.quality import held_out, score_quality, training_labels
+from tideline.llm.ranked_search import ranked_search
 from tideline.llm.suffix_dedup import suffix_dedup
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
@@ -144,3 +145,21 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(r"""
+  WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t,
+      row_number() OVER () AS r FROM documents),
+  d AS (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM t),
+  c AS (SELECT count(*)::BIGINT AS nn, sum(len(t))::BIGINT AS ll FROM t WHERE len(t) > 0),
+  tf AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM d GROUP BY ALL),
+  w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, nn),
+  q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+  qt AS (SELECT item_id, term, count(*)::BIGINT AS k FROM q GROUP BY ALL),
+  p AS (SELECT term, r, doc_id, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))) AS part FROM tf JOIN w USING (term), c),
+  s AS (SELECT item_id, r, doc_id, sum(k * part)::BIGINT AS score FROM qt JOIN p USING (term) GROUP BY ALL),
+  o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+  SELECT * FROM o WHERE rank <= 20
+""")
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
