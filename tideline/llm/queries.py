@@ -12,6 +12,7 @@ from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.filter_audit import filter_audit
 from tideline.llm.html_text import main_text
 from tideline.llm.jaccard import jaccard_classes
+from tideline.llm.language_id import identify
 from tideline.llm.lm_score import score_texts
 from tideline.llm.packing import pack
 from tideline.llm.quality import held_out, score_quality, training_labels
@@ -163,3 +164,9 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = identify(table(spark, folder, "documents"), ~held_out("doc_id", 3, 1))
+    return found.select(F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), "lang_pred", "score")
