@@ -87,7 +87,7 @@ def test_matrix_is_one_matrix(spark, monkeypatch):
     shards = op.document_term_matrix(docs).collect()
     assert len(shards) > 5
     for r in shards:
-        starts, place, count = (np.frombuffer(r[c], np.int64) for c in ("starts", "words", "counts"))
+        starts, place, count = (np.frombuffer(r[c], kind) for c, kind in (("starts", np.int64), ("words", np.int64), ("counts", np.uint32)))
         for k, i in enumerate(r["id"]):
             found[i] = dict(zip(place[starts[k] : starts[k + 1]].tolist(), count[starts[k] : starts[k + 1]].tolist()))
     for i, t in enumerate(texts):

@@ -2,7 +2,7 @@
 
 Tasks count the words of their documents into shards of a compressed-sparse-row matrix
 whose columns are the shard's own words.  The words of all shards get global numbers
-from one sort, which replace the shard's; a row's sum is then its number of words and
+in hashed ranges, which replace the shard's; a row's sum is then its number of words and
 its nonzero entries are its distinct words.  Filters become bits of a mask, and every
 order of filters is read from the counts of masks.
 """
@@ -10,6 +10,8 @@ order of filters is read from the counts of masks.
 from __future__ import annotations
 
 import itertools
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 
@@ -22,9 +24,11 @@ from pyspark.sql import types as T
 
 from tideline.llm.common import stage
 
-SHARD_WORDS = 1 << 17  # a shard ends with the document that brings it to so many distinct words,
-SHARD_CELLS = 1 << 20  # to so many cells,
-SHARD_ROWS = 1 << 14  # or to so many documents
+SHARD_WORDS = 1 << 18  # a shard ends with the document that brings it to so many distinct words,
+SHARD_CELLS = 1 << 21  # to so many cells,
+SHARD_ROWS = 1 << 15  # or to so many documents
+RANGE_BYTES = 8 << 20  # the dictionary is numbered in hashed ranges, one for so many bytes of text
+RANGES = (64, 1 << 30)  # least and most of them
 CSR = "starts binary, words binary, counts binary"
 
 
@@ -32,23 +36,45 @@ def _listed(schema: T.StructType, without: str) -> str:
     return ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in schema if f.name != without)
 
 
-def _shards(docs: DataFrame, text: str) -> DataFrame:
+def _packed(own: dict[bytes, int], starts: list[int], places: array, counts: array, ranges: int) -> dict[str, object]:
+    """A shard with its words in the order of ranges and each row's places ascending, as differences."""
+    words = sorted(own)
+    which = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & (ranges - 1)
+    order = np.argsort(which, kind="stable")
+    place = np.empty(len(words), np.int64)
+    place[np.fromiter(map(own.__getitem__, words), np.int64, len(words))[order]] = np.arange(len(words))
+    start = np.array(starts, np.int64)
+    cells = place[np.frombuffer(places, np.int32)]
+    by_place = np.argsort(np.repeat(np.arange(len(start) - 1), np.diff(start)) << 32 | cells)
+    cells = np.diff(cells[by_place], prepend=0)
+    which = which[order]
+    first = np.flatnonzero(np.diff(which, prepend=-1))
+    ends = [*first.tolist(), len(words)]
+    ordered = [words[k] for k in order.tolist()]
+    return {
+        "starts": start.tobytes(), "words": cells.astype(np.int32).tobytes(), "counts": np.frombuffer(counts, np.uint32)[by_place].tobytes(),
+        "vocabulary": [{"range": int(which[a]), "first": a, "words": b" ".join(ordered[a:b])} for a, b in zip(ends, ends[1:])],
+    }
+
+
+def _shards(docs: DataFrame, text: str, ranges: int) -> DataFrame:
     """Shards whose columns are places in their own ``vocabulary``; other columns of the documents as lists."""
     keep = [c for c in docs.columns if c != text]
+    piece = pa.struct([("range", pa.int32()), ("first", pa.int32()), ("words", pa.binary())])
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         made = itertools.count()
 
         def shard() -> pa.RecordBatch:
-            arrays = {"starts": np.array(starts, np.int64), "words": np.array(places, np.int32), "counts": np.array(counts, np.int64)}
-            columns = {"shard": pa.array([base + next(made)])} | {k: pa.array([v.tobytes()]) for k, v in arrays.items()}
-            columns |= {"vocabulary": pa.array([list(own)], pa.list_(pa.binary()))}
+            packed = _packed(own, starts, places, counts, ranges)
+            columns = {"shard": pa.array([base + next(made)])} | {c: pa.array([packed[c]]) for c in ("starts", "words", "counts")}
+            columns |= {"vocabulary": pa.array([packed["vocabulary"]], pa.list_(piece))}
             columns |= {c: pa.array([kept[c]], pa.list_(batch.schema.field(c).type)) for c in keep}
             return pa.RecordBatch.from_pydict(columns)
 
         own: dict[bytes, int] = {}
-        starts, places, counts, kept = [0], [], [], {c: [] for c in keep}
+        starts, places, counts, kept = [0], array("i"), array("I"), {c: [] for c in keep}
         for batch in batches:
             values = {c: batch.column(c).to_pylist() for c in keep}
             for k, t in enumerate(batch.column(text).to_pylist()):
@@ -61,39 +87,50 @@ def _shards(docs: DataFrame, text: str) -> DataFrame:
                 if len(own) >= SHARD_WORDS or len(places) >= SHARD_CELLS or len(starts) > SHARD_ROWS:
                     yield shard()
                     own = {}
-                    starts, places, counts, kept = [0], [], [], {c: [] for c in keep}
+                    starts, places, counts, kept = [0], array("i"), array("I"), {c: [] for c in keep}
         if len(starts) > 1:
             yield shard()
 
-    return stage(docs.mapInArrow(build, f"shard long, {CSR}, vocabulary array<binary>, {_listed(docs.schema, text)}"), "shards")
+    vocabulary = "vocabulary array<struct<range: int, first: int, words: binary>>"
+    return stage(docs.mapInArrow(build, f"shard long, {CSR}, {vocabulary}, {_listed(docs.schema, text)}"), "shards")
+
+
+def _number(pieces: pa.Table) -> pa.Table:
+    """The words of one range, from all shards: each one's rank, as differences, since a shard's are in order."""
+    found = [p.split(b" ") for p in pieces["words"].to_pylist()]
+    rank = {w: k for k, w in enumerate(sorted(set(itertools.chain.from_iterable(found))))}
+    ranks = [np.diff(np.fromiter(map(rank.__getitem__, f), np.int64, len(f)), prepend=0).astype(np.int32).tobytes() for f in found]
+    return pieces.drop_columns(["words"]).append_column("ranks", pa.array(ranks, pa.binary()))
+
+
+def _renumber(own: pa.Table, known: pa.Table) -> pa.Table:
+    """A shard with global numbers in place of its places."""
+    parts = sorted(zip(*(known[c].to_pylist() for c in ("first", "range", "ranks"))))
+    globally = np.concatenate([np.cumsum(np.frombuffer(ranks, np.int32), dtype=np.int64) | which << 32 for _, which, ranks in parts] or [np.zeros(0, np.int64)])
+    words = [globally[np.cumsum(np.frombuffer(w, np.int32))].tobytes() for w in own["words"].to_pylist()]
+    return own.set_column(own.column_names.index("words"), own.schema.field("words"), [pa.array(words, pa.binary())])
 
 
 def document_term_matrix(docs: DataFrame, text: str = "text") -> DataFrame:
     """The shards of ``docs``' document-term matrix, with one dictionary for all of them.
 
     A shard is a row: ``starts`` (64-bit offsets of its documents), ``words`` (64-bit global
-    numbers of words) and ``counts`` (64-bit), and each other column of ``docs`` as a list in
+    numbers of words), ``counts`` (32-bit, unsigned), and each other column of ``docs`` as a list in
     the same order.  Words are maximal runs without ASCII white space, case kept.  A shard
     ends with the document that fills it, so a very long text is a shard of its own.  ``text``
     must not be null.  An empty table has no shards.
+
+    A word's number is its rank among the words of its range, which a checksum picks; ranges
+    are as many as the text is long.  A word occurs once in a shard, so a range holds
+    no more than its share of words and one entry of a common word from each shard.
     """
-    shards = _shards(docs, text)
-    # A word occurs once in a shard, so no word holds more than a shard's share of these rows.
-    # Numbers are ranks within hashed ranges of words: the same whenever a task is run again.
-    ranges = max(1024, 4 * shards.count())
-    words = shards.select("shard", F.posexplode("vocabulary").alias("place", "word"))
-    rank = F.expr(f"dense_rank() OVER (PARTITION BY pmod(xxhash64(word), {ranges}) ORDER BY word)")
-    number = F.shiftleft(F.pmod(F.xxhash64("word"), F.lit(ranges)), 32) + rank
-    numbers = words.select("shard", "place", number.alias("number"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    ranges = min(max(RANGES[0], 1 << (size // RANGE_BYTES).bit_length()), RANGES[1])
+    shards = _shards(docs, text, ranges)
+    pieces = shards.select("shard", F.inline("vocabulary"))
+    numbers = pieces.groupBy("range").applyInArrow(_number, "shard long, range int, first int, ranks binary")
     body = shards.drop("vocabulary")
-
-    def renumber(own: pa.Table, known: pa.Table) -> pa.Table:
-        globally = np.zeros(len(known), np.int64)
-        globally[known["place"].to_numpy()] = known["number"].to_numpy()
-        words = [globally[np.frombuffer(w, np.int32)].tobytes() for w in own["words"].to_pylist()]
-        return own.set_column(own.column_names.index("words"), own.schema.field("words"), [pa.array(words, pa.binary())])
-
-    return body.groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(renumber, body.schema)
+    return body.groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(_renumber, body.schema)
 
 
 def row_statistics(matrix: DataFrame) -> DataFrame:
@@ -104,8 +141,9 @@ def row_statistics(matrix: DataFrame) -> DataFrame:
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                starts, counts = (np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in ("starts", "counts"))
-                sums = np.concatenate([[0], np.cumsum(counts)])[starts]
+                starts = np.frombuffer(batch.column("starts")[k].as_py(), np.int64)
+                counts = np.frombuffer(batch.column("counts")[k].as_py(), np.uint32)
+                sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts]
                 cells = np.concatenate([[0], np.cumsum(counts != 0)])[starts]
                 columns = {f.name: batch.column(f.name)[k].values for f in kept}
                 yield pa.RecordBatch.from_pydict({**columns, "n_words": np.diff(sums), "n_distinct": np.diff(cells)})
@@ -195,7 +233,7 @@ def filter_audit(
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[part_col].cast("string"), F.lit("")).alias("part"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     rows = rows.select("*", mask(text_filters).alias("flags"), F.unhex(F.sha2("text", 256)).alias("digest"))
-    counted = row_statistics(document_term_matrix(rows))
+    counted = stage(row_statistics(document_term_matrix(rows)), "counted")
     masked = repeats("digest", "id", counted).select("id", "part", (F.col("flags") + mask(row_filters)).alias("mask"))
     one = lambda c: F.max((F.coalesce(F.col(c), F.lit(0)) == 1).cast("long"))
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(one("quality").alias("good"), one("toxic").alias("toxic"))
