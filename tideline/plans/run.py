@@ -28,6 +28,7 @@ from tideline.sources.database import read_query, read_table
 from tideline.sources.delimited import read_delimited, split_options
 from tideline.sources.fixed_width import Field, fields_from_spec, read_dbf, read_fixed_text
 from tideline.sources.many import data_files, path_exists, read_delimited_files, read_typed_files, resolve_files
+from tideline.sources.relaxed import read_relaxed_files
 from tideline.sources.sql import EmptyInput, read_sql_file, run_sql, source_aliases
 from tideline.sources.typed import read_typed_as_text
 from tideline.sources.union import LINEAGE
@@ -105,8 +106,10 @@ def _read_files(spark: SparkSession, kind: str, files: Any, options: dict, data_
         return read_fixed_text(spark, paths, fields, lineage=many, **options)
     if kind == "dbf":
         return read_dbf(spark, paths, lineage=many, **options)
+    if many and options.get("relaxed"):
+        return read_relaxed_files(spark, paths, kind, options.get("on_loss", "refuse"))
     if many:
-        return read_typed_files(spark, paths, kind, **options)
+        return read_typed_files(spark, paths, kind, **{k: v for k, v in options.items() if k not in ("relaxed", "on_loss")})
     return read_typed_as_text(spark, paths[0], kind, **options)
 
 
@@ -192,7 +195,9 @@ def _write(df: DataFrame, spec: TableSpec, path: str, fields: list[Field] | None
     options = {k: v for k, v in spec.target_options.items() if k not in ("fields", "on_overflow")}
     overflow = "cut" if spec.target_options.get("on_overflow") == "cut" else "refuse"
     if spec.target_type in ("parquet", "orc", "csv"):
-        options = {"header": True, **spec.target_options} if spec.target_type == "csv" else spec.target_options
+        # Delimited targets are read back with doubled quotes and all white space.
+        plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        options = {**plain, **spec.target_options} if spec.target_type == "csv" else spec.target_options
         return write_table(df, path, mode, spec.target_type, **options)
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))

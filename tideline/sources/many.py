@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.names import col
 from tideline.functions.text import blank_to_null, stringify
-from tideline.sources.delimited import header_of, read_delimited, split_options
+from tideline.sources.delimited import headers_of, read_delimited, split_options
 from tideline.sources.typed import read_typed
 from tideline.sources.union import LINEAGE, union_by_name, with_source_file
 
@@ -38,15 +38,15 @@ def _hidden(name: str) -> bool:
     return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def _listed(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
-    """The files that a folder or pattern stands for, at any depth, with the names of their partition columns."""
+def _listed(spark: SparkSession, path: str) -> dict[str, tuple[tuple[str, ...], int]]:
+    """The files that a folder or pattern stands for, at any depth, with the names of their partition columns and their sizes."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = system.globStatus(target) or []
     if len(found) == 1 and found[0].isFile():
-        return {path: ()}
-    files: dict[str, tuple[str, ...]] = {}
+        return {path: ((), found[0].getLen())}
+    files: dict[str, tuple[tuple[str, ...], int]] = {}
 
     def walk(status, keys: tuple[str, ...]) -> None:
         for f in system.listStatus(status.getPath()):
@@ -54,7 +54,7 @@ def _listed(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
             if _hidden(name):
                 continue
             if f.isFile():
-                files[re.sub(r"^file:/+", "/", str(f.getPath()))] = keys
+                files[re.sub(r"^file:/+", "/", str(f.getPath()))] = keys, f.getLen()
             else:
                 key = name.partition("=")[0] if "=" in name else ""
                 walk(f, (*keys, key) if key and key not in keys else keys)
@@ -63,7 +63,7 @@ def _listed(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
         if not status.isFile():
             walk(status, ())
         elif not _hidden(status.getPath().getName()):
-            files[re.sub(r"^file:/+", "/", str(status.getPath()))] = ()
+            files[re.sub(r"^file:/+", "/", str(status.getPath()))] = (), status.getLen()
     return dict(sorted(files.items()))
 
 
@@ -72,6 +72,11 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return list(_listed(spark, path))
 
 
+def file_sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
+    """The files that folders and patterns stand for, with their sizes."""
+    return {file: size for p in paths for file, (_, size) in _listed(spark, p).items()}
+
+
 def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str | None = None) -> list[str]:
     """Absolute paths; relative ones lie under ``data_dir``.  Any missing file is an error."""
     names = [files] if isinstance(files, str) else list(files)
@@ -117,26 +122,31 @@ def read_delimited_files(spark: SparkSession, paths: Sequence[str], options: dic
     left to Spark, which refuses it.  A file that several paths name is read for each.
     """
     o = split_options(options)
-    files = [f for p in paths for f in (_listed(spark, p) or {p: ()}).items()]
-
-    def shape(file: tuple[str, tuple[str, ...]]) -> tuple:
-        return tuple(header_of(spark, file[0], o["sep"], o["header"], o["encoding"], **o["reader"])), file[1]
-
+    files = [f for p in paths for f in (_listed(spark, p) or {p: ((), 0)}).items()]
+    headers = headers_of(spark, {path: size for path, (_, size) in files}, o["sep"], o["header"], o["encoding"], **o["reader"])
+    groups: dict[tuple, list[str]] = {}
+    for path, (keys, _) in files:
+        groups.setdefault((tuple(headers[path]), keys), []).append(path)
     frames = []
-    for (names, keys), group in _grouped(files, shape):
-        df = read_delimited(spark, [f for f, _ in group], o["sep"], o["header"], (), o["encoding"], names, reader=o["reader"])
-        frames.append(_with_partitions(with_source_file(df, LINEAGE), keys, o["null_tokens"]))
+    for (names, keys), group in groups.items():
+        df = read_delimited(spark, group, o["sep"], o["header"], (), o["encoding"], names, reader=o["reader"], lineage=LINEAGE)
+        frames.append(_with_partitions(df, keys, o["null_tokens"]))
     return union_by_name(frames)
 
 
-def read_typed_files(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", decimals: dict[str, int] | None = None) -> DataFrame:
-    """Typed files whose columns may differ, turned to text, with their path."""
+def typed_groups(spark: SparkSession, paths: Sequence[str], fmt: str) -> list[list[str]]:
+    """Typed files by their columns and types."""
 
     def shape(path: str) -> tuple:
         return tuple((f.name, f.dataType.simpleString()) for f in read_typed(spark, path, fmt).schema.fields)
 
+    return [group for _, group in _grouped(paths, shape)]
+
+
+def read_typed_files(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", decimals: dict[str, int] | None = None) -> DataFrame:
+    """Typed files whose columns may differ, turned to text, with their path."""
     frames = []
-    for _, group in _grouped(paths, shape):
+    for group in typed_groups(spark, paths, fmt):
         df = with_source_file(read_typed(spark, group, fmt), LINEAGE)
         frames.append(stringify(df, {k: v for k, v in (decimals or {}).items() if k in df.columns}))
     return union_by_name(frames)
