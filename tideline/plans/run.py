@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -16,11 +16,12 @@ from tideline.functions.names import col, resolve
 from tideline.operators.constraints import check_constraints, constraint_columns
 from tideline.operators.datetimes import found_patterns, rewrite_datetimes
 from tideline.operators.profile import field_spec
-from tideline.operators.reconcile import CHECK_SCHEMA, PASSED, run_checks
+from tideline.operators.reconcile import CHECK_SCHEMA, PASSED, row_count_check, run_checks
 from tideline.operators.rejects import REASONS, SOURCE_ROW, convert_table, good_rows, rejected_rows
 from tideline.operators.transform import CleaningOptions, clean_table
 from tideline.plans.spec import PARENT_TARGETS, TableSpec, table_spec
 from tideline.session import remove_path, scratch_dir
+from tideline.sinks import versions
 from tideline.sinks.fixed_width import fitted_fields, misfits, write_dbf, write_fixed_text
 from tideline.sinks.history import append_history
 from tideline.sinks.tables import with_row_id, write_database, write_table
@@ -59,6 +60,10 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
+class ChecksFailed(RuntimeError):
+    """A versioned target was not replaced, because what was written did not pass."""
+
+
 @dataclass
 class TableRun:
     """What happened to one table."""
@@ -144,15 +149,18 @@ def read_source(spark: SparkSession, spec: TableSpec, data_dir: str | None = Non
     return staged(_read_files(spark, spec.source_type, spec.source_file_path, spec.source_options, data_dir))
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The table written to the scratch folder and read back."""
+def staged(df: DataFrame, refuse_empty: bool = True) -> DataFrame:
+    """The table written to the scratch folder and read back.
+
+    An extracted table must hold rows; that declared steps leave none is a result.
+    """
     if not df.columns:
         raise EmptyInput("the extracted table has no columns")
     path = scratch_dir(df.sparkSession, "staged")
-    if write_table(df, path) == 0:
+    if write_table(df, path) == 0 and refuse_empty:
         remove_path(df.sparkSession, path)
         raise EmptyInput("the extracted table is empty")
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _forget(df: DataFrame) -> None:
@@ -251,10 +259,11 @@ def _run(
     cleaning: CleaningOptions | None,
     parents: Mapping[str, DataFrame] | None,
     history_path: str | None,
-    siblings: Mapping[str, TableSpec] | None = None,
+    siblings: Mapping[str, TableSpec | None] | None = None,
 ) -> None:
     """Fill in ``run``; where an error is raised it tells how far the run came."""
     held: list[DataFrame] = []
+    version: versions.Version | None = None
     try:
         run.failed_stage = "extract"
         raw = read_source(spark, spec, data_dir) if source is None else staged(source)
@@ -268,7 +277,7 @@ def _run(
         cleaned, run.column_mapping = clean_table(dated, cleaning)
         if cleaning is not None and cleaning.remove_duplicates and cleaning.dedupe_subset and not cleaning.dedupe_order:
             # Any row of a key may stay, so it has to be chosen once.
-            cleaned = staged(cleaned)
+            cleaned = staged(cleaned, refuse_empty=False)
             held.append(cleaned)
         rejects = None
         path = "" if spec.target_type == "jdbc" else _target_path(spec, target_dir)
@@ -276,7 +285,7 @@ def _run(
         if spec.column_types:
             kinds = {_final_name(n, run.column_mapping): k for n, k in spec.column_types.items()}
             resolve(list(kinds), cleaned.columns, "typed columns")
-            split = staged(convert_table(cleaned, kinds, spec.text_limit))
+            split = staged(convert_table(cleaned, kinds, spec.text_limit), refuse_empty=False)
             held.append(split)
             cleaned, rejects = good_rows(split), rejected_rows(split)
         if spec.target_type in ("dbf", "fixed_text"):
@@ -284,7 +293,8 @@ def _run(
         if fields and not spec.column_types and spec.target_options.get("on_overflow", "reject") == "reject":
             split = staged(
                 cleaned.withColumn(REASONS, misfits(cleaned, fields, _encoding(spec)))
-                .withColumn(SOURCE_ROW, F.to_json(F.struct(*[col(c) for c in cleaned.columns]), {"ignoreNullFields": "false"}))
+                .withColumn(SOURCE_ROW, F.to_json(F.struct(*[col(c) for c in cleaned.columns]), {"ignoreNullFields": "false"})),
+                refuse_empty=False,
             )
             held.append(split)
             cleaned, rejects = good_rows(split), rejected_rows(split)
@@ -294,14 +304,19 @@ def _run(
         expected = cleaned
         if spec.row_id:
             cleaned = with_row_id(cleaned, deterministic=spec.row_id == "hash")
-        run.total_rows = _write(cleaned, spec, path, fields)
+        if spec.versioned:
+            newest = versions.newest(spark, path)
+            version = versions.stage_version(cleaned, path, spec.target_type, **spec.target_options)
+            run.total_rows = version.rows
+        else:
+            run.total_rows = _write(cleaned, spec, path, fields)
         if rejects is not None:
             run.rejects_path = f"{path}__rejects" if path else scratch_dir(spark, "rejects")
             run.rejected_rows = write_table(rejects, run.rejects_path)
-        run.loaded = True
+        run.loaded = not spec.versioned
 
         run.failed_stage = "check"
-        target = _read_back(spark, spec, path, cleaned.columns, fields)
+        target = versions.read_version(spark, path, version=version) if spec.versioned else _read_back(spark, spec, path, cleaned.columns, fields)
         run.count_confirmed = target.count() == run.total_rows
         try:
             _check_keys(spark, run, spec, target, target_dir, path, parents, siblings)
@@ -312,18 +327,29 @@ def _run(
 
         q = spec.quality
         if q.row_count or q.content:
-            checks = run_checks(
-                expected, target, spec.target_table, q.sample_percentage,
-                exclude=q.exclude, source_file=q.source_file, row_count=q.row_count, content=q.content,
-            )
+            if run.total_rows == 0 and expected.isEmpty():
+                # The steps left nothing: there is no content to compare.
+                checks = row_count_check(expected, target, spec.target_table)
+            else:
+                checks = run_checks(
+                    expected, target, spec.target_table, q.sample_percentage,
+                    exclude=q.exclude, source_file=q.source_file, row_count=q.row_count, content=q.content,
+                )
             run.checks = checks.collect()
             run.quality_passed = all(r["status"] == PASSED for r in run.checks)
             if history_path:
                 append_history(checks, history_path)
         else:
             run.quality_passed = True
+        if spec.versioned:
+            if not (run.quality_passed and run.count_confirmed):
+                raise ChecksFailed(f"{spec.target_table}: the checks failed, so the table stays as it was")
+            versions.commit(spark, path, version, newest)
+            version, run.loaded = None, True
         run.failed_stage = None
     finally:
+        if version is not None:
+            versions.discard(spark, path, version)
         for df in held:
             _forget(df)
 
@@ -348,7 +374,7 @@ def _check_keys(
     target_dir: str | None,
     path: str,
     parents: Mapping[str, DataFrame] | None,
-    siblings: Mapping[str, TableSpec] | None,
+    siblings: Mapping[str, TableSpec | None] | None,
 ) -> None:
     """Count violations of the declared keys, and keep them as a table if there are any."""
 
@@ -383,20 +409,28 @@ def _parents(
     spec: TableSpec,
     target_dir: str | None,
     given: Mapping[str, DataFrame] | None,
-    siblings: Mapping[str, TableSpec] | None = None,
+    siblings: Mapping[str, TableSpec | None] | None = None,
 ) -> dict[str, DataFrame]:
-    """Parent tables by upper-case name: those given, those this run wrote, those in the target folder."""
+    """Parent tables by upper-case name: those given, those this run wrote, those in the target folder.
+
+    A table of this run that did not load (None) is no parent, whatever an earlier run left in its place.
+    """
     known = {name.upper(): df for name, df in (given or {}).items()}
     for name in filter(None, map(_parent_name, spec.foreign_keys)):
         if name.upper() in known:
             continue
-        sibling = (siblings or {}).get(name.upper())
-        if sibling is not None and sibling.target_type in PARENT_TARGETS:
+        if name.upper() in (siblings or {}):
+            sibling = siblings[name.upper()]
+            if sibling is None or sibling.target_type not in PARENT_TARGETS:
+                continue
             path = "" if sibling.target_type == "jdbc" else _target_path(sibling, target_dir)
-            if sibling.target_type == "jdbc" or path_exists(spark, path):
+            if sibling.versioned:
+                known[name.upper()] = versions.read_version(spark, path)
+            elif sibling.target_type == "jdbc" or path_exists(spark, path):
                 known[name.upper()] = _read_back(spark, sibling, path)
-        elif sibling is None and target_dir and path_exists(spark, f"{target_dir.rstrip('/')}/{name}"):
-            known[name.upper()] = spark.read.format(_format_of(spark, f"{target_dir.rstrip('/')}/{name}")).load(f"{target_dir.rstrip('/')}/{name}")
+        elif target_dir and path_exists(spark, path := f"{target_dir.rstrip('/')}/{name}"):
+            found = versions.is_versioned(spark, path)
+            known[name.upper()] = versions.read_version(spark, path) if found else spark.read.format(_format_of(spark, path)).load(path)
     return known
 
 
@@ -439,9 +473,7 @@ def run_tables(
 
     def one(name: str) -> None:
         # Parents that failed to load are not there to be checked against.
-        there = {t: s for t, s in siblings.items() if runs[by_target[t]].loaded}
-        absent = {t: s for t, s in siblings.items() if t not in there}
-        known = {**there, **{t: replace(s, target_type="csv") for t, s in absent.items()}}
+        known = {t: s if runs[by_target[t]].loaded else None for t, s in siblings.items()}
         try:
             _run(spark, runs[name], specs[name], data_dir, target_dir, None, cleaning, parents, history_path, known)
         except Exception as e:

@@ -13,6 +13,7 @@ from tideline.sinks.tables import check_batch_size
 SOURCE_TYPES = ("csv", "dbf", "fixed_text", "parquet", "orc", "json", "table", "custom_query")
 TARGET_TYPES = ("parquet", "orc", "csv", "dbf", "fixed_text", "jdbc")
 FILE_SOURCES = ("csv", "dbf", "fixed_text", "parquet", "orc", "json")
+VERSIONED_TARGETS = ("parquet", "orc")
 PARENT_TARGETS = ("parquet", "orc", "csv", "jdbc")
 
 
@@ -54,6 +55,8 @@ class TableSpec:
     column_types: dict[str, str] = field(default_factory=dict)
     text_limit: int | None = None
     row_id: str | None = None
+    # The target is replaced by a manifest written last, and only if the checks pass.
+    versioned: bool = False
     quality: QualityOptions = field(default_factory=QualityOptions)
 
     def __post_init__(self) -> None:
@@ -79,6 +82,8 @@ class TableSpec:
                     raise ValueError("data_source.file_path is required")
             else:
                 raise ValueError(f"data_source.type must be 'table' or one of {FILE_SOURCES}")
+        if self.versioned and self.target_type not in VERSIONED_TARGETS:
+            raise ValueError(f"versioned targets are one of {VERSIONED_TARGETS}, got {self.target_type!r}")
         if self.row_id not in (None, "random", "hash"):
             raise ValueError("row_id must be 'random', 'hash' or left out")
         if self.on_unparsed not in ("keep", "null"):

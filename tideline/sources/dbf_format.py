@@ -176,13 +176,17 @@ class RecordWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         system, local = _open_fs(self.path)
-        old = []
-        if self.overwrite:
-            infos = system.get_file_info(fs.FileSelector(local, allow_not_found=True))
-            old = [f.path for f in infos if f.base_name.lower().endswith(".dbf")]
-        for m in messages:
-            for temporary, final in m.moves if m else ():
-                system.move(temporary, final)
+        infos = system.get_file_info(fs.FileSelector(local, allow_not_found=True))
+        there = [f.path for f in infos if f.base_name.lower().endswith(".dbf")]
+        old = there if self.overwrite else []
+        moves = [move for m in messages if m for move in m.moves]
+        for temporary, final in moves:
+            system.move(temporary, final)
+        if not moves and old == there:
+            # No rows: a table without records keeps the fields.
+            system.create_dir(local, recursive=True)
+            with system.open_output_stream(f"{local}/part-00000-{self.job}-0000.dbf") as out:
+                out.write(header_bytes(self.fields, 0) + FILE_END)
         for path in old:
             system.delete_file(path)
 

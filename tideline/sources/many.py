@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.names import col
 from tideline.functions.text import blank_to_null, stringify
-from tideline.sources.delimited import headers_of, read_delimited, split_options
+from tideline.sources.delimited import header_of, headers_of, read_delimited, split_options
 from tideline.sources.typed import read_typed
 from tideline.sources.union import LINEAGE, union_by_name, with_source_file
 
@@ -122,7 +122,12 @@ def read_delimited_files(spark: SparkSession, paths: Sequence[str], options: dic
     left to Spark, which refuses it.  A file that several paths name is read for each.
     """
     o = split_options(options)
-    files = [f for p in paths for f in (_listed(spark, p) or {p: ((), 0)}).items()]
+    files = []
+    for p in paths:
+        found = _listed(spark, p)
+        if not found:
+            header_of(spark, p, o["sep"], o["header"], o["encoding"], **o["reader"])  # Spark refuses it
+        files += found.items()
     headers = headers_of(spark, {path: size for path, (_, size) in files}, o["sep"], o["header"], o["encoding"], **o["reader"])
     groups: dict[tuple, list[str]] = {}
     for path, (keys, _) in files:
