@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators.appended import append_batch, appended_key_violations
 from tideline.operators.hash_tree import comparable, read_tree, table_differences, write_tree
+from tideline.operators.nearest import nearest_for_all
 from tideline.operators.transform import CleaningOptions
 from tideline.plans.run import run_report, run_table, run_tables
 from tideline.session import scratch_dir
 from tideline.sinks import versions
+from tideline.sinks.history import read_history
 from tideline.sinks.tables import write_table
+from tideline.streaming.ingest import append_stream, counted_append, stream_files, without_repeats
 from tideline.suite.registry import ORDER_COLUMNS, ORDER_COPY, ORDER_TEXT, from_sql, query, table
 
 
@@ -81,3 +85,66 @@ def run_leaves_nothing(spark: SparkSession, folder: str) -> DataFrame:
     runs = run_tables(spark, specs, base, base, cleaning=cleaning)
     runs.append(run_table(spark, {**specs["EMPTY"], "target_table": "FULL"}, base, base))
     return run_report(spark, runs).select("table_name", "loaded", "quality_passed", "total_rows", "failed_stage")
+
+
+@query(
+    f"""WITH s AS ({ORDER_TEXT}), t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, trim(o_orderpriority) AS o_orderpriority FROM ({ORDER_COPY})),
+    m AS (SELECT * FROM s EXCEPT SELECT * FROM t),
+    p AS (SELECT m.*, t.o_orderkey AS k, t.o_custkey AS c, t.o_orderstatus AS st, t.o_totalprice AS p, t.o_orderpriority AS pr,
+        (m.o_orderkey = t.o_orderkey)::INTEGER + (m.o_custkey = t.o_custkey)::INTEGER + (m.o_orderstatus = t.o_orderstatus)::INTEGER
+        + (m.o_totalprice = t.o_totalprice)::INTEGER + (m.o_orderpriority = t.o_orderpriority)::INTEGER AS matched_columns FROM m, t)
+    SELECT matched_columns, o_orderkey AS source_o_orderkey, k AS target_o_orderkey, c AS target_o_custkey, st AS target_o_orderstatus, p AS target_o_totalprice,
+      pr AS target_o_orderpriority FROM p
+    QUALIFY row_number() OVER (PARTITION BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority ORDER BY matched_columns DESC, k, c, st, p, pr) = 1"""
+)
+def nearest_for_all_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order that the copy lacks, the row of the copy with most equal columns."""
+    pairs = [(c, c) for c in ORDER_COLUMNS]
+    source, target = (comparable(from_sql(spark, folder, sql, "orders"), pairs).drop("__order") for sql in (ORDER_TEXT, ORDER_COPY))
+    found = nearest_for_all(source.join(target, ORDER_COLUMNS, "left_anti"), target, ORDER_COLUMNS)
+    return found.select("matched_columns", "source_o_orderkey", *[f"target_{c}" for c in ORDER_COLUMNS])
+
+
+@query(
+    """SELECT o_orderkey, count(*) AS n_rows, 'kept_key' AS violation FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 11 = 0 GROUP BY o_orderkey
+    UNION ALL SELECT o_orderkey, CAST(2 AS BIGINT), 'duplicate_key' FROM orders WHERE o_orderkey % 3 = 2 AND o_orderkey % 13 = 0 GROUP BY o_orderkey"""
+)
+def pk_check_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """A third batch repeats keys of the first and some of its own; old keys are read only where the filters hit."""
+    path = f"{scratch_dir(spark, 'batches')}/orders"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    for batch in ("0", "1"):
+        append_batch(spark, orders.where(f"o_orderkey % 3 = {batch}"), path, ["o_orderkey"], batch)
+    own = orders.where("o_orderkey % 3 = 2")
+    third = own.union(own.where("o_orderkey % 13 = 0")).union(orders.where("o_orderkey % 3 = 0 AND o_orderkey % 11 = 0"))
+    return appended_key_violations(spark, third, path, ["O_ORDERKEY"])
+
+
+@query(
+    """SELECT count(DISTINCT event_id) AS n_events, CAST(0 AS BIGINT) AS repeated FROM events"""
+)
+def stream_dedupe_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that come again in a later file are dropped, though the stream was stopped in between."""
+    files, target, log = (scratch_dir(spark, n) for n in ("drop", "stream", "stream-log"))
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    for part in ("event_id % 3 <> 0", "event_id % 2 = 0", "true"):
+        events.where(part).write.mode("append").option("header", True).csv(files)
+        append_stream(without_repeats(stream_files(spark, files, events.columns, files_per_batch=100), ["event_id"]), target, log, timeout=600)
+    rows = spark.read.parquet(target)
+    return rows.agg(F.count("*").alias("n_events"), (F.count("*") - F.countDistinct("event_id")).alias("repeated"))
+
+
+@query(
+    """SELECT 'EVENTS' AS table_name, 'STREAM_COUNT' AS check_type, 'PASSED' AS status, CAST(4 AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS source_count,
+    CAST(count(*) FILTER (event_type <> 'click') AS BIGINT) AS target_count FROM events"""
+)
+def stream_counts_by_file(spark: SparkSession, folder: str) -> DataFrame:
+    """One history row for each file that streamed in, counted while it passed."""
+    files, target, log, history = (scratch_dir(spark, n) for n in ("drop", "stream", "stream-log", "history"))
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    events.repartition(4).write.option("header", True).csv(files)
+    stream = stream_files(spark, files, events.columns, files_per_batch=1)
+    counted_append(stream, lambda rows: rows.where("event_type <> 'click'"), target, log, "EVENTS", history, timeout=600)
+    total = lambda c: F.sum(c).alias(c.lower())
+    rows = read_history(spark, history, "EVENTS").groupBy(*[F.col(c).alias(c.lower()) for c in ("TABLE_NAME", "CHECK_TYPE", "STATUS")])
+    return rows.agg(F.countDistinct("ERROR_MESSAGE").alias("n_batches"), total("SOURCE_COUNT"), total("TARGET_COUNT"))
