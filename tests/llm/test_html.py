@@ -6,6 +6,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,20 @@ def test_awkward(spark):
     assert sorted((str(r["id"]), str(r["url"])) for r in got.collect()) == sorted((str(i), str(u)) for i, u, _ in rows)
     assert [r["text"] for r in got.where("id IN (1, 2, 3)").collect()] == [""] * 4
     assert main_text(documents(spark, [], ("page_id", "url", "html"), ("long", "string", "string"))).collect() == []
+
+
+@pytest.mark.parametrize("part", ["<b>{}<p>x</p>", "<a {}", "<!x {}", "<span>{}</i>", "<i><p>{}<span>{}</i>", "<div>{}<li></li>", "<li><ul>{}<div>{}<li></li>", '<a x=">"{}', "<a ='{}", "<div>{}</section>"])
+def test_time_grows_with_the_page(part):
+    """Unclosed and stray tags: each opening or closing looks only at what it ends."""
+    first, *rest = part.split("{}")
+    pieces = [first, *rest]
+    started = time.process_time()
+    Page("".join(p * 60_000 for p in pieces if p))
+    assert time.process_time() - started < 20
+
+
+def test_tags_cut_off_by_the_end():
+    page = Page("<p>one</p><p>two <a href='x")
+    assert [t for t in page.text if t] == ["one", "two"]
+    assert [t for t in Page("a<b").text if t] == ["a"]
+    assert [t for t in Page("a < b").text if t] == ["a < b"]

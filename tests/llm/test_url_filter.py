@@ -55,3 +55,10 @@ def test_cascade_is_exact_over_the_universe(spark, monkeypatch):
     assert len(levels) > 1
     assert has(levels, np.array([key_hash(k) for k in listed], np.uint64)).all()
     assert not has(levels, np.array([key_hash(k) for k in others], np.uint64)).any()
+
+
+def test_long_hosts(spark):
+    """A url has as many keys as rules have shapes, however many labels its host has."""
+    urls = ["http://" + "a." * 500_000 + "example.com/en/" + "x" * 10_000, "http://" + "." * 100_000, "http://" + "b" * 1_000_000 + ".net/fr/"]
+    got = url_verdicts(documents(spark, list(enumerate(urls)), ("page_id", "url")), URL_RULES).orderBy("id").collect()
+    assert [(r["rule"], r["verdict"]) for r in got] == [("example.com/en/", "block"), (None, "allow"), ("net/fr/", "block")]

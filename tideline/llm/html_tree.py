@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 
 #: Elements that HTML lays out as blocks of their own (fixed values of the standard's rendering section).
 BLOCK = frozenset(
@@ -21,13 +22,14 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("table td th button ul ol dl body html".split())
 
 # What is inside a tag: a quote delimits only right after "=", and a value without quotes ends at white space.
-# The slash just before ">" is left over, unless it belongs to such a value.
+# The slash just before ">" is left over, unless it belongs to such a value.  A tag that the page's end cuts off
+# is no tag and no text, as in browsers.
 _ATTRS = r"(?:[^>=/]++|/(?!>)|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{HIDDEN})(?=[\s/>]){_ATTRS}/?>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|<(?P<foreign>{FOREIGN})(?=[\s/>]){_ATTRS}(?:/>|>.*?(?:</(?P=foreign)\s*>|\Z))"
-    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS}/?)>",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS}/?)(?:>|(?P<cut>\Z))",
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -40,6 +42,12 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.tokens, self.text, self.links, self.inline = ["#page"], [-1], [()], [""], [0], [0]
         self.stack: list[tuple[str, int]] = [("#page", 0)]
+        # So that no open or close walks past what it does not end: depths of the blocks, how many elements
+        # of a name are open, inline ones by block, and blocks by the scope that they stand in.
+        self.blocks = [0]
+        self.open_blocks: Counter = Counter()
+        self.inlines: list[Counter] = [Counter()]
+        self.scopes: list[tuple[int, Counter]] = [(0, Counter())]
         self.run: list[str] = []
         self.run_links = self.run_inline = self.in_link = 0
         at = 0
@@ -47,7 +55,7 @@ class Page:
             if m.start() > at:
                 self.add_text(source[at : m.start()])
             at = m.end()
-            if m["tag"]:
+            if m["tag"] and m["cut"] is None:
                 (self.close if m["end"] else self.open)(m["tag"].lower(), m["attrs"])
         if at < len(source):
             self.add_text(source[at:])
@@ -64,7 +72,7 @@ class Page:
             self.run_links += len(text)
 
     def top(self) -> int:
-        return next(i for _, i in reversed(self.stack) if i >= 0)
+        return self.stack[self.blocks[-1]][1]
 
     def flush(self) -> None:
         """What text there is since the last block boundary becomes a node."""
@@ -86,10 +94,32 @@ class Page:
         return len(self.tag) - 1
 
     def pop_to(self, depth: int) -> None:
-        for tag, _ in self.stack[depth:]:
-            if tag == "a":
-                self.in_link = max(0, self.in_link - 1)
-        del self.stack[depth:]
+        while len(self.stack) > depth:
+            tag, node = self.stack.pop()
+            if node < 0:
+                self.inlines[-1][tag] -= 1
+                if tag == "a":
+                    self.in_link = max(0, self.in_link - 1)
+                continue
+            self.blocks.pop()
+            self.inlines.pop()
+            if self.scopes[-1][0] == len(self.stack):
+                self.scopes.pop()
+            self.open_blocks[tag] -= 1
+            self.scopes[-1][1][tag] -= 1
+
+    def end_open(self, tag: str) -> None:
+        """End the block that this start tag ends, if one is open in the same scope."""
+        ended = ENDS.get(tag)
+        if ended is None:
+            if self.stack[self.blocks[-1]][0] == "p" and tag not in ("html", "body"):
+                self.pop_to(self.blocks[-1])
+            return
+        scope, there = self.scopes[-1]
+        if any(there[t] > 0 for t in ended):
+            self.pop_to(next(d for d in reversed(self.blocks) if self.stack[d][0] in ended))
+        elif self.stack[scope][0] in ended:
+            self.pop_to(scope)
 
     def open(self, tag: str, attrs: str) -> None:
         if tag == "head":  # what may stand in it is hidden or void; anything else ends it, with or without its end tag
@@ -99,35 +129,34 @@ class Page:
                 self.run.append(" ")
             elif tag not in VOID and not attrs.endswith("/"):
                 self.stack.append((tag, -1))
+                self.inlines[-1][tag] += 1
                 self.in_link += tag == "a"
                 self.run_inline += 1
             return
         self.flush()
-        ended = ENDS.get(tag) or ({"p"} if tag not in ("html", "body") else set())
-        for depth in range(len(self.stack) - 1, 0, -1):
-            other = self.stack[depth][0]
-            if other in ended:
-                self.pop_to(depth)
-                break
-            if other in SCOPE or (ended == {"p"} and other in BLOCK):
-                break
-        if tag == "hr" or (tag in ("html", "body") and any(t == tag for t, _ in self.stack)):
+        self.end_open(tag)
+        if tag == "hr" or (tag in ("html", "body") and self.open_blocks[tag] > 0):
             return
         found = _NAMED.findall(attrs) if attrs else ()
         node = self.put(tag, tuple(dict.fromkeys(w for x in found for w in _WORD.findall(x.lower()))), "")
+        self.scopes[-1][1][tag] += 1
+        self.open_blocks[tag] += 1
+        self.blocks.append(len(self.stack))
+        self.inlines.append(Counter())
+        if tag in SCOPE:
+            self.scopes.append((len(self.stack), Counter()))
         self.stack.append((tag, node))
 
     def close(self, tag: str, _: str) -> None:
-        block = tag in BLOCK
-        for depth in range(len(self.stack) - 1, 0, -1):
-            other = self.stack[depth][0]
-            if other == tag:
-                if block:
-                    self.flush()
-                self.pop_to(depth)
-                return
-            if not block and other in BLOCK:
-                return
+        if tag in BLOCK:
+            if self.open_blocks[tag] > 0:
+                self.flush()
+                self.pop_to(next(d for d in reversed(self.blocks) if self.stack[d][0] == tag))
+        elif self.inlines[-1][tag] > 0:
+            depth = len(self.stack) - 1
+            while self.stack[depth][0] != tag:
+                depth -= 1
+            self.pop_to(depth)
 
 
 def token_column(word: str, columns: int) -> int:
