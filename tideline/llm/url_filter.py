@@ -78,10 +78,13 @@ def host_and_path(url: str) -> tuple[F.Column, F.Column]:
     return F.translate(raw, UPPER, LOWER), path
 
 
-def candidate_keys(host: str, path: str, lengths: list[int]) -> F.Column:
-    """Host suffixes with path prefixes of the lengths that rules have, longest key first."""
-    labels = F.split(F.col(host), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidate_keys(host: str, path: str, depths: list[int], lengths: list[int]) -> F.Column:
+    """Host suffixes of as many labels as rules have, with path prefixes of the lengths that rules have, longest key first.
+
+    No other key can be listed, so a url has as many keys as rules have shapes, however long it is.
+    """
+    labels = F.length(F.col(host)) - F.length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
+    suffixes = F.filter(F.array(*[F.when(labels >= n, F.substring_index(F.col(host), ".", -n)) for n in depths]), lambda h: h.isNotNull())
     prefixes = F.transform(
         F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(F.col(path))), lambda n: F.substring(F.col(path), F.lit(1), n)
     )
@@ -133,7 +136,8 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "
     base = pages.select(pages[id_col].alias("id"), pages[url_col].cast("string").alias("url"))
     base = base.select("id", host.alias("host"), path.alias("path"))
     lengths = sorted({len(r) - r.index("/") for _, r in rules})
-    keyed = base.withColumn("keys", candidate_keys("host", "path", lengths) if lengths else F.array().cast("array<string>"))
+    depths = sorted({r[: r.index("/")].count(".") + 1 for _, r in rules})
+    keyed = base.withColumn("keys", candidate_keys("host", "path", depths, lengths) if lengths else F.array().cast("array<string>"))
     keyed = keyed.withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k)))
     universe = keyed.select(F.explode("hashes").alias("hash"))
     names = [r for _, r in rules]
