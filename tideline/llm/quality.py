@@ -33,11 +33,28 @@ _LETTERS = [(re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() and len(m
 
 
 def shape(word: str) -> str:
+    """Letters, digits and runs cut down; most words are letters with at most one mark behind them."""
+    letters, mark = (word, "") if word[-1:].isalnum() else (word[:-1], word[-1:])
+    if letters.isalpha():
+        return ("A" if len(letters) > 1 and letters.isupper() else "a") + mark
     for pattern, by in _LETTERS:
         word = pattern.sub(by, word)
     return _RUNS.sub(r"\1\1", word)[:12]
 
 
+class ShapeRows(dict):
+    """``shape -> row``; shapes are short, and few."""
+
+    def __missing__(self, of: str) -> int:
+        if len(self) > DISTINCT_WORDS:
+            self.clear()
+        got = self[of] = xxhash.xxh3_64_intdigest(b"\0" + of.encode("utf-8", "replace")) % (ENTRIES - 1) + 1
+        return got
+
+
+_SHAPES = ShapeRows()
+
+
 class Vocabulary(dict):
     """``word -> (row of its lower-case form, row of its shape)`` as one number."""
 
@@ -45,8 +62,7 @@ class Vocabulary(dict):
         if len(self) > DISTINCT_WORDS:
             self.clear()
         a = xxhash.xxh3_64_intdigest(word.lower().strip(".,;:!?").encode("utf-8", "replace")) % (ENTRIES - 1) + 1
-        b = xxhash.xxh3_64_intdigest(b"\0" + shape(word).encode("utf-8", "replace")) % (ENTRIES - 1) + 1
-        got = a | b << 16
+        got = a | _SHAPES[shape(word)] << 16
         if len(word) <= 64:
             self[word] = got
         return got
