@@ -19,6 +19,7 @@ from tideline.operators.profile import field_spec
 from tideline.operators.reconcile import CHECK_SCHEMA, PASSED, row_count_check, run_checks
 from tideline.operators.rejects import REASONS, SOURCE_ROW, convert_table, good_rows, rejected_rows
 from tideline.operators.transform import CleaningOptions, clean_table
+from tideline.plans.ledger import EXTRACTED, LOADED, Entry, Ledger, fingerprint
 from tideline.plans.spec import PARENT_TARGETS, TableSpec, table_spec
 from tideline.session import remove_path, scratch_dir
 from tideline.sinks import versions
@@ -56,6 +57,8 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("rejects_path", T.StringType()),
         T.StructField("failed_stage", T.StringType()),
         T.StructField("error", T.StringType()),
+        # The last stage that an earlier run had finished and this one did not repeat.
+        T.StructField("resumed_after", T.StringType()),
     ]
 )
 
@@ -86,6 +89,7 @@ class TableRun:
     rejects_path: str | None = None
     failed_stage: str | None = None
     error: str | None = None
+    resumed_after: str | None = None
     column_mapping: dict[str, str] = field(default_factory=dict)
     checks: list[Row] = field(default_factory=list)
     # Parents of foreign keys that were neither given nor found, so not checked.
@@ -163,6 +167,11 @@ def staged(df: DataFrame, refuse_empty: bool = True) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(df: DataFrame) -> str:
+    """Where a staged table's files are."""
+    return df.inputFiles()[0].rsplit("/", 1)[0]
+
+
 def _forget(df: DataFrame) -> None:
     """Delete the staged files of a table."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
@@ -260,14 +269,25 @@ def _run(
     parents: Mapping[str, DataFrame] | None,
     history_path: str | None,
     siblings: Mapping[str, TableSpec | None] | None = None,
+    ledger: Ledger | None = None,
 ) -> None:
     """Fill in ``run``; where an error is raised it tells how far the run came."""
     held: list[DataFrame] = []
     version: versions.Version | None = None
+    entry: Entry | None = None
     try:
         run.failed_stage = "extract"
-        raw = read_source(spark, spec, data_dir) if source is None else staged(source)
-        held.append(raw)
+        mark = fingerprint(spark, spec, data_dir, cleaning) if ledger is not None and source is None else None
+        entry = ledger.resumable(spec.target_table, mark) if ledger is not None else None
+        if entry is not None:
+            raw, run.resumed_after = ledger.rows(entry), entry.done
+        else:
+            raw = read_source(spark, spec, data_dir) if source is None else staged(source)
+            if mark is not None:
+                entry = Entry(mark, _folder(raw), EXTRACTED)
+                ledger.write(spec.target_table, entry)
+            else:
+                held.append(raw)
         constraint_columns(raw, spec.constraints)
         run.extracted = True
 
@@ -304,7 +324,10 @@ def _run(
         expected = cleaned
         if spec.row_id:
             cleaned = with_row_id(cleaned, deterministic=spec.row_id == "hash")
-        if spec.versioned:
+        written = entry is not None and entry.done == LOADED and entry.target == path and path_exists(spark, path)
+        if written:
+            run.total_rows = entry.rows
+        elif spec.versioned:
             newest = versions.newest(spark, path)
             version = versions.stage_version(cleaned, path, spec.target_type, **spec.target_options)
             run.total_rows = version.rows
@@ -314,6 +337,9 @@ def _run(
             run.rejects_path = f"{path}__rejects" if path else scratch_dir(spark, "rejects")
             run.rejected_rows = write_table(rejects, run.rejects_path)
         run.loaded = not spec.versioned
+        if entry is not None and path and not spec.versioned and spec.row_id != "random":
+            entry.done, entry.rows, entry.target = LOADED, run.total_rows, path
+            ledger.write(spec.target_table, entry)
 
         run.failed_stage = "check"
         target = versions.read_version(spark, path, version=version) if spec.versioned else _read_back(spark, spec, path, cleaned.columns, fields)
@@ -347,6 +373,8 @@ def _run(
             versions.commit(spark, path, version, newest)
             version, run.loaded = None, True
         run.failed_stage = None
+        if entry is not None:
+            ledger.close(spec.target_table)
     finally:
         if version is not None:
             versions.discard(spark, path, version)
@@ -454,11 +482,15 @@ def run_tables(
     parents: Mapping[str, DataFrame] | None = None,
     history_path: str | None = None,
     parallel: int = 1,
+    ledger_dir: str | None = None,
 ) -> list[TableRun]:
     """Run every table, parents before children; one that fails is reported and the others go on.
 
-    With ``parallel`` above one that many tables' jobs share the cluster.
+    With ``parallel`` above one that many tables' jobs share the cluster.  With a ``ledger_dir`` a table
+    that failed keeps its extracted rows, and the next run with the same spec and source files goes on from
+    the last finished stage; where random row ids are asked for, the target is written again.
     """
+    ledger = Ledger(spark, ledger_dir) if ledger_dir else None
 
     runs: dict[str, TableRun] = {}
     specs: dict[str, TableSpec] = {}
@@ -475,7 +507,7 @@ def run_tables(
         # Parents that failed to load are not there to be checked against.
         known = {t: s if runs[by_target[t]].loaded else None for t, s in siblings.items()}
         try:
-            _run(spark, runs[name], specs[name], data_dir, target_dir, None, cleaning, parents, history_path, known)
+            _run(spark, runs[name], specs[name], data_dir, target_dir, None, cleaning, parents, history_path, known, ledger)
         except Exception as e:
             runs[name].error = str(e)
 

@@ -77,6 +77,17 @@ def file_sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
     return {file: size for p in paths for file, (_, size) in _listed(spark, p).items()}
 
 
+def file_states(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Size and time of change of the files that a path stands for."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = {}
+    for file, (_, size) in _listed(spark, path).items():
+        where = target(file)
+        status = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where)
+        out[file] = (size, status.getModificationTime())
+    return out
+
+
 def resolve_files(spark: SparkSession, files: str | Sequence[str], data_dir: str | None = None) -> list[str]:
     """Absolute paths; relative ones lie under ``data_dir``.  Any missing file is an error."""
     names = [files] if isinstance(files, str) else list(files)

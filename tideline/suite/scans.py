@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators.date_shapes import datetime_shapes as shapes_of
+from tideline.operators.date_shapes import rewrite_by_shape
 from tideline.operators.rejects import REASONS, good_rows, rejected_rows
 from tideline.session import scratch_dir
 from tideline.sinks.tables import write_table
@@ -80,3 +82,18 @@ def typed_union_rejects(spark: SparkSession, folder: str) -> DataFrame:
     both = read_relaxed_files(spark, [f"{base}/long", f"{base}/double"], on_loss="reject")
     good = good_rows(both).agg(F.lit("good").alias("outcome"), F.count("*").alias("n_rows"))
     return good.union(rejected_rows(both).groupBy(F.col(REASONS)).count())
+
+
+_SHAPED = {"day_dot": "dd.MM.yyyy", "year_slash": "yyyy/MM/dd HH:mm", "month_first": "M/d/yyyy", "twelve_hours": "d-M-yyyy h:mm a", "solid": "yyyyMMddHHmmss"}
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%m/%d/%Y') AS day_dot, strftime(o_orderdate, '%m/%d/%Y %I:%M %p') AS year_slash,
+      strftime(o_orderdate, '%m/%d/%Y') AS month_first, strftime(o_orderdate, '%m/%d/%Y %I:%M %p') AS twelve_hours,
+      strftime(o_orderdate, '%m/%d/%Y %I:%M %p') AS solid, '1.2.3' AS release FROM orders"""
+)
+def datetime_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates in layouts that no list names, found by the shapes of their digits in one pass."""
+    texts = ", ".join(f"date_format(o_orderdate, '{layout}') AS {name}" for name, layout in _SHAPED.items())
+    df = from_sql(spark, folder, f"SELECT CAST(o_orderkey AS STRING) AS id, {texts}, '1.2.3' AS release FROM orders", "orders")
+    return rewrite_by_shape(df, shapes_of(df))

@@ -148,3 +148,20 @@ def stream_counts_by_file(spark: SparkSession, folder: str) -> DataFrame:
     total = lambda c: F.sum(c).alias(c.lower())
     rows = read_history(spark, history, "EVENTS").groupBy(*[F.col(c).alias(c.lower()) for c in ("TABLE_NAME", "CHECK_TYPE", "STATUS")])
     return rows.agg(F.countDistinct("ERROR_MESSAGE").alias("n_batches"), total("SOURCE_COUNT"), total("TARGET_COUNT"))
+
+
+@query(
+    """SELECT 'first' AS run, 'check' AS failed_stage, CAST(NULL AS VARCHAR) AS resumed_after, TRUE AS loaded, FALSE AS quality_passed, count(*) AS total_rows FROM orders
+    UNION ALL SELECT 'second', NULL, 'load', TRUE, TRUE, count(*) FROM orders
+    UNION ALL SELECT 'third', NULL, NULL, TRUE, TRUE, count(*) FROM orders"""
+)
+def run_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that failed in its checks goes on after the load; one that ended well starts anew."""
+    base = scratch_dir(spark, "resumed")
+    table(spark, folder, "orders").write.parquet(f"{base}/in")
+    spec = {"source_type": "parquet", "source_file_path": "in", "target_table": "T", "normalize_dates": False}
+    reports = []
+    for name, history in (("first", f"{base}/in/_SUCCESS/history"), ("second", f"{base}/history"), ("third", f"{base}/history")):
+        (run,) = run_tables(spark, {"t": spec}, base, f"{base}/out", history_path=history, ledger_dir=f"{base}/ledger")
+        reports.append((name, run.failed_stage, run.resumed_after, run.loaded, bool(run.quality_passed) and run.failed_stage is None, run.total_rows))
+    return spark.createDataFrame(reports, "run string, failed_stage string, resumed_after string, loaded boolean, quality_passed boolean, total_rows long")
