@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.session import configure, scratch_dir
+from tideline.session import configure, remove_path, scratch_dir
 
 # The ASCII white space that all operators split and trim by.
 SPACE = " \t\n\x0b\x0c\r"
@@ -34,6 +34,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a stage's files, once what is read from them has been written."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove_path(df.sparkSession, folder)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``id`` and ``text`` (null: empty), whatever else the table holds."""
     return df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))

@@ -20,11 +20,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import DISTINCT_WORDS, components, frame, mix, numbered, stage, summed_blocks, texts, words
+from tideline.llm.common import DISTINCT_WORDS, components, forget, frame, mix, numbered, stage, summed_blocks, texts, words
 
 COUNTERS = 1 << 20  # cells of the frequency sketch
 BLOCKS = 64
 MOST_SHARED = 4  # longest multi-match that a document considers
+TURNS = 2  # rounds of picked pairs before all others are compared
 VERIFY_COST = 8.0  # of a candidate, in units of one prefix match
 BITS = 8  # 64-bit words of a set's parity sketch
 FILTER_BITS = (1 << 20, 1 << 29)  # least and most bits of the filter of documents to read again
@@ -225,20 +226,33 @@ def _classes(rows: DataFrame, read: DataFrame, width: int, percent: int) -> Data
     often = index.groupBy("token").agg(F.count("*").alias("times")).where("times > 1").select("token")
     info = nodes.drop("sign").groupBy("node").agg(F.min("n").alias("n"), *[F.min(b).alias(b) for b in bits])
     shared = stage(index.join(often, "token").join(info, "node"), "shared")
-
-    # Each set against two sets under its token that hashing picks: groups of near copies come together with few links each.
-    one = F.struct(F.xxhash64("node").alias("order"), "n", "node", *bits)
-    some = shared.groupBy("token").agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("p")).select("token", F.inline("p"))
-    stars = shared.alias("a").join(some.alias("b"), F.col("a.token") == F.col("b.token"))
-    stars = stars.where((F.col("a.node") != F.col("b.node")) & _similar(percent, "a", "b"))
-    stars = stage(stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "stars")
-    links = stage(_verified(stars, rows, width, percent), "links")
-    roots = stage(components(links), "roots") if not links.isEmpty() else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    forget(index)
+
+    # Each set against two sets under its token that hashing picks, then, as long as that links classes, each against
+    # two others: groups of near copies come together with few links each.
+    roots = nodes.select("node", F.col("node").alias("root")).limit(0)
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    across = shared.withColumn("root", F.col("node"))
+    for turn in range(TURNS):
+        one = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "root", "n", "node", *bits)
+        some = across.groupBy("token").agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("p")).select("token", F.inline("p"))
+        stars = across.alias("a").join(some.alias("b"), F.col("a.token") == F.col("b.token"))
+        stars = stars.where((F.col("a.root") != F.col("b.root")) & _similar(percent, "a", "b"))
+        stars = stage(stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "stars")
+        more = stage(_verified(stars, rows, width, percent), "links")
+        forget(stars)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        roots = stage(components(links), "roots")
+        # a token whose sets are all of one class stays so, and is not looked at again
+        before = across
+        classed = before.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = classed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
+        across = stage(classed.join(mixed, "token", "left_semi"), "across")
+        forget(before)
 
     # All other pairs of a token, between the classes so far.
-    classed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = classed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-    across = stage(classed.join(mixed, "token", "left_semi"), "across")
     a, b = across.alias("a"), across.alias("b")
     share = F.least("a.share", "b.share")
     within = lambda x: F.col(f"{x}.place") < F.col(f"{x}.n") - F.ceil(F.col(f"{x}.n") * percent / F.lit(100)) + share
@@ -249,10 +263,12 @@ def _classes(rows: DataFrame, read: DataFrame, width: int, percent: int) -> Data
         .where("hits >= share").select("a", "b")
     )
     pairs = stage(pairs, "pairs")
+    forget(across)
     if not pairs.isEmpty():
         more = stage(_verified(pairs, rows, width, percent), "links")
         if not more.isEmpty():
-            roots = stage(components(links.select("a", "b").union(more)), "roots")
+            roots = stage(components(links.union(more)), "roots")
+        forget(pairs)
 
     classes = nodes.select("sign", "node").join(roots, "node", "left").select("sign", F.coalesce("root", "node").alias("root"))
     full = sets.where("n > 0 AND id IS NOT NULL").select("id", "n", "sign").join(classes, "sign").select("id", "n", "root")
