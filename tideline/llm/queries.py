@@ -38,8 +38,9 @@ def query(sql: str | None = None):
 
 @query(r"""
   WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
-  g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
-  SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+  g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+      row_number() OVER (PARTITION BY norm ORDER BY points DESC, doc_id) = 1 AS kept FROM d)
+  SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM g
 """)
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
