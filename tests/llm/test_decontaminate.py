@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from fixtures import awkward, documents, words
 
-from tideline.llm.decontaminate import ERRORS, contaminated, passages, pieces, plain, within
+from tideline.llm.decontaminate import ERRORS, PASSAGE, STEP, contaminated, passages, pieces, plain, within
 
 
 def distance(pattern, text):
     """Least edits between the pattern and any part of the text."""
-    row = [0] * (len(text) + 1)
+    chars = np.array([ord(d) for d in text], np.int64)
+    along = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
     for i, c in enumerate(pattern, 1):
-        now = [i]
-        for j, d in enumerate(text, 1):
-            now.append(min(row[j] + 1, now[j - 1] + 1, row[j - 1] + (c != d)))
-        row = now
-    return min(row)
+        now = row + 1
+        now[0] = i
+        now[1:] = np.minimum(now[1:], row[:-1] + (chars != ord(c)))
+        row = np.minimum.accumulate(now - along) + along
+    return int(row.min())
 
 
 def test_within():
@@ -32,9 +35,11 @@ def test_within():
 
 
 def test_pieces_cover_the_item():
-    for n in (1, 19, 20, 127, 128, 300, 1000):
-        text = "".join(chr(97 + i % 26) for i in range(n))
-        assert "".join(passages(text)) == text
+    for n in (1, 19, 20, 127, 128, 129, 191, 192, 193, 300, 1000):
+        text = "".join(chr(1000 + i) for i in range(n))
+        assert set("".join(passages(text))) == set(text) and all(len(p) == min(n, PASSAGE) and p in text for p in passages(text))
+        for at in range(n - (PASSAGE + STEP - 1) + 1):
+            assert any(p in text[at : at + PASSAGE + STEP - 1] for p in passages(text))
         for p in passages(text):
             assert "".join(x for _, x in pieces(p)) == p and len(pieces(p)) == len(p) // ERRORS + 1
 
@@ -66,11 +71,24 @@ def test_matches(spark, seed):
                 d = distance(p, text) if len(text) < 3000 else (0 if p in text else 99)
                 if d > len(p) // ERRORS or (len(p) < 20 and f" {p} " not in f" {text} "):
                     continue
-                key = (i, -1 if item is None else item)
-                want[key] = min(d, want.get(key, 99))
+                want[(i, item)] = min(d, want.get((i, item), 99))
     assert got == want
 
 
+def test_quotations_from_the_middle(spark):
+    rng = random.Random(4)
+    item = " ".join(words(rng, 80))[:394]
+    rows = [(at, "so it says " + item[at : at + PASSAGE + STEP - 1] + " and ends") for at in range(len(plain(item)) - (PASSAGE + STEP - 1) + 1)]
+    assert {r["id"] for r in contaminated(documents(spark, rows), documents(spark, [(1, item)], ("item_id", "text"))).collect()} == {i for i, _ in rows}
+
+
+def test_items_without_an_id_are_one(spark):
+    items = [(None, "the first text of no id, long enough"), (None, "another text of no id, as long as that"), (-1, "a text whose id is minus one, no less")]
+    rows = [(1, items[0][1]), (2, items[1][1]), (3, items[2][1]), (None, items[0][1] + " " + items[2][1])]
+    got = [(r["id"], r["item_id"]) for r in contaminated(documents(spark, rows), documents(spark, items, ("item_id", "text"))).collect()]
+    assert sorted(got, key=str) == sorted([(1, None), (2, None), (3, -1), (None, None), (None, -1)], key=str)
+
+
 def test_empty(spark):
     none, one = documents(spark, []), documents(spark, [(1, "some words of a text")])
     items = documents(spark, [], ("item_id", "text"))

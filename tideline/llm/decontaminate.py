@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import texts
 
-PASSAGE = 128  # characters of a test item that are matched together; a shorter rest joins the last passage
+PASSAGE = 128  # characters of a test item that are matched together
+STEP = 64  # characters from one passage of an item to the next
 ERRORS = 20  # one edit is allowed for so many characters
-BLOCK_CHARS = 8_000_000  # characters of items that are searched at once
+BLOCK_CHARS = 4_000_000  # characters of items that are searched at once; passages hold each about twice
 SHORTEST = 20  # items of fewer characters match only whole words around them and without edits
 
 
@@ -29,9 +30,9 @@ def plain(text: str) -> str:
 
 
 def passages(text: str) -> list[str]:
-    n = max(1, len(text) // PASSAGE)
-    step = len(text) // n
-    return [text[i * step : (i + 1) * step if i < n - 1 else len(text)] for i in range(n)] if text else []
+    """Overlapping passages of ``PASSAGE`` characters, the last one at the end; of a shorter text the whole."""
+    last = max(0, len(text) - PASSAGE)
+    return [text[i : i + PASSAGE] for i in [*range(0, last, STEP), last]] if text else []
 
 
 def pieces(passage: str) -> list[tuple[int, str]]:
@@ -70,8 +71,8 @@ def within(pattern: str, text: str, most: int) -> tuple[int, int] | None:
 class Matcher:
     """Finds the passages of a block of items in documents."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.passages: list[tuple[int, str]] = []
+    def __init__(self, items: list[tuple[int | None, str]]):
+        self.passages: list[tuple[int | None, str]] = []
         self.found = ahocorasick.Automaton()
         owners: dict[str, list[tuple[int, int]]] = {}
         for item, text in items:
@@ -83,9 +84,9 @@ class Matcher:
             self.found.add_word(piece, (len(piece), of))
         self.found.make_automaton()
 
-    def matches(self, text: str) -> dict[int, tuple[int, int, int]]:
+    def matches(self, text: str) -> dict[int | None, tuple[int, int, int]]:
         """Best ``(edits, start, end)`` of each item in a plain text."""
-        out: dict[int, tuple[int, int, int]] = {}
+        out: dict[int | None, tuple[int, int, int]] = {}
         tried: set[tuple[int, int]] = set()
         if not self.passages or not len(self.found):
             return out
@@ -119,12 +120,14 @@ _MATCHERS: dict[str, Matcher] = {}
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``id, item_id, edits, start, end`` of every document that holds a passage of a test item, one row per pair.
 
-    Texts are compared with A-Z lower-cased and white space runs as one space;
+    A passage is ``PASSAGE`` characters long and one begins every ``STEP``, so every
+    quotation of ``PASSAGE + STEP - 1`` characters of an item holds a whole one,
+    wherever it begins; an item of fewer than ``PASSAGE`` is one passage.  Texts are compared with A-Z lower-cased and white space runs as one space;
     ``start`` and ``end`` count characters of the text in that form.  Of several
     places the one with fewest edits, then the first, is told.  Null or empty texts
     and items match nothing.  Items of few characters must stand between spaces.
-    Repeated rows are searched one by one, items that share an id count as one,
-    rows with a null id are found and keep it, empty tables give an empty result,
+    Repeated rows are searched one by one, items that share an id count as one, as
+    do those without an id, whose ``item_id`` is null; rows with a null id are found and keep it, empty tables give an empty result,
     other columns are ignored.
 
     The test items are a stated query set: they go to the tasks in blocks of about
@@ -137,7 +140,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     context, out = rows.sparkSession.sparkContext, None
     for b in range(blocks):
         part = own.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
-        block = context.broadcast(sorted({(-1 if r["item"] is None else r["item"], r["text"]) for r in part}))
+        block = context.broadcast(sorted({(r["item"], r["text"]) for r in part}, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
         def search(batches: Iterable[pd.DataFrame], block=block, key=uuid.uuid4().hex) -> Iterator[pd.DataFrame]:
             if key not in _MATCHERS:
@@ -146,7 +149,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             matcher = _MATCHERS[key]
             for pdf in batches:
                 found = [(i, item, *hit) for i, t in zip(pdf["id"], pdf["text"]) if t for item, hit in matcher.matches(plain(t)).items()]
-                yield pd.DataFrame(found, columns=["id", "item_id", "edits", "start", "end"]).astype({"id": "Int64"})
+                yield pd.DataFrame(found, columns=["id", "item_id", "edits", "start", "end"]).astype({"id": "Int64", "item_id": "Int64"})
 
         hits = rows.mapInPandas(search, "id long, item_id long, edits int, start int, end int")
         out = hits if out is None else out.union(hits)
