@@ -14,7 +14,7 @@ from fixtures import awkward, documents
 
 from tideline.llm.packing import best_fit, lower_bound, pack, plan_sequences
 from tideline.llm.token_counts import token_counts, whole_tokens
-from tideline.llm.tokens import Counts, Ids
+from tideline.llm.tokens import Counts, Ids, latin
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
@@ -22,8 +22,9 @@ WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe
 def odd_texts() -> list[str]:
     rng = random.Random(3)
     alphabet = " \n\t\xa0\x85\x1c  '.,aZéÀ1²½ªsdtxΣİ漢"
-    special = ["", " ", "<|endoftext|>", "a <|startoftext|>b<|endoftext|> c", "<|endoftext", "don't I'LL we've", "z" * 3000, "Σας ΟΔΟΣ", "é"]
-    return special + ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(2000)]
+    beyond = "’“”–…дДЖñn\u0303J\u030cİΣσςǅᾳΆ\u0301\u200b\u2028\u3000漢字カか한글٣२ⅷ①🙂👩\u200d🚀\ufeff'sx1 .,\n"
+    special = ["It’s “one” – two…", "Это не тест, а 3 слова", "漢字かな" * 400, "🙂" * 900, "J\u030c ǰ Ǆ", "a\u2028b\u3000c", "a’s<|endoftext|>д", "", " ", "<|endoftext|>", "a <|startoftext|>b<|endoftext|> c", "<|endoftext", "don't I'LL we've", "z" * 3000, "Σας ΟΔΟΣ", "é"]
+    return special + ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(2000)] + ["".join(rng.choices(beyond, k=rng.randint(1, 40))) for _ in range(2000)]
 
 
 def test_ids_and_counts_equal_the_library():
@@ -41,6 +42,16 @@ def test_whole_tokens_are_proven():
     library, whole = tokenizers.Tokenizer.from_file(WORD), whole_tokens(WORD)
     assert len(whole) > 10_000
     assert all(len(library.encode(w, add_special_tokens=False).ids) == 1 for w in whole[::50])
+    assert {"the", "é", "–"} <= set(whole) and any(not latin(w) and w.isalpha() for w in whole)
+
+
+def test_few_words_beyond_latin_are_merged():
+    counts = Counts(WORD, frozenset(whole_tokens(WORD)))
+    asked = []
+    encode = counts.encode
+    counts.encode = lambda strings: asked.extend(strings) or encode(strings)
+    counts.count("The word is “here” – it’s said… qzxvqzxv’s and дом")
+    assert "qzxvqzxv" in asked and not {"the", "word", "is", "–", "…"} & set(asked) and max(map(len, asked)) < 12
 
 
 def test_token_counts(spark):

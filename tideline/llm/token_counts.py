@@ -10,28 +10,26 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import frame, texts
-from tideline.llm.tokens import WORD_LEVEL, Counts, byte_characters, encoder
+from tideline.llm.tokens import Counts, byte_characters, encoder, without_normalizer
 
 
 def whole_tokens(path: str, end: str = "</w>") -> list[str]:
     """The vocabulary's strings that are one pre-token and encode alone as one token."""
-    library = tokenizers.Tokenizer.from_file(path)
+    library = without_normalizer(path)
     back = byte_characters()
     strings = []
     for piece in library.get_vocab(with_added_tokens=False):
         if piece.endswith(end):
             raw = bytes(back[c] for c in piece.removesuffix(end) if c in back)
-            text = raw.decode("utf-8", "replace")
-            if WORD_LEVEL.fullmatch(text) and text.lower() == text:
-                strings.append(text)
+            strings.append(raw.decode("utf-8", "replace"))
     strings = list(dict.fromkeys(strings))
+    alone = [len(library.pre_tokenizer.pre_tokenize_str(s)) == 1 for s in strings]
     counts = [len(e.ids) for e in library.encode_batch(strings, add_special_tokens=False)]
-    return [s for s, n in zip(strings, counts) if n == 1]
+    return [s for s, one, n in zip(strings, alone, counts) if one and n == 1]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,8 +15,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import tokenizers  # noqa: E402
 
-# Latin-1's letters, digits and spaces as Unicode classes them; texts with other
-# characters go to the library as they are.
+# Latin-1's letters, digits and spaces as Unicode classes them; other characters
+# are classed by the library.
 LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 WHITE = "\t\n\x0b\x0c\r \x85\xa0"
@@ -30,12 +31,29 @@ LONG = 2_000  # characters from which a chunk goes to the library
 BLOCK = 5_000  # strings given to the library at once
 
 
-class Encoder:
+def latin(text: str) -> bool:
+    """Whether all characters are within Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def without_normalizer(path: str) -> tokenizers.Tokenizer:
+    """The vocabulary for text that is in its normal form already: normalising twice may change it again."""
+    bare = tokenizers.Tokenizer.from_file(path)
+    bare.no_truncation()
+    bare.no_padding()
+    bare.normalizer = None
+    return bare
+
+
+class Encoder(ABC):
     """Values of a text's chunks, in order, from a dictionary that grows as it meets new ones.
 
     Texts are split at single spaces, where both vocabularies split anyway; a chunk
-    is looked up whole, and a new one is worked out once by ``fresh``.  Texts with
-    characters beyond Latin-1 go to the library unsplit.
+    is looked up whole, and a new one is worked out once by ``fresh``.
     """
 
     def __init__(self, path: str):
@@ -50,8 +68,9 @@ class Encoder:
         for k in range(0, len(strings), BLOCK):
             yield from self.library.encode_batch_fast(strings[k : k + BLOCK], add_special_tokens=False)
 
+    @abstractmethod
     def fresh(self, chunks: list[str]) -> list:
-        raise NotImplementedError
+        """The values of chunks that were not met before."""
 
     def look_up(self, chunks: list[str]) -> list:
         held = self.held
@@ -72,14 +91,25 @@ class Encoder:
 
 
 class Counts(Encoder):
-    """How many tokens a lower-casing word vocabulary makes of a text."""
+    """How many tokens a lower-casing word vocabulary makes of a text.
+
+    Text is brought to the vocabulary's normal form, cut at spaces, and a chunk is
+    split into pre-tokens: by ``WORD_LEVEL`` within Latin-1, otherwise by the library.
+    """
 
     def __init__(self, path: str, whole: frozenset[str]):
         super().__init__(path)
+        self.normal = self.library.normalizer.normalize_str
+        self.library = without_normalizer(path)
         self.whole = whole
 
+    def pre_tokens(self, chunk: str) -> list[str]:
+        if latin(chunk):
+            return WORD_LEVEL.findall(chunk)
+        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
     def fresh(self, chunks: list[str]) -> list[int]:
-        split = [WORD_LEVEL.findall(c) for c in chunks]
+        split = [self.pre_tokens(c) for c in chunks]
         rest = list({t for found in split for t in found if t not in self.whole})
         sizes = dict(zip(rest, map(len, self.encode(rest))))
         return [sum(sizes.get(t, 1) for t in found) for found in split]
@@ -90,11 +120,8 @@ class Counts(Encoder):
             if k % 2:
                 total += 1
             elif part:
-                try:
-                    part.encode("latin-1")
-                    total += sum(self.look_up(part.lower().replace("\n", " ").split(" ")))
-                except UnicodeEncodeError:
-                    total += len(next(self.encode([part])))
+                plain = part.lower().replace("\n", " ") if latin(part) else self.normal(part)
+                total += sum(self.look_up(plain.split(" ")))
         return total
 
 
@@ -103,6 +130,7 @@ class Ids(Encoder):
 
     Where every merge makes the id that its rank says, merging by least id is what
     the library does; a faster library that merges so then works out new chunks.
+    Texts with characters beyond Latin-1 go to the library unsplit.
     """
 
     def __init__(self, path: str):
@@ -128,9 +156,7 @@ class Ids(Encoder):
         return [self.one(" " + c) if c and c[0] not in WHITE and c[-1] not in WHITE else None for c in chunks]
 
     def plain(self, text: str) -> bytes:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
+        if not latin(text):
             return self.whole(text)
         first, *rest = text.split(" ")
         got = self.look_up(rest)
