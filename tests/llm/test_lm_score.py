@@ -49,9 +49,10 @@ def test_marginal_and_expected_counts(lattice, word, monkeypatch):
     for plain in (True, False):
         if not plain:
             monkeypatch.setattr(lattice, "_expect_plain", lambda *a: False)
-        got = [0.0] * lattice.size
-        lattice.expect(word, got)
-        assert {i: n for i, n in enumerate(got) if n > 1e-6} == pytest.approx({i: n for i, n in want.items() if n > 1e-6}, rel=1e-4)
+        for times in (1, 3):
+            got = [0.0] * lattice.size
+            lattice.expect(word, got, times)
+            assert {i: n / times for i, n in enumerate(got) if n > 1e-6 * times} == pytest.approx({i: n for i, n in want.items() if n > 1e-6}, rel=1e-4)
 
 
 def test_weights_sum_to_one(spark, lattice):
@@ -87,18 +88,43 @@ def test_awkward(spark, hot, monkeypatch):
     rows = awkward()
     got = score_texts(documents(spark, rows), F.col("doc_id").isNull() | (F.col("doc_id") % 3 != 0), PATH).collect()
     assert sorted(((r["id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got), key=str) == brute(rows)
-    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+    assert all(r[s] < 0 and math.isfinite(r[s]) for r in got for s in ("score", "mixed_score"))
     by = {}
     for r in got:  # equal texts score alike
         assert by.setdefault((r["id"], r["n_tokens"]), round(r["score"], 6)) == round(r["score"], 6)
 
 
+@pytest.mark.parametrize("hot", [1_000_000, 5])
+def test_scores_against_all_segmentations(spark, hot, monkeypatch):
+    monkeypatch.setattr(lm_score, "HOT_SHARE", hot)
+    rows = [(1, "the cat saw the hat"), (2, "the hat"), (3, "a zqx the"), (4, None), (5, "The CAT\n日x the the"), (6, "the cat saw the hat")]
+    held = {3, 5}
+    train = [(t or "").lower().split() for i, t in rows if i not in held]
+    start = Lattice(PATH)
+    expected = lm_score.PRIOR * start.weights
+    for w, c in Counter(w for d in train for w in d).items():
+        found = list(spellings(start, START + w))
+        total = sum(p for p, _ in found)
+        for p, pieces in found:
+            for x in pieces:
+                expected[x] += c * p / total
+    learnt = Lattice(PATH, expected / expected.sum())
+    n_words, n_ends = sum(map(len, train)), len(train)
+    end = (n_ends + 0.5) / (n_words + n_ends + 1)
+    want = {}
+    for i, t in rows:
+        found = (t or "").lower().split()
+        want[i] = math.log10(end) + sum(math.log10(sum(p for p, _ in spellings(learnt, START + w)) * (1 - end)) for w in found)
+    got = {r["id"]: r["score"] for r in score_texts(documents(spark, rows), ~F.col("doc_id").isin(*held), PATH).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_hot_and_joined_words_score_alike(spark, monkeypatch):
     rows, scores = awkward(2), []
     for hot in (1_000_000, 50):
         monkeypatch.setattr(lm_score, "HOT_SHARE", hot)
         got = score_texts(documents(spark, rows), F.lit(True), PATH).collect()
-        scores.append(sorted((str(r["id"]), r["n_tokens"], round(r["score"], 5)) for r in got))
+        scores.append(sorted((str(r["id"]), r["n_tokens"], round(r["score"], 5), round(r["mixed_score"], 5)) for r in got))
     assert scores[0] == scores[1]
 
 
@@ -113,5 +139,7 @@ def test_texts_of_the_language_are_likelier(spark):
     rows = [(i, " ".join(words(rng, 50))) for i in range(1, 200)]
     # held out, like the rows they are made from
     shuffled = [(3000 + i, " ".join("".join(rng.sample(w, len(w))) for w in t.split())) for i, t in rows if i % 3 == 0]
-    got = {r["id"]: r["score"] for r in score_texts(documents(spark, rows + shuffled), F.col("doc_id") % 3 != 0, PATH).collect()}
-    assert all(got[i] > got[3000 + i] + 5 for i, _ in rows if i % 3 == 0)
+    scored = score_texts(documents(spark, rows + shuffled), F.col("doc_id") % 3 != 0, PATH).collect()
+    for column in ("score", "mixed_score"):
+        got = {r["id"]: r[column] for r in scored}
+        assert all(got[i] > got[3000 + i] + 5 for i, _ in rows if i % 3 == 0)

@@ -1,10 +1,13 @@
 """Language-model scores from a subword lattice.
 
 A word's probability is the sum over all ways to spell it with the pieces of an
-existing vocabulary, by a forward recursion in log space.  The vocabulary's own
+existing vocabulary, by a forward recursion in log space; a text's is the product
+over its words, since no piece crosses one.  The vocabulary's own
 scores (ranks) start the piece weights, and the training texts re-estimate them by
-expected counts over all segmentations.  Words of the training texts are arcs of
-their own, discounted; what the discount leaves goes to the pieces.  Words that the
+expected counts over all segmentations of their words.
+
+A second score mixes the lattice with what was seen: words of the training texts are arcs of
+their own, discounted, and what the discount leaves goes to the pieces; words that the
 document already holds are arcs too: after ``t`` words one that occurred ``k`` times
 has ``(k + CACHE * p) / (t + CACHE)``, whatever the order.
 
@@ -103,10 +106,10 @@ class Lattice:
         """Natural log of the word's probability over all segmentations."""
         return self._forward(self.arcs(START + word))[-1]
 
-    def expect(self, word: str, counts: list[float]) -> None:
-        """Add each piece's expected number in the word; in logs only where plain numbers would vanish."""
+    def expect(self, word: str, counts: list[float], times: float = 1.0) -> None:
+        """Add each piece's expected number in ``times`` such words; in logs only where plain numbers would vanish."""
         arcs = self.arcs(START + word)
-        if len(arcs) <= 64 and self._expect_plain(arcs, counts):
+        if len(arcs) <= 64 and self._expect_plain(arcs, counts, times):
             return
         alpha = self._forward(arcs)
         exp, log1p = math.exp, math.log1p
@@ -119,15 +122,14 @@ class Lattice:
                 share = alpha[i] + b - total
                 if share > -20:
                     for p in pieces:
-                        counts[p] += exp(share)
+                        counts[p] += times * exp(share)
                 if b > a:
                     a, b = b, a
                 best = a if b < a - 40 else a + log1p(exp(b - a))
             beta[i] = best
 
-
     @staticmethod
-    def _expect_plain(arcs: list, counts: list[float]) -> bool:
+    def _expect_plain(arcs: list, counts: list[float], times: float) -> bool:
         n, exp = len(arcs), math.exp
         plain = [[(j, exp(weight), pieces) for j, weight, pieces in own] for own in arcs]
         alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
@@ -139,7 +141,7 @@ class Lattice:
         if total < 1e-250:
             return False
         for i in range(n - 1, -1, -1):
-            here, all_on = alpha[i] / total, 0.0
+            here, all_on = times * alpha[i] / total, 0.0
             for j, weight, pieces in plain[i]:
                 on = weight * beta[j]
                 all_on += on
@@ -173,26 +175,28 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def learn_pieces(counts: DataFrame, path: str) -> np.ndarray:
-    """Piece weights from one round of expected counts over the distinct training words."""
+    """Piece weights from one round of expected counts over the training words, each word as often as it occurs."""
     size = Lattice(path).size
 
     def expect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice, total = Lattice(path), [0.0] * size
         for pdf in batches:
-            for word in pdf["word"]:
-                lattice.expect(word, total)
+            for word, c in zip(pdf["word"], pdf["c"].tolist()):
+                lattice.expect(word, total, c)
         yield frame({"block": [0], "data": [np.array(total).tobytes()]})
 
-    got = summed_blocks(counts.where("c > 0").select("word").mapInPandas(expect, "block int, data binary"), size, "float64")
+    got = summed_blocks(counts.where("c > 0").select("word", "c").mapInPandas(expect, "block int, data binary"), size, "float64")
     start = Lattice(path).weights
     return (got + PRIOR * start) / (got.sum() + PRIOR)
 
 
 def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, n_known, train_tokens, base_score, score`` of every row; logs are to base 10.
+    """``id, n_tokens, n_known, train_tokens, base_score, score, mixed_score`` of every row; logs are to base 10.
 
     Tokens are lower-case (A-Z) words between ASCII white space and one end.  The
-    model learns from the rows where ``train`` holds.  ``base_score`` is that of the
+    model learns from the rows where ``train`` holds.  ``score`` is the lattice's
+    marginal probability of the text, ``mixed_score`` that of the lattice mixed with
+    known words and the document's own, ``base_score`` that of the
     tokens' smoothed shares in the training texts.  A null or empty text is its end
     alone.  With no training row every token is unknown and words are spelt by the
     vocabulary's own weights.  Repeated rows are scored one by one, a null id stays
@@ -212,18 +216,18 @@ def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id
     def spell(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(path, weights.value)
         for pdf in batches:
-            spelt = np.array([lattice.log_probability(w) for w in pdf["word"]], float) + spare
-            c = pdf["c"].to_numpy()
+            marginal = np.array([lattice.log_probability(w) for w in pdf["word"]], float)
+            c, spelt = pdf["c"].to_numpy(), marginal + spare
             own = np.log(np.maximum(c - discount, 1e-300) / mass)
-            yield pdf.assign(score=np.where(c > 0, np.logaddexp(own, spelt), spelt) / LN10)
+            yield pdf.assign(score=marginal / LN10, mixed=np.where(c > 0, np.logaddexp(own, spelt), spelt) / LN10)
 
     def base(c):
         return np.log10((c + 0.1) / (total + 0.1 * (kinds + 1)))
 
-    scored = stage(counts.mapInPandas(spell, "word string, c long, score double"), "scored")
+    scored = stage(counts.mapInPandas(spell, "word string, c long, score double, mixed double"), "scored")
     hot_c = max(1, -(-total // HOT_SHARE))
     hot = scored.where(F.col("c") >= hot_c) if total else scored.where("false")
-    known = spark.sparkContext.broadcast({r["word"].encode(): (float(base(r["c"])), r["score"]) for r in hot.toLocalIterator()})
+    known = spark.sparkContext.broadcast({r["word"].encode(): (float(base(r["c"])), r["score"], r["mixed"]) for r in hot.toLocalIterator()})
     p_end = (n_docs + 0.5) / (total + 1)
     end_base, end_score, go_on = float(base(n_docs)), math.log10(p_end), math.log10(1 - p_end)
 
@@ -233,7 +237,7 @@ def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id
             docs_out, key_out, word_out, tf_out = [], [], [], []
             for key, i, text in zip(pdf["key"], pdf["id"], pdf["text"]):
                 found = Counter(words(text))
-                n, here, b, s = sum(found.values()), 0, end_base, 0.0
+                n, here, b, s, m = sum(found.values()), 0, end_base, 0.0, 0.0
                 for w, tf in found.items():
                     got = get(w)
                     if got is None:
@@ -243,28 +247,30 @@ def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id
                     else:
                         here += tf
                         b += tf * got[0]
-                        p = CACHE * 10 ** got[1]
-                        s += math.log(p) if tf == 1 else lgamma(p + tf) - lgamma(p)
-                s = (s - lgamma(n + CACHE) + lgamma(CACHE)) / LN10 + n * go_on + end_score
-                docs_out.append((key, i, None, n + 1, here + (n_docs > 0), b, s))
-            columns = ["key", "id", "word", "n", "known", "base", "score"]
+                        s += tf * got[1]
+                        p = CACHE * 10 ** got[2]
+                        m += math.log(p) if tf == 1 else lgamma(p + tf) - lgamma(p)
+                ends = n * go_on + end_score
+                m = (m - lgamma(n + CACHE) + lgamma(CACHE)) / LN10
+                docs_out.append((key, i, None, n + 1, here + (n_docs > 0), b, s + ends, m + ends))
+            columns = ["key", "id", "word", "n", "known", "base", "score", "mixed"]
             yield pd.DataFrame(docs_out, columns=columns).astype({"id": "Int64"})
             if key_out:
-                yield frame({"key": key_out, "id": pd.array([None] * len(key_out), "Int64"), "word": word_out, "n": tf_out, "known": 0, "base": 0.0, "score": 0.0})
+                yield frame({"key": key_out, "id": pd.array([None] * len(key_out), "Int64"), "word": word_out, "n": tf_out, "known": 0, "base": 0.0, "score": 0.0, "mixed": 0.0})
 
     keyed = rows.select(F.monotonically_increasing_id().alias("key"), "id", "text")
-    found = stage(keyed.mapInPandas(look_up, "key long, id long, word string, n long, known long, base double, score double"), "found")
+    found = stage(keyed.mapInPandas(look_up, "key long, id long, word string, n long, known long, base double, score double, mixed double"), "found")
     rare = found.where("word IS NOT NULL").select("key", "word", "n").join(scored.where(F.col("c") < hot_c if total else F.lit(True)), "word")
-    p = F.lit(CACHE) * F.pow(F.lit(10.0), "score")
+    p = F.lit(CACHE) * F.pow(F.lit(10.0), "mixed")
     again = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("n") - 1, F.lit(1))), F.lit(0.0), lambda x, k: x + F.log10(k + p))
-    cached = F.col("score") + math.log10(CACHE) + F.when(F.col("n") > 1, again).otherwise(0.0)
+    cached = F.col("mixed") + math.log10(CACHE) + F.when(F.col("n") > 1, again).otherwise(0.0)
     shares = F.log10((F.col("c") + 0.1) / F.lit(total + 0.1 * (kinds + 1)))
     rare = rare.select(
         "key", F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * shares).alias("base"), cached.alias("score"),
+        (F.col("n") * shares).alias("base"), (F.col("n") * F.col("score")).alias("score"), cached.alias("mixed"),
     )
     return (
-        found.where("word IS NULL").select("key", "id", "n", "known", "base", "score").union(rare).groupBy("key")
-        .agg(F.max("id").alias("id"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
-        .select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+        found.where("word IS NULL").select("key", "id", "n", "known", "base", "score", "mixed").union(rare).groupBy("key")
+        .agg(F.max("id").alias("id"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"), F.sum("mixed").alias("mixed_score"))
+        .select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "mixed_score")
     )

@@ -110,7 +110,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scores = score_texts(docs, ~held_out("doc_id", 10, 0), public_tokenizers.path("piece_bpe_32k.model"))
-    return scores.select(F.col("id").alias("doc_id"), held_out("id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scores.select(F.col("id").alias("doc_id"), held_out("id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "mixed_score")
 
 
 @query()
