@@ -145,3 +145,15 @@ def test_tags_cut_off_by_the_end():
     assert [t for t in page.text if t] == ["one", "two"]
     assert [t for t in Page("a<b").text if t] == ["a"]
     assert [t for t in Page("a < b").text if t] == ["a < b"]
+
+
+def test_sampled_pages_are_those_of_lowest_hash(spark):
+    from tideline.llm.html_text import sample_pages
+
+    rows = [(i, f"<p>{i % 40}</p>") for i in range(60)] + [(None, "<p>n</p>"), (3, ""), (None, None)] + [(7, "<p>copied</p>")] * 80
+    frame = spark.createDataFrame(rows, "id long, html string").selectExpr("id", "coalesce(html, '') AS html")
+    hashed = frame.where("html <> ''").selectExpr("html", "xxhash64(id) AS h", "xxhash64(html) AS g").collect()
+    want = [r["html"] for r in sorted(hashed, key=lambda r: (r["h"], r["g"]))]
+    for n in (1, 10, 60, 100, 139, 500):
+        assert sample_pages(frame, n) == want[:n]
+    assert sample_pages(frame.where("id = -1"), 5) == []

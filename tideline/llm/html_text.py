@@ -182,6 +182,23 @@ def learn(sources: list[str], seed: int = 11) -> Trees:
     return fit_trees(np.concatenate(x), np.concatenate(y).astype(float))
 
 
+def sample_pages(rows: DataFrame, n: int) -> list[str]:
+    """The ``n`` pages of ``rows (id, html)`` whose hashes are lowest, in that order; empty ones are left out.
+
+    Tasks send hashes only; then no more than ``n`` pages are fetched.  Pages that
+    tie at the last place are copies, and one of them stands for all.
+    """
+    filled = rows.where("html <> ''").select("html", F.xxhash64("id").alias("h"), F.xxhash64("html").alias("g"))
+    lowest = [tuple(r) for r in filled.select("h", "g").orderBy("h", "g").limit(n).collect()]
+    if not lowest:
+        return []
+    h, g = lowest[-1]
+    last = (F.col("h") == h) & (F.col("g") == g)
+    below = sorted((r["h"], r["g"], r["html"]) for r in filled.where((F.col("h") < h) | (F.col("h") == h) & (F.col("g") < g)).collect())
+    tied = filled.where(last).select("html").first()["html"]
+    return [html for *_, html in below] + [tied] * lowest.count((h, g))
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``id, url, text, n_chars`` of every row; ``text`` is empty where no main text is found.
 
@@ -193,8 +210,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
     """
     source = F.coalesce(pages[html_col].cast("string"), F.lit(""))
     rows = pages.select(pages[id_col].cast("long").alias("id"), pages["url"].cast("string").alias("url"), source.alias("html"))
-    some = rows.where("html <> ''").orderBy(F.xxhash64("id"), F.xxhash64("html")).limit(SAMPLE_PAGES).select("html").collect()
-    trees = rows.sparkSession.sparkContext.broadcast(learn([r["html"] for r in some]))
+    trees = rows.sparkSession.sparkContext.broadcast(learn(sample_pages(rows, SAMPLE_PAGES)))
 
     def extract(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
