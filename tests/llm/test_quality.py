@@ -8,7 +8,7 @@ from fixtures import awkward, documents
 from pyspark.sql import functions as F
 
 from tideline.llm import quality
-from tideline.llm.quality import fit, pooled, rows_of, score_quality, shape, training_labels, word_vectors
+from tideline.llm.quality import fit, lowest_labels, pooled, rows_of, score_quality, shape, training_labels, word_vectors
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -68,3 +68,21 @@ def test_awkward(spark):
     assert score_quality(documents(spark, []), labels).collect() == []
     none = score_quality(documents(spark, rows), labels.where("false")).select(F.min("score"), F.max("score")).first()
     assert none[0] == none[1] == pytest.approx(0.5)
+
+
+def test_lowest_labels_are_those_of_lowest_hashes(spark):
+    rows = [(k % 700, k % 2) for k in range(2000)] + [(5, 1)] * 3000 + [(None, 1), (7, None)]
+    labels = spark.createDataFrame(rows, "id long, label int").repartition(5)
+    known = labels.dropna().distinct().select(F.xxhash64("id").alias("h"), "id", "label")
+    order = [tuple(r)[1:] for r in sorted(map(tuple, known.collect()))]
+    for n in (1, 50, len(order), len(order) + 1):
+        assert sorted(map(tuple, lowest_labels(labels, n).collect())) == sorted(order[:n])
+    assert lowest_labels(labels.limit(0), 5).collect() == []
+
+
+def test_one_labelled_id_on_most_rows(spark):
+    docs = documents(spark, [(1, f"text number {k % 3}") for k in range(300)] + [(2, "another one")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "id long, label int")
+    once = documents(spark, [(1, "text number 0"), (2, "another one")])
+    learnt = score_quality(docs, labels, labelled=10).where("id = 2").first()
+    assert learnt.score == score_quality(once, labels, labelled=10).where("id = 2").first().score

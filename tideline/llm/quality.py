@@ -216,18 +216,33 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return labels.where(~held_out("doc_id", 3, 1)).select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
 
 
+def lowest_labels(labels: DataFrame, n: int) -> DataFrame:
+    """The ``n`` distinct ``(id, label)`` of lowest hashes; nulls are left out.
+
+    Hashes are counted by their first 16 bits, so tasks send what lies in the prefixes
+    that hold the lowest ``n``, and no more: ``n`` rows and those of one prefix.
+    """
+    known = labels.where("label IS NOT NULL AND id IS NOT NULL").select("id", "label").distinct()
+    first = F.shiftright(F.xxhash64("id"), 48)
+    counts = sorted((r["prefix"], r["n"]) for r in known.groupBy(first.alias("prefix")).agg(F.count("*").alias("n")).collect())
+    upto = next((prefix for (prefix, _), total in zip(counts, itertools.accumulate(k for _, k in counts)) if total >= n), None)
+    low = known if upto is None else known.where(first <= upto)
+    return low.orderBy(F.xxhash64("id"), "id", "label").limit(n)
+
+
 def quality_of(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> Callable[[Column], Column]:
     """A function that scores a text column, learnt from all texts and from ``labels (id, label)``."""
     rows = texts(docs, id_col, text_col)
     vectors = rows.sparkSession.sparkContext.broadcast(word_vectors(rows))
-    some = labels.where("label IS NOT NULL AND id IS NOT NULL").orderBy(F.xxhash64("id"), "id", "label").limit(labelled)
+    some = lowest_labels(labels, labelled)
 
     def features(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield frame({"label": pdf["label"], "x": [pooled(t, vectors.value).tobytes() for t in pdf["text"]]})
 
-    # At most ``labelled`` ids are sent to the tasks.
-    got = rows.join(F.broadcast(some), "id").select("label", "text").mapInPandas(features, "label int, x binary").toPandas()
+    # At most ``labelled`` ids are sent to the tasks, and one text of each comes back, however many rows share an id.
+    one = rows.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    got = one.select("label", "text").mapInPandas(features, "label int, x binary").toPandas()
     order = got.sort_values(["label", "x"])
     x = np.frombuffer(b"".join(order["x"]), np.float32).reshape(-1, FEATURES)
     net = rows.sparkSession.sparkContext.broadcast(fit(x, order["label"].to_numpy(np.float64)))
@@ -244,7 +259,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """``id, score`` of every row: how likely its text has label 1.
 
     ``labels (id, label)`` are the rows to learn from, at most ``labelled`` of them;
-    null labels are left out, and a document with several counts once for each.
+    null labels are left out, and a document with several counts once for each.  Of
+    different texts under one labelled id the least is learnt from.
     Word vectors come from all texts.  A null text counts as empty; empty texts get
     the network's answer to no words.  Without labels every score is one half.
     Repeated rows are scored alike, a null id stays null, an empty table gives an
