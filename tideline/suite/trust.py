@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tideline.operators.appended import append_batch, appended_key_violations
 from tideline.operators.hash_tree import comparable, read_tree, table_differences, write_tree
 from tideline.operators.nearest import nearest_for_all
+from tideline.operators.reconcile import column_discrepancies
+from tideline.operators.sketches import append_sketches, error_bound, sketch_drift
 from tideline.operators.transform import CleaningOptions
 from tideline.plans.run import run_report, run_table, run_tables
 from tideline.session import scratch_dir
@@ -165,3 +167,32 @@ def run_resumed(spark: SparkSession, folder: str) -> DataFrame:
         (run,) = run_tables(spark, {"t": spec}, base, f"{base}/out", history_path=history, ledger_dir=f"{base}/ledger")
         reports.append((name, run.failed_stage, run.resumed_after, run.loaded, bool(run.quality_passed) and run.failed_stage is None, run.total_rows))
     return spark.createDataFrame(reports, "run string, failed_stage string, resumed_after string, loaded boolean, quality_passed boolean, total_rows long")
+
+
+_LOAD = "SELECT o_orderkey, o_custkey, CASE WHEN CAST(o_orderkey AS BIGINT) % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, upper(o_orderpriority) AS o_orderpriority FROM ({}) WHERE CAST(o_orderkey AS BIGINT) % 3 = 2"
+_OF_COLUMN = """SELECT '{0}' AS column_name, (SELECT count(DISTINCT {0}) FROM p) AS past_distinct, (SELECT count(DISTINCT {0}) FROM l) AS load_distinct,
+    (SELECT count(*) FROM (SELECT {0} FROM p INTERSECT SELECT {0} FROM l)) AS common_values, (SELECT count(*) FROM (SELECT {0} FROM l EXCEPT SELECT {0} FROM p)) AS new_values, TRUE AS within_bound"""
+
+
+@query(
+    f"""WITH p AS (SELECT * FROM ({ORDER_TEXT}) WHERE CAST(o_orderkey AS BIGINT) % 3 < 2), l AS ({_LOAD.format(ORDER_TEXT)})
+    {" UNION ALL ".join(_OF_COLUMN.format(c) for c in ORDER_COLUMNS)}"""
+)
+def column_sketch_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """What a third load brings that two before it had not, from kept sketches, held against exact counts."""
+    path = f"{scratch_dir(spark, 'sketches')}/orders"
+    orders = from_sql(spark, folder, ORDER_TEXT, "orders")
+    key = F.col("o_orderkey").cast("bigint") % 3
+    loads = [orders.where(key == 0), orders.where(key == 1), from_sql(spark, folder, _LOAD.format(ORDER_TEXT), "orders")]
+    for name, rows in zip(("first", "second", "third"), loads):
+        append_sketches(rows, path, "ORDERS", name)
+    told = sketch_drift(spark, path, "ORDERS", "third")
+    counts = ("past_distinct", "load_distinct", "common_values", "new_values")
+    exact = column_discrepancies(loads[0].union(loads[1]), loads[2], ORDER_COLUMNS).select(
+        "column_name", *[F.col(a).alias(f"exact_{b}") for a, b in zip(("source_distinct", "target_distinct", "common_values", "target_only"), counts)]
+    )
+    within = F.lit(True)
+    for c in counts:
+        within &= F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.col("all_distinct") * error_bound()
+    both = exact.join(told, "column_name", "left")
+    return both.select("column_name", *[F.col(f"exact_{c}").alias(c) for c in counts], F.coalesce(within, F.lit(False)).alias("within_bound"))
