@@ -101,6 +101,23 @@ def test_nearest_row_report(spark):
     assert text.endswith("... (truncated)") and len(text) == 75
 
 
+def test_report_text_tells_what_it_leaves_out(spark):
+    source = spark.createDataFrame([(str(k), "a", "x" * 60) for k in range(20)], "k string, `x.y` string, z string")
+    target = spark.createDataFrame([(str(k), "b" if k < 9 else "a", "x" * 60) for k in range(20)], "k string, `x.y` string, z string")
+    c = reconcile.prepare_comparison(source, target, 100.0)
+    text = reconcile.discrepancy_text(c)
+    assert "... and 4 more rows that differ" in text
+    assert "... and 17 more source rows" in text and "... and 17 more target rows" in text
+    assert "Column k: 20 values in the source, 20 in the target, 20 in both, 0 in the source only, 0 in the target only." in text
+    assert "Column x.y: 1 values in the source, 2 in the target, 1 in both, 0 in the source only, 1 in the target only." in text
+    assert f"z='{'x' * 50}...'" in text and not text.endswith("(truncated)")
+    cells = reconcile.side_samples(c).collect()
+    first = sorted({(str(k), "a", "x" * 60) for k in range(20)}, key=order_of)[:3]
+    assert [r["value"] for r in sorted((r for r in cells if r["side"] == "source" and r["column_name"] == "k"), key=lambda r: r["place"])] == [r[0] for r in first]
+    few = reconcile.prepare_comparison(source.limit(1), target.limit(1), 100.0)
+    assert {(r["side"], r["more_rows"]) for r in reconcile.side_samples(few).collect()} == {("source", 0), ("target", 0)}
+
+
 def test_checks_never_raise(spark):
     broken = frame(spark, [("1", "a")]).select("a", F.raise_error(F.lit("boom")).cast("string").alias("b"))
     checks = reconcile.run_checks(broken, frame(spark, [("1", "a")]), "T").collect()

@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 from tideline.functions.names import SYSTEM_COLUMNS, align, col, rename
 from tideline.functions.text import compare_text
 from tideline.operators.sample import ORDER, PREFIX_DIGITS, Cutoff, find_cutoff, hash_order
+from tideline.operators.sketches import column_sketches, sketch_counts
 from tideline.session import remove_path, scratch_dir
 
 # Check and status words, report limits.
 ROW_COUNT, CONTENT, SYSTEM_ERROR = "ROW_COUNT", "CONTENT_ACCURACY", "SYSTEM_ERROR"
 PASSED, FAILED = "PASSED", "FAILED"
 REPORT_ROWS, REPORT_COLUMNS, REPORT_EXAMPLES, REPORT_TEXT = 5, 3, 3, 3900
+REPORT_ANALYSED, REPORT_VALUE = 5, 50
 # How far the match pass reaches beyond the sample, and in how many hash digits.
 REACH_MARGIN, REACH_DIGITS, SMALLEST_REACH = 1.1, 8, 0.001
 # Hashes (about 100 bytes each) that may be sent to every task.
@@ -363,14 +365,72 @@ def discrepancy_report(
     )
 
 
+def side_samples(c: Comparison, rows: int = REPORT_EXAMPLES, columns: int | None = REPORT_COLUMNS) -> DataFrame:
+    """The first rows of both sides in hash order, cell by cell, and how many rows of that side follow.
+
+    Each task sends its first rows only.  Equal rows have one hash, so where both
+    sides hold the same rows their samples are the same.
+    """
+    names = c.columns[:columns]
+    sides = []
+    for side, df, count in (("source", c.source, c.source_count), ("target", c.target, c.target_count)):
+        row = F.struct(ORDER, *[col(n).alias(f"v{k}") for k, n in enumerate(names)])
+        first = df.orderBy(ORDER).limit(rows).agg(F.array_sort(F.collect_list(row)).alias("rows")).select(F.posexplode("rows").alias("place", "r"))
+        cells = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"r.v{k}").alias("value")) for k, n in enumerate(names)])
+        more = F.lit(max(0, count - rows)).cast("bigint").alias("more_rows")
+        sides.append(first.select(F.lit(side).alias("side"), (F.col("place") + 1).alias("place"), F.inline(cells), more))
+    return sides[0].unionAll(sides[1])
+
+
+def column_overview(c: Comparison, columns: int | None = REPORT_ANALYSED) -> DataFrame:
+    """Per column the distinct values of both sides and those they share, from sketches: no value is shuffled.
+
+    Exact below 4,096 distinct values, else within the sketches' bound; ``column_discrepancies`` is exact at any size.
+    """
+    names = [col(n) for n in c.columns[:columns]]
+    sides = [column_sketches(df.select(*names)) for df in (c.source, c.target)]
+    return sketch_counts(*sides).select(
+        "column_name", F.col("past_distinct").alias("source_distinct"), F.col("load_distinct").alias("target_distinct"),
+        "common_values", F.col("gone_values").alias("source_only"), F.col("new_values").alias("target_only"),
+    )
+
+
+def _short(value: str) -> str:
+    return value if len(value) <= REPORT_VALUE else value[:REPORT_VALUE] + "..."
+
+
 def discrepancy_text(c: Comparison, limit: int = REPORT_TEXT) -> str:
-    """The report as one text for a history row, cut at the column's limit."""
+    """The report as one text for a history row, cut at the column's limit.
+
+    Differing rows against their nearest, how many differ beyond these, the first
+    rows of both sides, and the distinct values of the first columns.
+    """
     by_row: dict[int, list[str]] = {}
     for r in discrepancy_report(c, differing_first=True).collect():
         head = f"Row {r['row_index']} (best target match {r['matched_columns']}/{r['compared_columns']} columns): "
         cells = by_row.setdefault(r["row_index"], [head])
         cells.append(f"{r['column_name']}(src:'{r['source_value'][:100]}' vs tgt:'{r['target_value'][:100]}')")
-    text = " ".join(cells[0] + ", ".join(cells[1:]) for _, cells in sorted(by_row.items()))
+    parts = [cells[0] + ", ".join(cells[1:]) for _, cells in sorted(by_row.items())]
+    more = c.sampled().filter(F.col("found") == 0).count() - len(by_row)
+    if more > 0:
+        parts.append(f"... and {more} more rows that differ")
+    samples: dict[str, dict[int, list[str]]] = {}
+    further = {}
+    for r in side_samples(c).collect():
+        samples.setdefault(r["side"], {}).setdefault(r["place"], []).append(f"{r['column_name']}='{_short(r['value'])}'")
+        further[r["side"]] = r["more_rows"]
+    for side, rows in samples.items():
+        parts.append(f"First {side} rows: " + "; ".join(", ".join(cells) for _, cells in sorted(rows.items())))
+        if further[side]:
+            parts.append(f"... and {further[side]} more {side} rows")
+    overview = {r["column_name"]: r for r in column_overview(c).collect()}
+    for name in c.columns[:REPORT_ANALYSED]:
+        r = overview[name]
+        parts.append(
+            f"Column {name}: {r['source_distinct']} values in the source, {r['target_distinct']} in the target, "
+            f"{r['common_values']} in both, {r['source_only']} in the source only, {r['target_only']} in the target only."
+        )
+    text = " ".join(parts)
     return text if len(text) <= limit else text[:limit] + "... (truncated)"
 
 

@@ -61,6 +61,23 @@ def _estimate(sketch: Column) -> Column:
     return F.coalesce(F.theta_sketch_estimate(sketch), F.lit(0)).cast("bigint")
 
 
+def sketch_counts(old: DataFrame, new: DataFrame, size: int = SIZE) -> DataFrame:
+    """Distinct, common and one-sided values of each column of two sides ``(column_name, sketch)``."""
+    sides = (side.select("column_name", F.col("sketch").alias(name)) for side, name in ((old, "old"), (new, "new")))
+    both = next(sides).join(next(sides), "column_name", "full")
+    o, n = F.col("old"), F.col("new")
+    everything = F.when(o.isNull(), n).when(n.isNull(), o).otherwise(F.theta_union(o, n, size))
+    return both.select(
+        "column_name",
+        _estimate(o).alias("past_distinct"),
+        _estimate(n).alias("load_distinct"),
+        _estimate(F.theta_intersection(o, n)).alias("common_values"),
+        _estimate(F.when(o.isNull(), n).otherwise(F.theta_difference(n, o))).alias("new_values"),
+        _estimate(F.when(n.isNull(), o).otherwise(F.theta_difference(o, n))).alias("gone_values"),
+        _estimate(everything).alias("all_distinct"),
+    )
+
+
 def sketch_drift(spark: SparkSession, path: str, table: str, load: str, size: int = SIZE) -> DataFrame:
     """How a load's columns differ from all other loads of its table, one row a column.
 
@@ -73,19 +90,7 @@ def sketch_drift(spark: SparkSession, path: str, table: str, load: str, size: in
     """
     kept = read_sketches(spark, path, table).select("column_name", "n_rows", "sketch", (F.col("load") == load).alias("own"))
     merged = kept.groupBy("column_name", "own").agg(F.theta_union_agg("sketch", size).alias("sketch"))
-    old = merged.where("NOT own").select("column_name", F.col("sketch").alias("old"))
-    new = merged.where("own").select("column_name", F.col("sketch").alias("new"))
-    both = old.join(new, "column_name", "full")
-    o, n = F.col("old"), F.col("new")
-    everything = F.when(o.isNull(), n).when(n.isNull(), o).otherwise(F.theta_union(o, n, size))
-    counts = both.select(
-        "column_name",
-        _estimate(o).alias("past_distinct"),
-        _estimate(n).alias("load_distinct"),
-        _estimate(F.theta_intersection(o, n)).alias("common_values"),
-        _estimate(F.when(o.isNull(), n).otherwise(F.theta_difference(n, o))).alias("new_values"),
-        _estimate(F.when(n.isNull(), o).otherwise(F.theta_difference(o, n))).alias("gone_values"),
-        _estimate(everything).alias("all_distinct"),
-    )
+    old, new = (merged.where(side).select("column_name", "sketch") for side in ("NOT own", "own"))
+    counts = sketch_counts(old, new, size)
     share = F.when(F.col("load_distinct") > 0, F.least(F.col("new_values") / F.col("load_distinct"), F.lit(1.0)))
     return counts.withColumn("new_share", share)

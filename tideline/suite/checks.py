@@ -22,6 +22,7 @@ from tideline.operators.reconcile import (
     prepare_comparison,
     row_count_check,
     run_checks,
+    side_samples,
 )
 from tideline.operators.sample import hash_sample
 from tideline.session import scratch_dir
@@ -214,6 +215,23 @@ def best_match(spark: SparkSession, folder: str) -> DataFrame:
     return discrepancy_report(compared_orders(spark, folder))
 
 
+_FIRST = ", ".join(
+    f"p{side} AS (SELECT *, row_number() OVER (ORDER BY h) AS place, count(*) OVER () - 3 AS more_rows FROM (SELECT *, sha256({row_text_sql(ORDER_COLUMNS)}) AS h FROM {name}))"
+    for side, name in (("source", "src"), ("target", "tgt"))
+)
+
+
+@query(
+    f"WITH src AS ({ORDER_TEXT}), tgt AS ({_TARGET}), {_FIRST} "
+    + " UNION ALL ".join(
+        f"SELECT '{side}' AS side, place, '{c}' AS column_name, {c} AS value, more_rows FROM p{side} WHERE place <= 3" for side in ("source", "target") for c in ORDER_COLUMNS[:3]
+    )
+)
+def mismatch_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """What a failed check shows of both sides, and how much it leaves out."""
+    return side_samples(compared_orders(spark, folder))
+
+
 _SIDES = ["o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
