@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators import appended, nearest
-from tideline.operators.appended import append_batch, appended_key_violations, key_filter, possible_clashes
+from tideline.operators.appended import append_batch, appended_key_violations, claimed, key_filter, possible_clashes
 from tideline.operators.nearest import nearest_for_all
 from tideline.sinks.history import read_history
 from tideline.streaming.ingest import append_stream, counted_append, stream_files, without_repeats
@@ -45,6 +45,37 @@ def test_nearest_of_nothing(spark):
     assert nearest_for_all(none, some, ["k", "v"]).collect() == []
 
 
+def test_nearest_moves_only_targets_that_open_rows_may_need(spark, monkeypatch):
+    """A value that many rows share is no reason to pair each of them with each target row that has it."""
+    moved = []
+
+    def counted(*args):
+        out = claimed(*args)
+        moved.append(out.where("set IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(nearest, "claimed", counted, raising=False)
+    target = [(f"k{i}", f"c{i // 10}", "same price", "z") for i in range(600)]
+    missing = [(f"k{i}", f"c{i // 10}", "same price", "other") for i in range(0, 600, 5)]
+    names = ["k", "c", "p", "s"]
+    schema = ", ".join(f"{n} string" for n in names)
+    got = nearest_for_all(spark.createDataFrame(missing, schema), spark.createDataFrame(target, schema), names)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(missing, target)
+    assert len(moved) == 2 and sum(moved) < 3 * len(missing)  # four equal columns, then three
+
+
+def test_a_full_filter_claims_all_its_keys(spark):
+    rows = spark.range(0, 40_000, 2).withColumn("k", F.array(F.col("id").cast("string")))
+    words = key_filter(rows, ["k"], 1 << 10)
+    assert words.select("__size").distinct().collect()[0][0] == 1 << 10
+    asked = spark.range(0, 40_000).withColumn("k", F.array(F.col("id").cast("string")))
+    got = claimed(asked, words, ["k"])
+    assert got.columns == asked.columns
+    assert got.where("id % 2 = 0").count() == 20_000
+    assert claimed(asked, key_filter(rows, ["k"]), ["k"]).where("id % 2 = 1").count() < 2_000
+    assert claimed(asked, key_filter(rows.limit(0), ["k"]), ["k"]).isEmpty()
+
+
 def test_keys_across_batches(spark, tmp_path):
     path = f"{tmp_path}/t"
     rng = random.Random(8)

@@ -44,17 +44,31 @@ def _bits(keys: Sequence[Column]) -> Column:
     return out
 
 
-def key_filter(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The filter's words: ``__size`` (how many there may be), ``__word`` and ``bits``; keys with a NULL are left out."""
+def key_filter(df: DataFrame, keys: Sequence[str], most_words: int | None = None) -> DataFrame:
+    """The filter's words: ``__size`` (how many there may be), ``__word`` and ``bits``; keys with a NULL are left out.
+
+    With ``most_words``, a power of two, it grows no further and claims more keys in vain.
+    """
     names = [col(k) for k in keys]
     distinct = df.select(*names).dropna().distinct()
     rows, size = df.count(), LEAST_WORDS
-    while size * KEYS_PER_WORD < rows:
+    while size * KEYS_PER_WORD < rows and (most_words is None or size < most_words):
         size *= 2
     word = _word(names, F.lit(size)).alias(WORD)
     return distinct.select(word, _bits(names).alias("b")).groupBy(WORD).agg(F.bit_or("b").alias("bits")).select(F.lit(size).cast("long").alias(SIZE), WORD, "bits")
 
 
+def claimed(df: DataFrame, words: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys the filter claims: all that it has, and a few that it has not.  Its words go to every task, the rows stay."""
+    first = words.first()
+    if first is None:
+        return df.limit(0)
+    names = [col(k) for k in keys]
+    sent = F.broadcast(words.select(WORD, F.col("bits").alias("__claims")))
+    hit = df.withColumn(WORD, _word(names, F.lit(first[SIZE]))).withColumn("__bits", _bits(names)).join(sent, WORD)
+    return hit.where(F.col("__claims").bitwiseAND(F.col("__bits")) == F.col("__bits")).select(*[col(c) for c in df.columns])
+
+
 def possible_clashes(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """New keys that some batch's filter claims, with the batch: all that clash, and a few that do not."""
     filters = spark.read.schema(f"{SIZE} long, {WORD} long, bits long, {BATCH} string").parquet(_filters(path))

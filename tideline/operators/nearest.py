@@ -1,11 +1,12 @@
 """For every row that has no equal on the other side, the row there with most equal columns.
 
-Three exact steps, each for the rows that the one before leaves open.  An inverted index holds only pairs
-of column and value that the open rows have; a row looks up its rarest pairs, so many that a
-target row beyond them could not have enough equal columns.  What is left has few equal columns:
-of all targets that agree on the same columns only the smallest matters, so each such
-set of columns has one representative.  In wide tables with too many sets, rows are
-compared with the whole target in blocks of a few.
+Of all targets that agree on the same columns only the smallest matters, so each set of columns and
+its values has one representative.  In tables of few columns the sets are gone through from the largest
+down; a Bloom filter of what the open rows have goes to the tasks, so that only targets that
+it claims move.  In wider tables an inverted index comes first: a row looks up its rarest pairs of
+column and value, so many that a target row beyond them could not have enough equal columns.  What is
+left has few equal columns; where these still make too many sets, rows are compared with the
+whole target in blocks of a few.
 """
 
 from __future__ import annotations
@@ -19,14 +20,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.names import col
+from tideline.operators.appended import claimed, key_filter
 from tideline.operators.reconcile import nearest_rows
 from tideline.session import scratch_dir
 from tideline.sinks.tables import write_table
 
 # Target rows that one row may be compared with by the index.
 MOST_LOOKUPS = 1000
-# Sets of columns of one size that representatives are found for.
+# Sets of columns of one size that representatives are found for; of all sizes, where that is done without the index.
 MOST_SETS = 256
+# Words of the filter that goes to the tasks; what it claims in vain only moves in vain.
+MOST_WORDS = 1 << 20
 BLOCK_ROWS = 100
 ID = "__row"
 
@@ -86,8 +90,8 @@ def _by_column_sets(rows: DataFrame, target: DataFrame, columns: Sequence[str],
 
     wanted = rows.select(ID, F.inline(keys(lambda k: F.col(f"source.v{k}"))))
     offered = target.select(_values(columns).alias("target"), F.inline(keys(lambda k: col(columns[k]))))
-    needed = offered.join(wanted.select("set", "key").distinct(), ["set", "key"], "left_semi")
-    one = needed.groupBy("set", "key").agg(F.min("target").alias("target"))
+    words = _kept(key_filter(wanted, ["set", "key"], MOST_WORDS), "filter")
+    one = claimed(offered, words, ["set", "key"]).groupBy("set", "key").agg(F.min("target").alias("target"))
     return _best(wanted.join(one, ["set", "key"]).select(ID, F.lit(size).alias("equal"), "target"))
 
 
@@ -101,11 +105,13 @@ def nearest_for_all(missing: DataFrame, target: DataFrame, columns: Sequence[str
     columns = list(columns)
     m = len(columns)
     rows = _kept(missing.select(*[col(n) for n in columns]).distinct().select(F.monotonically_increasing_id().alias(ID), _values(columns).alias("source")), "missing")
-    first = _kept(_by_rare_pairs(rows, target, columns), "nearest")
-    done = [first.where("equal >= bound").select(ID, "equal", "target")]
-    rest = rows.join(first.where("equal < bound").select(ID, (F.col("bound") - 1).alias("most")), ID)
-    rest = _kept(rest, "open")
-    size = rest.agg(F.max("most")).first()[0] or 0
+    if 2**m <= MOST_SETS:
+        done, rest, size = [], rows.withColumn("most", F.lit(m)), m
+    else:
+        first = _kept(_by_rare_pairs(rows, target, columns), "nearest")
+        done = [first.where("equal >= bound").select(ID, "equal", "target")]
+        rest = _kept(rows.join(first.where("equal < bound").select(ID, (F.col("bound") - 1).alias("most")), ID), "open")
+        size = rest.agg(F.max("most")).first()[0] or 0
     while size > 0 and math.comb(m, size) <= MOST_SETS and not rest.isEmpty():
         found = _kept(_by_column_sets(rest.where(F.col("most") >= size), target, columns, size), "nearest")
         done.append(found)
@@ -113,7 +119,7 @@ def nearest_for_all(missing: DataFrame, target: DataFrame, columns: Sequence[str
         size -= 1
     if size > 0 and not rest.isEmpty():
         done += [_in_blocks(rest, target, columns)]
-    elif not rest.isEmpty():
+    elif not done or not rest.isEmpty():
         # nothing is equal: all target rows are equally near
         smallest = target.agg(F.min(_values(columns)).alias("target"))
         done.append(rest.select(ID, F.lit(0).alias("equal")).join(F.broadcast(smallest)))
