@@ -141,3 +141,33 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     linked = {x for a, b in edges for x in (a, b) if a != b}
     assert got == {x: find(x) for x in linked}
+
+
+def test_long_sets_are_not_read_for_a_few_common_words(spark, monkeypatch):
+    """Any two long sets share some rare words; the wide sketch tells them apart, and copies still link."""
+    rng = np.random.default_rng(8)
+    texts = [rng.choice(30_000, 3000, replace=False) for _ in range(30)]
+    for k in (0, 1):
+        copy = texts[k].copy()
+        copy[:100] = 30_000 + np.arange(100)
+        texts.append(copy)
+    read = []
+    whole = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *more: (read.append(sorted(map(tuple, pairs.collect()))), whole(pairs, *more))[1])
+    rows = [(i, " ".join(f"w{x}" for x in t)) for i, t in enumerate(texts)]
+    got = jaccard_classes(documents(spark, rows), 1, 90)
+    assert {(r["id"], r["component_id"]) for r in got.collect()} == {(i, i) for i in range(30)} | {(30, 0), (31, 1)}
+    assert {p for pairs in read for p in pairs} == {(0, 30), (1, 31)}
+
+
+def test_sketches_never_part_similar_sets():
+    rng = np.random.default_rng(9)
+    for percent in (50, 80, 90, 99):
+        for n in (3, 40, 700, 5000):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            gone = len(a) * (100 - percent) // 100
+            b = a[gone:]
+            for size in (jaccard.BITS, jaccard.WIDE_BITS):
+                differ = int(np.bitwise_count((parity(a, size) ^ parity(b, size)).view(np.uint64)).sum())
+                assert differ <= gone and differ * (100 + percent) <= (len(a) + len(b)) * (100 - percent)
+    assert jaccard.wide_from(90) == 1945 and jaccard.wide_from(100) > 0

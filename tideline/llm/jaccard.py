@@ -6,8 +6,9 @@ the wanted similarity share at least ``l`` of the first ``size - needed + l``.
 document takes the ``l`` that its estimated candidates make cheapest, and a pair
 must share as many tokens as the smaller ``l`` of the two says.
 
-Equal sets are one node.  Candidates of different classes are all verified on their
-sets; members of a class that is already linked are not compared with each other.
+Equal sets are one node.  Candidates of different classes that sizes and parity sketches
+allow are all verified on their sets; members of a class that is already linked are not
+compared with each other.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ MOST_SHARED = 4  # longest multi-match that a document considers
 TURNS = 2  # rounds of picked pairs before all others are compared
 VERIFY_COST = 8.0  # of a candidate, in units of one prefix match
 BITS = 8  # 64-bit words of a set's parity sketch
+WIDE_BITS = 64  # those of the second sketch of a set that is too large for the first
 FILTER_BITS = (1 << 20, 1 << 29)  # least and most bits of the filter of documents to read again
 
 
@@ -56,12 +58,17 @@ def shingles(text: str, width: int) -> np.ndarray:
     return np.unique(mix(total))
 
 
-def parity(s: np.ndarray) -> np.ndarray:
-    """Bit ``h mod 512`` flips with each element: two sketches differ in no more bits than the sets in elements."""
-    odd = np.bincount((s & np.uint64(64 * BITS - 1)).astype(np.int64), minlength=64 * BITS) & 1
+def parity(s: np.ndarray, size: int = BITS) -> np.ndarray:
+    """Bit ``h mod (64 size)`` flips with each element: two sketches differ in no more bits than the sets in elements."""
+    odd = np.bincount((s & np.uint64(64 * size - 1)).astype(np.int64), minlength=64 * size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_from(percent: int) -> int:
+    """The size from which the small sketch, of which at most about half the bits differ, tells hardly any sets apart."""
+    return 64 * BITS * (100 + percent) // max(5 * (100 - percent), 1)
+
+
 def needed(n, percent: int):
     """Least overlap of a set of ``n`` with any set that is similar enough."""
     return -(-percent * n // 100)
@@ -80,27 +87,29 @@ def prefix(s: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tup
     return s[order[: first + share]], share
 
 
-def _read(rows: DataFrame, width: int) -> DataFrame:
-    """One pass: size, signature and parity sketch of every set, and each task's counters."""
+def _read(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """One pass: size, signature and parity sketches of every set, and each task's counters."""
+    long = wide_from(percent)
     sketch = ", ".join(f"b{k} long" for k in range(BITS))
 
     def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(COUNTERS, np.int32)
         empty = np.zeros(BITS, np.int64)
         for pdf in batches:
-            sizes, signs, bits = [], [], []
+            sizes, signs, bits, wide = [], [], [], []
             for t in pdf["text"]:
                 s = shingles(t, width)
                 np.add.at(counters, (s % np.uint64(COUNTERS)).astype(np.int64), 1)
                 sizes.append(len(s))
                 signs.append(xxhash.xxh3_128_digest(s.tobytes()))
                 bits.append(parity(s) if len(s) else empty)
+                wide.append(parity(s, WIDE_BITS) if len(s) >= long else None)
             b = np.array(bits, np.int64).reshape(-1, BITS)
-            yield frame({"id": pdf["id"].astype("Int64"), "n": np.array(sizes, np.int64), "sign": signs, **{f"b{k}": b[:, k] for k in range(BITS)}, "block": -1, "data": None})
+            yield frame({"id": pdf["id"].astype("Int64"), "n": np.array(sizes, np.int64), "sign": signs, **{f"b{k}": b[:, k] for k in range(BITS)}, "wide": wide, "block": -1, "data": None})
         for k, part in enumerate(np.split(counters, BLOCKS)):
-            yield frame({"id": pd.array([None], "Int64"), "n": [0], "sign": [b""], **{f"b{j}": [0] for j in range(BITS)}, "block": [k], "data": [part.tobytes()]})
+            yield frame({"id": pd.array([None], "Int64"), "n": [0], "sign": [b""], **{f"b{j}": [0] for j in range(BITS)}, "wide": None, "block": [k], "data": [part.tobytes()]})
 
-    return stage(rows.mapInPandas(read, f"id long, n long, sign binary, {sketch}, block int, data binary"), "sets")
+    return stage(rows.mapInPandas(read, f"id long, n long, sign binary, {sketch}, wide array<long>, block int, data binary"), "sets")
 
 
 def _indexed(rows: DataFrame, sketch: np.ndarray, noise: float, width: int, percent: int) -> DataFrame:
@@ -134,11 +143,32 @@ def _indexed(rows: DataFrame, sketch: np.ndarray, noise: float, width: int, perc
     return rows.where("id IS NOT NULL").mapInPandas(index, "token long, sign binary, id long, share int, place int")
 
 
+def _classed(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Each row with the class of its set so far as ``root``."""
+    return sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _sized(percent: int, a: str, b: str) -> Column:
+    """What sizes alone allow."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
+
+
 def _similar(percent: int, a: str, b: str) -> Column:
     """What sizes and parity sketches allow: never false for a pair that is similar enough."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     differ = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(1, BITS)), F.bit_count(F.col(f"{a}.b0").bitwiseXOR(F.col(f"{b}.b0"))))
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
+    return _sized(percent, a, b) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
+
+
+def _allowed(pairs: DataFrame, info: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs (a, b)`` that sizes and both parity sketches allow."""
+    near = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).join(info.alias("a"), F.col("x") == F.col("a.node")).join(info.alias("b"), F.col("y") == F.col("b.node"))
+    near = near.where(_similar(percent, "a", "b")).select("x", "y", (F.col("a.n") + F.col("b.n")).alias("both"))
+    near = near.join(wide.select(F.col("id").alias("x"), F.col("wide").alias("one")), "x", "left").join(wide.select(F.col("id").alias("y"), F.col("wide").alias("two")), "y", "left")
+    differ = F.aggregate(F.zip_with("one", "two", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
+    fits = differ * (100 + percent) <= F.col("both") * (100 - percent)
+    return near.where(F.col("one").isNull() | F.col("two").isNull() | fits).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -167,7 +197,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
             own = pdf[marks.value[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1 == 1]
             yield frame({"id": own["id"], "set": [shingles(t, width).tobytes() for t in own["text"]]})
 
-    sets = rows.where("id IS NOT NULL").mapInPandas(read, "id long, set binary")
+    sets = stage(rows.where("id IS NOT NULL").mapInPandas(read, "id long, set binary"), "own")
 
     @F.pandas_udf("boolean")
     def close(one: pd.Series, two: pd.Series) -> pd.Series:
@@ -180,7 +210,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
 
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("one")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("two")), "b")
-    return both.where(close("one", "two")).select("a", "b").distinct()
+    found = stage(both.where(close("one", "two")).select("a", "b").distinct(), "links")
+    forget(sets)
+    return found
 
 
 def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,7 +227,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     columns are ignored.
     """
     rows = texts(docs, id_col, text_col)
-    read = _read(rows, width)
+    read = _read(rows, width, percent)
     sets = read.where("block < 0")
     if sets.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("sign").alias("x"), F.max("sign").alias("y")).where("x < y").isEmpty():
         return _classes(rows, read, width, percent)
@@ -203,7 +235,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rows = numbered(rows, "row", "id")
     names = rows.select("row", F.col("id").alias("name"))
     own = rows.select(F.when(F.col("id").isNotNull(), F.col("row")).alias("id"), "text")
-    out = _classes(own, _read(own, width), width, percent)
+    out = _classes(own, _read(own, width, percent), width, percent)
     named = (
         out.where("id IS NOT NULL").join(names, F.col("id") == F.col("row")).select(F.col("name").alias("doc"), "n_shingles", "component_id")
         .join(names, F.col("component_id") == F.col("row")).select(F.col("doc").alias("id"), "n_shingles", F.col("name").alias("component_id"))
@@ -228,44 +260,46 @@ def _classes(rows: DataFrame, read: DataFrame, width: int, percent: int) -> Data
     shared = stage(index.join(often, "token").join(info, "node"), "shared")
     forget(index)
 
-    # Each set against two sets under its token that hashing picks, then, as long as that links classes, each against
-    # two others: groups of near copies come together with few links each.
+    wide = sets.where("wide IS NOT NULL AND id IS NOT NULL").select("id", "wide")
+
+    # Each set against two sets under its token that hashing picks: first the same sets under all tokens, so that groups of
+    # near copies come together with few links each, then, while classes meet, others under each token.
+    # Only sizes and classes move with the tokens; the sketches meet the pairs.
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    across = shared.withColumn("root", F.col("node"))
     for turn in range(TURNS):
-        one = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "root", "n", "node", *bits)
+        across = _classed(shared.select("token", "node", "n"), roots)
+        order = F.xxhash64("node", F.lit(turn)) if turn == 0 else F.xxhash64("node", "token", F.lit(turn))
+        one = F.struct(order.alias("order"), "root", "n", "node")
         some = across.groupBy("token").agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("p")).select("token", F.inline("p"))
         stars = across.alias("a").join(some.alias("b"), F.col("a.token") == F.col("b.token"))
-        stars = stars.where((F.col("a.root") != F.col("b.root")) & _similar(percent, "a", "b"))
-        stars = stage(stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "stars")
-        more = stage(_verified(stars, rows, width, percent), "links")
+        stars = stars.where((F.col("a.root") != F.col("b.root")) & _sized(percent, "a", "b"))
+        stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+        stars = stage(_allowed(stars, info, wide, percent), "stars")
+        more = _verified(stars, rows, width, percent)
         forget(stars)
         if more.isEmpty():
             break
         links = links.union(more)
         roots = stage(components(links), "roots")
-        # a token whose sets are all of one class stays so, and is not looked at again
-        before = across
-        classed = before.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = classed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-        across = stage(classed.join(mixed, "token", "left_semi"), "across")
-        forget(before)
 
     # All other pairs of a token, between the classes so far.
+    across = _classed(shared, roots)
     a, b = across.alias("a"), across.alias("b")
     share = F.least("a.share", "b.share")
-    within = lambda x: F.col(f"{x}.place") < F.col(f"{x}.n") - F.ceil(F.col(f"{x}.n") * percent / F.lit(100)) + share
+    # two sets that are similar enough share so many; without them and the last ``share``, each has this prefix
+    overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / F.lit(100 + percent))
+    within = lambda x: F.col(f"{x}.place") < F.col(f"{x}.n") - overlap + share
     pairs = (
-        a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.root") < F.col("b.root")) & _similar(percent, "a", "b") & within("a") & within("b"))
+        a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.root") < F.col("b.root")) & _sized(percent, "a", "b") & within("a") & within("b") & _similar(percent, "a", "b"))
         .groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(share).alias("share"))
         .where("hits >= share").select("a", "b")
     )
-    pairs = stage(pairs, "pairs")
-    forget(across)
+    pairs = stage(_allowed(pairs, info, wide, percent), "pairs")
+    forget(shared)
     if not pairs.isEmpty():
-        more = stage(_verified(pairs, rows, width, percent), "links")
+        more = _verified(pairs, rows, width, percent)
         if not more.isEmpty():
             roots = stage(components(links.union(more)), "roots")
         forget(pairs)
