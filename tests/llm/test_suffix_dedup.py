@@ -79,6 +79,42 @@ def test_awkward(spark):
     assert suffix_dedup(documents(spark, [])).collect() == []
 
 
+def test_buckets_of_one_partition_are_held_one_by_one(monkeypatch):
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    parts = []
+    for bucket in range(4):
+        around = rng.integers(97, 123, (60, module.AROUND), np.uint8)
+        around[30:] = around[:30]
+        own = {"id": np.arange(60) + 100 * bucket, "th": 0, "pos": 500, "lft": module.SIDE, "rgt": module.SIDE, "around": [x.tobytes() for x in around], "bucket": bucket}
+        parts.append(pd.DataFrame(own))
+    rows = pd.concat(parts, ignore_index=True)
+    sizes = []
+    whole = module.earlier_strings
+    monkeypatch.setattr(module, "earlier_strings", lambda around, *sides: (sizes.append(len(around)), whole(around, *sides))[1])
+    found = pd.concat(list(module._bucket_intervals([rows[:37], rows[37:37], rows[37:150], rows[150:]])))
+    assert sizes == [60] * 4  # not all 240 at once
+    assert sorted(found["id"]) == [100 * b + k for b in range(4) for k in range(30, 60)]
+    assert set(found["first"]) == {500 - module.SIDE} and set(found["stop"]) == {500 + module.GRAM + module.SIDE}
+
+
+def test_memory_of_a_bucket():
+    import tracemalloc
+
+    around = np.random.default_rng(4).integers(97, 100, (20_000, module.AROUND), np.uint8)
+    around[10_000:] = around[:10_000]
+    sides = np.full(20_000, module.SIDE)
+    tracemalloc.start()
+    try:
+        low, high = module.earlier_strings(around, sides, sides)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (low[10_000:] == 0).all() and (high[10_000:] == module.SIDE).all() and (low[:10_000] == -1).all()
+    assert peak < 4 * around.nbytes
+
+
 def test_texts_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(module, "CHUNK", 500)
     rows = passages(7, 20) + [(1000, "".join(t for _, t in passages(7, 20))), (1001, "".join(t for _, t in passages(8, 10)))]

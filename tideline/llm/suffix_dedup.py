@@ -204,17 +204,18 @@ def earlier_strings(around: np.ndarray, left: np.ndarray, right: np.ndarray) ->
     for rows in (after, before):
         order = multikey_order(rows)
         shared.append((order, _common(rows, order)))
-    classes = []
-    for order, common in shared:
-        by = []
-        for reach in range(SIDE + 1):
-            ids = np.empty(n, np.int32)
-            ids[order] = np.cumsum(common < GRAM + reach)
-            by.append(ids)
-        classes.append(by)
+    del after, before, rows
+
+    def classes(side: int, reach: int) -> np.ndarray:
+        """Numbers of the rows' strings of the anchor and ``reach`` bytes beside it."""
+        order, common = shared[side]
+        ids = np.empty(n, np.int64)
+        ids[order] = np.cumsum(common < GRAM + reach)
+        return ids
+
     for reach in range(SIDE + 1):
         ok = np.flatnonzero((left >= reach) & (right >= SIDE - reach))
-        key = classes[1][reach][ok].astype(np.int64) * (n + 1) + classes[0][SIDE - reach][ok]
+        key = classes(1, reach)[ok] * (n + 1) + classes(0, SIDE - reach)[ok]
         order = np.argsort(key, kind="stable")
         again = ok[order[1:][key[order[1:]] == key[order[:-1]]]]
         low[again[low[again] < 0]] = reach
@@ -279,17 +280,36 @@ def _contexts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bucket_intervals(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The repeats among all contexts of a partition; an anchor's contexts are in one partition."""
-    parts = [b for b in batches if len(b)]
-    if not parts:
-        return
-    # A row that is repeated with its id is one text.
-    pdf = pd.concat(parts).drop_duplicates(["id", "th", "pos"]).sort_values(["id", "th", "pos"], ignore_index=True)
-    around = np.frombuffer(b"".join(pdf["around"]), np.uint8).reshape(-1, AROUND)
-    low, high = earlier_strings(around, pdf["lft"].to_numpy(), pdf["rgt"].to_numpy())
-    at = np.flatnonzero(low >= 0)
-    pos = pdf["pos"].to_numpy()[at]
-    yield frame(merged(pdf["id"].to_numpy()[at], pdf["th"].to_numpy()[at], pos - high[at], pos - low[at] + LENGTH))
+    """The repeats among the contexts of each bucket of a partition, whose rows come bucket by bucket; an anchor's contexts are in one bucket."""
+    held: list[tuple] = []
+
+    def told() -> pd.DataFrame:
+        ids, th, pos, lft, rgt = (np.concatenate([part[k] for part in held]) for k in range(5))
+        around = np.concatenate([part[5] for part in held])
+        held.clear()
+        order = np.lexsort((pos, th, ids))
+        # A row that is repeated with its id is one text.
+        a, b = order[:-1], order[1:]
+        order = order[np.concatenate([[True], (ids[a] != ids[b]) | (th[a] != th[b]) | (pos[a] != pos[b])])]
+        ids, th, pos, lft, rgt, around = (x[order] for x in (ids, th, pos, lft, rgt, around))
+        low, high = earlier_strings(around, lft, rgt)
+        at = np.flatnonzero(low >= 0)
+        return frame(merged(ids[at], th[at], pos[at] - high[at], pos[at] - low[at] + LENGTH))
+
+    open_bucket = None
+    for pdf in batches:
+        buckets = pdf["bucket"].to_numpy()
+        for rows in np.split(np.arange(len(pdf)), np.flatnonzero(buckets[1:] != buckets[:-1]) + 1):
+            if not len(rows):
+                continue
+            if held and buckets[rows[0]] != open_bucket:
+                yield told()
+            open_bucket = buckets[rows[0]]
+            some = pdf.iloc[rows]
+            around = np.frombuffer(b"".join(some["around"]), np.uint8).reshape(-1, AROUND)
+            held.append((*(some[c].to_numpy() for c in ("id", "th", "pos", "lft", "rgt")), around))
+    if held:
+        yield told()
 
 
 def _strings(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,7 +350,7 @@ def repeated_spans(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
         return pd.Series([-1 if wide and (k := bisect_left(wide, g)) < len(wide) and wide[k] == g else bisect_right(grams, g) for g in map(bytes, gram)], dtype="int32")
 
     placed = contexts.withColumn("bucket", bucket_of(F.substring("around", SIDE + 1, GRAM)))
-    narrow = placed.where("bucket >= 0").repartition(buckets, "bucket").drop("bucket")
+    narrow = placed.where("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     out = intervals.union(narrow.mapInPandas(_bucket_intervals, _INTERVAL))
     if wide:
         strings = stage(placed.where("bucket < 0").mapInPandas(_strings, "string binary, id long, th long, first int"), "strings")
