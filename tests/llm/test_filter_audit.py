@@ -8,11 +8,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward, documents
 from fixtures import words as some_words
 
 from tideline.llm import filter_audit as op
+from tideline.llm.common import tuned
 
 COLUMNS = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
 
@@ -99,6 +101,24 @@ def test_matrix_is_one_matrix(spark, monkeypatch):
     assert len(set().union(*found.values())) == len(numbers)
 
 
+def test_shards_are_small_rows_and_batches_are_small(spark):
+    """What a task holds at a time does not follow from how many words or shards its partition has."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 20_000)) for _ in range(20)]
+    matrix = op.document_term_matrix(spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1))
+    sizes = [sum(len(r[c]) for c in ("starts", "words", "counts")) for r in matrix.collect()]
+    assert len(sizes) > 1 and max(sizes) < 3 << 20
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        rows = tuned(spark).range(40, numPartitions=1).selectExpr("repeat('x', 1000000) AS t")
+        batches = rows.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect()
+    finally:
+        for k in keys:
+            spark.conf.set(k, before[k])
+    assert len(batches) > 1 and max(r["n"] for r in batches) < 16 << 20
+
+
 def test_other_filters(spark):
     rows = [(1, "a b", "x"), (2, "a b", "x"), (3, "c", "x")]
     docs, labels = tables(spark, rows, [(2, 1, 0)])

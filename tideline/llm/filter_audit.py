@@ -24,9 +24,10 @@ from pyspark.sql import types as T
 
 from tideline.llm.common import stage
 
-SHARD_WORDS = 1 << 18  # a shard ends with the document that brings it to so many distinct words,
-SHARD_CELLS = 1 << 21  # to so many cells,
-SHARD_ROWS = 1 << 15  # or to so many documents
+# A shard is one row, which tasks copy between the JVM and Python several times: it stays at about 2 MB.
+SHARD_WORDS = 1 << 16  # a shard ends with the document that brings it to so many distinct words,
+SHARD_CELLS = 1 << 19  # to so many cells,
+SHARD_ROWS = 1 << 13  # or to so many documents
 RANGE_BYTES = 8 << 20  # the dictionary is numbered in hashed ranges, one for so many bytes of text
 RANGES = (64, 1 << 30)  # least and most of them
 CSR = "starts binary, words binary, counts binary"
