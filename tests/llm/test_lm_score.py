@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from fixtures import awkward, documents, words
@@ -67,6 +68,23 @@ def test_long_words_do_not_underflow(lattice):
     lattice.expect("漢" * 500, [0.0] * lattice.size)
 
 
+def test_words_in_bulk_are_those_one_by_one(lattice, monkeypatch):
+    rng = random.Random(3)
+    found = [*words(rng, 300), "a", "日x", "漢" * 20, "漢" * 500, "x" * 62, "x" * 63, "x" * 64, "y" * 3000, START, "a" + START + "b", "\x00", "é😀ß", "don't", "don't"]
+    times = [rng.randint(1, 5) for _ in found]
+    one, counts = [lattice.log_probability(w) for w in found], [0.0] * lattice.size
+    for w, n in zip(found, times):
+        lattice.expect(w, counts, n)
+    assert lattice.log_probabilities(found).tolist() == pytest.approx(one, rel=1e-12)
+    assert lattice.expect_all(found, np.array(times, float)).tolist() == pytest.approx(counts, rel=1e-9, abs=1e-12)
+    assert lattice.log_probabilities([]).tolist() == [] and not lattice.expect_all([], np.zeros(0)).any()
+    # only what plain numbers do not hold goes one by one
+    alone = []
+    monkeypatch.setattr(lattice, "log_probability", lambda w: alone.append(w) or 0.0)
+    lattice.log_probabilities(found)
+    assert alone == ["漢" * 20, "漢" * 500, "x" * 64, "y" * 3000]
+
+
 def brute(rows):
     train = [(t or "").encode().lower().split() for i, t in rows if i is None or i % 3 != 0]
     c = Counter(w for d in train for w in d)

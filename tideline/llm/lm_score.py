@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ from tideline.llm.common import DISTINCT_WORDS, frame, stage, summed_blocks, wor
 HOT_SHARE = 1_000_000  # words are sent to the tasks that make up at least one in so many tokens
 PRIOR = 1000.0  # expected pieces that the vocabulary's own scores count for
 BYTE_SHARE = 1e-4  # of the starting weight that single bytes share
+PLAIN_CHARS = 64  # longest word, its start included, that is summed in plain numbers
+PLAIN_LEAST = 1e-250  # and the least probability that these are trusted with
 CACHE = 1000.0  # words of a document after which its own shares weigh half
 START = "▁"  # how the vocabulary marks the start of a word
 LN10 = math.log(10)
@@ -109,7 +112,7 @@ class Lattice:
     def expect(self, word: str, counts: list[float], times: float = 1.0) -> None:
         """Add each piece's expected number in ``times`` such words; in logs only where plain numbers would vanish."""
         arcs = self.arcs(START + word)
-        if len(arcs) <= 64 and self._expect_plain(arcs, counts, times):
+        if len(arcs) <= PLAIN_CHARS and self._expect_plain(arcs, counts, times):
             return
         alpha = self._forward(arcs)
         exp, log1p = math.exp, math.log1p
@@ -138,7 +141,7 @@ class Lattice:
             for j, weight, _ in own:
                 alpha[j] += here * weight
         total = alpha[n]
-        if total < 1e-250:
+        if total < PLAIN_LEAST:
             return False
         for i in range(n - 1, -1, -1):
             here, all_on = times * alpha[i] / total, 0.0
@@ -150,6 +153,97 @@ class Lattice:
             beta[i] = all_on
         return True
 
+    @cached_property
+    def _steps(self) -> tuple[pd.Index, np.ndarray]:
+        """The trie as a table: prefix ``k`` is reached by ``keys[k - 1]``, the number of the prefix before and a character."""
+        number = {prefix: k for k, prefix in enumerate(self.trie, 1)} | {"": 0}
+        keys = np.fromiter((number[prefix[:-1]] << 21 | ord(prefix[-1]) for prefix in self.trie), np.int64, len(self.trie))
+        return pd.Index(keys), np.fromiter(self.trie.values(), np.int64, len(self.trie))
+
+    def _arcs_of(self, found: Sequence[str]) -> tuple[np.ndarray, ...]:
+        """All words' arcs by where they start: word, start, end, weight, piece (below -1: a character of ``chars``)."""
+        index, piece_of = self._steps
+        size = np.fromiter(map(len, found), np.int64, len(found)) + 1
+        codes = np.frombuffer((START + START.join(found)).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum(size)
+        word = np.repeat(np.arange(len(found)), size)
+        at = np.arange(len(codes))
+        place = at - np.repeat(ends - size, size)
+        left, node = np.repeat(ends, size), np.zeros(len(codes), np.int64)
+        out, steps, whole = [], 0, at
+        spelt = np.zeros(len(codes), bool)
+        while len(at):
+            node = index.get_indexer(node << 21 | codes[at + steps]) + 1
+            steps += 1
+            piece = np.where(node > 0, piece_of[node - 1], -1)
+            hit = piece >= 0
+            if steps == 1:
+                spelt[at[~hit]] = True
+            out.append((at[hit], np.full(np.count_nonzero(hit), steps), piece[hit]))
+            on = (node > 0) & (at + steps < left[at])
+            at, node = at[on], node[on]
+        by_bytes = whole[spelt]
+        chars, which = np.unique(codes[by_bytes], return_inverse=True)
+        out.append((by_bytes, np.ones(len(by_bytes), np.int64), -2 - which))
+        at, steps, piece = map(np.concatenate, zip(*out))
+        one = np.array([math.prod(float(np.exp(self.log[b])) for b in self.spelling(chr(c))) for c in chars.tolist()], float)
+        plain = np.exp(np.array(self.log))
+        weight = np.concatenate([plain[piece[: len(piece) - len(which)]], one[which]])
+        order = np.argsort(place[at], kind="stable")
+        at, steps, piece, weight = at[order], steps[order], piece[order], weight[order]
+        return word[at], place[at], place[at] + steps, weight, piece, size, chars
+
+    def _sums(self, found: Sequence[str]) -> tuple:
+        """Forward sums of many words at once, in plain numbers, and their arcs, which are cut where the start changes."""
+        word, start, end, weight, piece, size, chars = self._arcs_of(found)
+        width = int(size.max()) + 1
+        source, target = word * width + start, word * width + end
+        cuts = np.searchsorted(start, np.arange(width))
+        alpha = np.zeros(len(found) * width)
+        alpha[::width] = 1.0
+        for a, b in zip(cuts, cuts[1:]):
+            np.add.at(alpha, target[a:b], alpha[source[a:b]] * weight[a:b])
+        last = np.arange(len(found)) * width + size
+        return alpha, last, source, target, cuts, weight, piece, chars, word
+
+    def log_probabilities(self, found: Sequence[str]) -> np.ndarray:
+        """``log_probability`` of every word; one by one only where plain numbers would vanish."""
+        out = np.full(len(found), -math.inf)
+        short = [k for k, w in enumerate(found) if len(w) < PLAIN_CHARS]
+        if short:
+            alpha, last, *_ = self._sums([found[k] for k in short])
+            total = alpha[last]
+            out[short] = np.log(total, where=total >= PLAIN_LEAST, out=np.full(len(short), -math.inf))
+        for k in np.flatnonzero(out == -math.inf).tolist():
+            out[k] = self.log_probability(found[k])
+        return out
+
+    def expect_all(self, found: Sequence[str], times: np.ndarray) -> np.ndarray:
+        """Each piece's expected number in the words, each so many ``times``."""
+        counts, done = np.zeros(self.size), np.zeros(len(found), bool)
+        short = np.array([k for k, w in enumerate(found) if len(w) < PLAIN_CHARS], np.int64)
+        if len(short):
+            alpha, last, source, target, cuts, weight, piece, chars, word = self._sums([found[k] for k in short.tolist()])
+            total = alpha[last]
+            done[short] = total >= PLAIN_LEAST
+            share = np.where(done[short], times[short], 0) / np.where(done[short], total, 1)
+            beta = np.zeros(len(alpha))
+            beta[last] = 1.0
+            seen = np.zeros(len(source))
+            for a, b in zip(cuts[-2::-1], cuts[:0:-1]):
+                on = weight[a:b] * beta[target[a:b]]
+                np.add.at(beta, source[a:b], on)
+                seen[a:b] = on * alpha[source[a:b]] * share[word[a:b]]
+            own = piece >= 0
+            counts += np.bincount(piece[own], seen[own], self.size)
+            for c, n in zip(chars.tolist(), np.bincount(-2 - piece[~own], seen[~own], len(chars)).tolist()):
+                for b in self.spelling(chr(c)):
+                    counts[b] += n
+        rest = counts.tolist()
+        for k in np.flatnonzero(~done).tolist():
+            self.expect(found[k], rest, float(times[k]))
+        return np.array(rest)
+
 
 def count_words(rows: DataFrame) -> DataFrame:
     """``word, c`` of ``rows (text, train)``: every word, and how often it is in training texts."""
@@ -179,11 +273,10 @@ def learn_pieces(counts: DataFrame, path: str) -> np.ndarray:
     size = Lattice(path).size
 
     def expect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice, total = Lattice(path), [0.0] * size
+        lattice, total = Lattice(path), np.zeros(size)
         for pdf in batches:
-            for word, c in zip(pdf["word"], pdf["c"].tolist()):
-                lattice.expect(word, total, c)
-        yield frame({"block": [0], "data": [np.array(total).tobytes()]})
+            total += lattice.expect_all(pdf["word"].tolist(), pdf["c"].to_numpy(float))
+        yield frame({"block": [0], "data": [total.tobytes()]})
 
     got = summed_blocks(counts.where("c > 0").select("word", "c").mapInPandas(expect, "block int, data binary"), size, "float64")
     start = Lattice(path).weights
@@ -216,7 +309,7 @@ def score_texts(docs: DataFrame, train: Column, path: str, id_col: str = "doc_id
     def spell(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(path, weights.value)
         for pdf in batches:
-            marginal = np.array([lattice.log_probability(w) for w in pdf["word"]], float)
+            marginal = lattice.log_probabilities(pdf["word"].tolist())
             c, spelt = pdf["c"].to_numpy(), marginal + spare
             own = np.log(np.maximum(c - discount, 1e-300) / mass)
             yield pdf.assign(score=marginal / LN10, mixed=np.where(c > 0, np.logaddexp(own, spelt), spelt) / LN10)
