@@ -125,6 +125,33 @@ def test_shingles_of_few_words():
     assert set(shingles("A b", 3)) == set(shingles("a\tB", 3)) != set(shingles("b a", 3))
 
 
+def test_word_hashes_tell_words_apart(monkeypatch):
+    """As many hashes as words, alike wherever a word stands and however its text is cut."""
+    rng = random.Random(7)
+    blanks = " \t\n\x0b\x0c\r"
+    found = [*words(rng, 400), "é", "É", "日本", "x" * 63, "x" * 64, "x" * 65, "x" * 5000, "ab", "ba", "a", "b", "\x1c", "\x85", "\xa0z"] * 2
+    text = "".join(w + rng.choice(blanks) * rng.randint(1, 3) for w in found)
+    whole = jaccard.word_hashes(text)
+    assert len(whole) == len(found) and len(set(whole.tolist())) == len(set(found))
+    assert {w: h for w, h in zip(found, whole.tolist())} == {w: jaccard.word_hashes(w.upper() if w.isascii() else w)[0] for w in found}
+    monkeypatch.setattr(jaccard, "PART_BYTES", 40)
+    assert (jaccard.word_hashes(text) == whole).all() and (jaccard.word_hashes(blanks + text) == whole).all()
+    assert len(jaccard.word_hashes(blanks * 30)) == 0
+
+
+def test_prefix_is_that_of_a_whole_sort():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 60, 900):
+        s = np.unique(rng.integers(0, 2**63, n, np.uint64) & ~np.uint64(0xF << 40) | np.uint64(3 << 62))
+        s[1::2] = s[::2][: len(s[1::2])] | np.uint64(1)  # pairs that only low bits tell apart
+        s = np.unique(s)
+        sketch = rng.integers(0, 3, jaccard.COUNTERS).astype(np.int32)
+        count = sketch[s % np.uint64(jaccard.COUNTERS)].astype(np.uint64)
+        order = np.argsort(count << np.uint64(32) | s >> np.uint64(32), kind="stable")
+        got, _ = prefix(s, sketch, 0.0, 90)
+        assert (got == s[order[: len(got)]]).all()
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, k) for k in range(500, 560)] + [(rng.randint(2000, 2200), rng.randint(2000, 2200)) for _ in range(150)]

@@ -13,6 +13,7 @@ compared with each other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import DISTINCT_WORDS, components, forget, frame, mix, numbered, stage, summed_blocks, texts, words
+from tideline.llm.common import SPACE, components, forget, frame, mix, numbered, stage, summed_blocks, texts
 
 COUNTERS = 1 << 20  # cells of the frequency sketch
 BLOCKS = 64
@@ -31,31 +32,50 @@ VERIFY_COST = 8.0  # of a candidate, in units of one prefix match
 BITS = 8  # 64-bit words of a set's parity sketch
 WIDE_BITS = 64  # those of the second sketch of a set that is too large for the first
 FILTER_BITS = (1 << 20, 1 << 29)  # least and most bits of the filter of documents to read again
+PART_BYTES = 1 << 20  # of a text that are hashed at a time, to the end of the word
+PLACES = 64  # in a word whose bytes have ready hashes
+SEED = np.uint64(0x9E3779B97F4A7C15)
+READY = mix(np.arange(PLACES << 8, dtype=np.uint64) + SEED)
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+INSIDE = ~np.isin(np.arange(256), list(SPACE.encode()))
 
 
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > DISTINCT_WORDS:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_HASHES = WordHash()
+def _word_hashes(raw: np.ndarray) -> np.ndarray:
+    own = np.flatnonzero(INSIDE[raw])
+    if not len(own):
+        return np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.diff(own, prepend=-2) > 1)
+    size = np.diff(first, append=len(own))
+    byte = (np.arange(len(own)) - np.repeat(first, size)) << 8 | raw[own]
+    return mix(np.add.reduceat(READY[byte] if size.max() <= PLACES else mix(byte.astype(np.uint64) + SEED), first))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each lower-case (A-Z) word between ASCII white space: the sum over its bytes of what byte and place hash to."""
+    data = text.encode("utf-8", "surrogatepass").lower()
+    if len(data) <= PART_BYTES:
+        return _word_hashes(np.frombuffer(data, np.uint8))
+    parts, at = [], 0
+    while at < len(data):
+        cut = BLANK.search(data, at + PART_BYTES)
+        end = cut.end() if cut else len(data)
+        parts.append(_word_hashes(np.frombuffer(data, np.uint8, end - at, at)))
+        at = end
+    return np.concatenate(parts)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles; of all its words if they are fewer."""
-    found = words(text)
-    n = len(found)
+    h = word_hashes(text)
+    n = len(h)
     if not n:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, n)
+        return h
     w = min(n, width)
     total = np.full(n - w + 1, w, np.uint64)
     for j in range(w):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + h[j : n - w + 1 + j]
-    return np.unique(mix(total))
+        total = total * SEED + h[j : n - w + 1 + j]
+    s = np.sort(mix(total))
+    return s[np.concatenate([[True], s[1:] != s[:-1]])]
 
 
 def parity(s: np.ndarray, size: int = BITS) -> np.ndarray:
@@ -79,7 +99,9 @@ def prefix(s: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tup
     n = len(s)
     must = needed(n, percent)
     count = sketch[s % np.uint64(COUNTERS)].astype(np.float64)
-    order = np.argsort(count.astype(np.uint64) << np.uint64(32) | s >> np.uint64(32), kind="stable")[: n - must + min(MOST_SHARED, must)]
+    rank, most = count.astype(np.uint64) << np.uint64(32) | s >> np.uint64(32), n - must + min(MOST_SHARED, must)
+    low = np.flatnonzero(rank <= np.partition(rank, most - 1)[most - 1])  # ties are kept, so the order below is that of all
+    order = low[np.argsort(rank[low], kind="stable")][:most]
     others = np.cumsum(np.maximum(count[order] - noise, 0))
     first = n - must
     costs = [(others[first + k - 1] * (1 + VERIFY_COST / k), k) for k in range(1, min(MOST_SHARED, must) + 1)]
@@ -96,14 +118,15 @@ def _read(rows: DataFrame, width: int, percent: int) -> DataFrame:
         counters = np.zeros(COUNTERS, np.int32)
         empty = np.zeros(BITS, np.int64)
         for pdf in batches:
-            sizes, signs, bits, wide = [], [], [], []
+            sizes, signs, bits, wide, cells = [], [], [], [], [np.zeros(0, np.int64)]
             for t in pdf["text"]:
                 s = shingles(t, width)
-                np.add.at(counters, (s % np.uint64(COUNTERS)).astype(np.int64), 1)
+                cells.append((s % np.uint64(COUNTERS)).astype(np.int64))
                 sizes.append(len(s))
                 signs.append(xxhash.xxh3_128_digest(s.tobytes()))
                 bits.append(parity(s) if len(s) else empty)
                 wide.append(parity(s, WIDE_BITS) if len(s) >= long else None)
+            counters += np.bincount(np.concatenate(cells), minlength=COUNTERS).astype(np.int32)
             b = np.array(bits, np.int64).reshape(-1, BITS)
             yield frame({"id": pdf["id"].astype("Int64"), "n": np.array(sizes, np.int64), "sign": signs, **{f"b{k}": b[:, k] for k in range(BITS)}, "wide": wide, "block": -1, "data": None})
         for k, part in enumerate(np.split(counters, BLOCKS)):
